@@ -13,13 +13,14 @@ from ..operators.extract import changed_since
 from ..operators.load import type1_upsert, unmatched
 from ..operators.scd2 import scd2_merge
 from ..schemas import conform, schema_of
+from ..sources.reference_data import literal_table
 
 # Student attributes whose change opens a new version.
 TRACKED = ("programme_name", "level_name", "faculty_name", "department_name", "enrollment_status")
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], schema_of(table))
+    return literal_table(spark, [], schema_of(table))
 
 
 # --- calendar ----------------------------------------------------------------

@@ -50,5 +50,5 @@ def open_tables(spark: SparkSession, raw_dir: str) -> Tables:
     """Tables of a raw directory, shared by all queries of the session."""
     key = (spark.sparkContext.applicationId, raw_dir.rstrip("/"))
     if key not in _open:
-        _open[key] = Tables(tune(spark), raw_dir, {**derived.BUILDERS, **WAREHOUSE_BUILDERS})
+        _open[key] = Tables(tune(spark), raw_dir, {**derived.BUILDERS, **WAREHOUSE_BUILDERS}, derived.VIEWS)
     return _open[key]

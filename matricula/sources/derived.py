@@ -12,6 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.temporal import versions_from_changes
+from ..schemas import schema_of
 from . import reference_data as ref
 
 CURRENT_SEMESTER = 20012
@@ -361,7 +362,7 @@ def security_user_map(t) -> DataFrame:
         ("fadmin_two", "faculty_admin", None, 2),
         ("registry_admin", "registry_admin", None, None),
     ]
-    return t.spark.createDataFrame(rows, "db_username string, role_name string, entity_id bigint, faculty_id bigint")
+    return ref.literal_table(t.spark, rows, schema_of("security_user_map"))
 
 
 def etl_watermark(t) -> DataFrame:
@@ -430,3 +431,9 @@ BUILDERS = {
     "etl_log": etl_log,
     "dim_geography": geography,
 }
+
+# Projections of one raw or stored table, and literal tables: not worth a copy.
+VIEWS = frozenset({
+    "faculty", "department", "college", "degree_type", "student_level", "grade_scale", "course_prerequisite", "staff",
+    "course_registration", "registration_audit", "security_user_map",
+})

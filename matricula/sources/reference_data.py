@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..schemas import schema_of
 
@@ -82,30 +85,37 @@ STATES = [
 ]
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """Rows given in the program, as a local relation: Spark knows its size and needs no Python worker to read it."""
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    arrow = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), schema)
+
+
 def grade_scale(spark: SparkSession) -> DataFrame:
     rows = [(i, *band) for i, band in enumerate(GRADE_SCALE, 1)]
-    return spark.createDataFrame(rows, schema_of("grade_scale"))
+    return literal_table(spark, rows, schema_of("grade_scale"))
 
 
 def student_level(spark: SparkSession) -> DataFrame:
     rows = [(i, f"{n}L", n, None) for i, n in enumerate(LEVEL_NUMBERS, 1)]
-    return spark.createDataFrame(rows, schema_of("student_level"))
+    return literal_table(spark, rows, schema_of("student_level"))
 
 
 def degree_type(spark: SparkSession) -> DataFrame:
     rows = [(i, code, code) for i, code in enumerate(DEGREE_CODES, 1)]
-    return spark.createDataFrame(rows, schema_of("degree_type"))
+    return literal_table(spark, rows, schema_of("degree_type"))
 
 
 def states(spark: SparkSession) -> DataFrame:
     """Static geography dimension of the 37 states."""
     rows = [(i, *state) for i, state in enumerate(STATES, 1)]
-    return spark.createDataFrame(rows, schema_of("dim_geography"))
+    return literal_table(spark, rows, schema_of("dim_geography"))
 
 
 def resolve_literals(spark: SparkSession, rows: list[tuple], schema: str, lookups) -> DataFrame:
     """Inline rows whose names are resolved to keys: ``lookups`` is a list of (table, name column, literal column, key)."""
-    out = spark.createDataFrame(rows, schema)
+    out = literal_table(spark, rows, StructType.fromDDL(schema))
     for table, name, literal, key in lookups:
         side = table.select(F.col(name).alias(literal), F.col(key).alias(f"{literal}_key"))
         out = out.join(side, literal)

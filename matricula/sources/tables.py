@@ -1,8 +1,9 @@
 """Named tables stored as Parquet below the shared folder, read back with explicit schemas.
 
-A table is written the first time it is asked for.  Stored tables give Spark
-true sizes, so it can tell which join sides are small enough to broadcast,
-and cut the lineage of everything built on them.
+A table that takes a join or an aggregate to build is written the first time
+it is asked for; a plain projection of another table stays a view.  Stored
+tables give Spark true sizes, so it can tell which join sides are small enough
+to broadcast, and cut the lineage of everything built on them.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ PARTITIONED = {"fact_enrollment": "period_sk", "fact_registration_event": "perio
 class Tables(Mapping):
     """Read access to raw, source and warehouse tables by name."""
 
-    def __init__(self, spark: SparkSession, raw_dir: str, builders: dict[str, Builder]):
+    def __init__(self, spark: SparkSession, raw_dir: str, builders: dict[str, Builder], views: frozenset[str] = frozenset()):
         self.spark = spark
         self.raw_dir = raw_dir.rstrip("/")
         self._builders = builders
+        self._views = views
         self._paths: dict[str, str] = {}
         self._folder = fresh_folder(spark, "tables")
 
@@ -34,6 +36,8 @@ class Tables(Mapping):
         return self.spark.read.parquet(f"{self.raw_dir}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name in self._views:
+            return typed(self._builders[name](self), name)
         if name not in self._paths:
             path = f"{self._folder}/{name}"
             write_table(self._builders[name](self), name, path)
@@ -55,9 +59,12 @@ class Tables(Mapping):
             self[name].createOrReplaceTempView(name)
 
 
+def typed(df: DataFrame, name: str) -> DataFrame:
+    return conform(df, name) if name in SOURCE or name in WAREHOUSE else df
+
+
 def write_table(df: DataFrame, name: str, path: str) -> None:
-    if name in SOURCE or name in WAREHOUSE:
-        df = conform(df, name)
+    df = typed(df, name)
     partition = PARTITIONED.get(name)
     if partition:
         # Whole files per period, with large periods over several tasks.
