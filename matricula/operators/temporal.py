@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DateType
@@ -83,14 +82,14 @@ def asof_lookup(
     """
     month = lambda c: F.trunc(c.cast("date"), "month")
     span = facts.agg(month(F.min(at)).alias("lo"), month(F.max(at)).alias("hi"))
-    last = F.coalesce(span.select("hi").scalar(), F.lit(date.min))  # without facts no month is touched
-    bounded = (
-        versions.select(key, F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *attributes)
-        .withColumn("_lo", F.greatest(month(F.col("_from")), span.select("lo").scalar()))
-        .withColumn("_hi", F.least(month(F.col("_to")), last))
-        .where(F.col("_lo") <= F.col("_hi"))
+    last = F.coalesce(span.select("hi").scalar(), F.lit("0001-01-01").cast("date"))  # without facts no month is touched
+    first = F.greatest(month(F.col("_from")), span.select("lo").scalar())
+    bounded = versions.select(key, F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *attributes).withColumns(
+        {"_lo": first, "_hi": F.least(month(F.col("_to")), last)}
     )
-    monthly = bounded.withColumn("_month", F.explode(F.expr("sequence(_lo, _hi, interval 1 month)"))).drop("_lo", "_hi")
+    # Guarded in the expression itself: an inferred filter may evaluate it early.
+    months = F.when(F.col("_lo") <= F.col("_hi"), F.sequence("_lo", "_hi", F.expr("interval 1 month")))
+    monthly = bounded.withColumn("_month", F.explode(months)).drop("_lo", "_hi")
     dated = facts.withColumn("_month", month(F.col(at)))
     valid: Column = (F.col("_from") <= F.col(f"f.{at}")) & (F.col(f"f.{at}") < F.col("_to"))
     same = (F.col(f"f.{key}") == F.col(f"v.{key}")) & (F.col("f._month") == F.col("v._month"))

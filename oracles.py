@@ -165,7 +165,7 @@ BASE = {
                     count(*) FILTER (event_type = 'signup') AS scd2_rows_closed,
                     count(*) FILTER (event_type = 'error' AND value > 200) AS dq_errors,
                     count(*) FILTER (event_type = 'view' AND value > 100) AS dq_warnings FROM events GROUP BY 1))""",
-    "watermark": """SELECT 'student' AS entity, max(updated_at) AS at FROM student UNION ALL SELECT 'course', max(updated_at) FROM course
+    "watermark": """SELECT 'student' AS entity, max(updated_at) AS seen FROM student UNION ALL SELECT 'course', max(updated_at) FROM course
         UNION ALL SELECT 'staff', max(updated_at) FROM staff UNION ALL SELECT 'course_registration', max(registration_date) FROM registration
         UNION ALL SELECT 'course_result', max(l_shipdate) FROM result UNION ALL SELECT 'semester', CAST(max(start_date) AS TIMESTAMP) FROM semester
         UNION ALL SELECT 'academic_session', CAST(make_date(max(session_id), 1, 1) AS TIMESTAMP) FROM semester""",
@@ -443,7 +443,7 @@ STATEMENTS = {
         CAST(total_score AS DOUBLE) AS total_score, {iso_ts('l_shipdate', 'updated_at')} FROM result
         WHERE l_shipdate > TIMESTAMP '2000-01-01' AND l_shipdate <= TIMESTAMP '2001-06-30'""",
     "watermark_pivot": "SELECT " + ", ".join(
-        f"strftime(max(at) FILTER (entity = '{e}'), '%Y-%m-%d %H:%M:%S') AS wm_{e}"
+        f"strftime(max(seen) FILTER (entity = '{e}'), '%Y-%m-%d %H:%M:%S') AS wm_{e}"
         for e in ("student", "course", "course_registration", "course_result", "academic_session", "semester", "staff")) + " FROM watermark",
     "type1_upsert": f"""SELECT course_id, course_code, CASE WHEN updated_at > TIMESTAMP '1998-01-01' THEN upper(course_title) ELSE course_title END AS course_title,
         credit_units, {iso_ts('updated_at')} FROM course""",
