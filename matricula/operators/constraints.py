@@ -171,58 +171,52 @@ NOT_NULLS = (
 )
 
 
-def _rule(kind: str, table: str, detail: str):
-    return F.lit(f"{kind}:{table}.{detail}").alias("rule")
-
-
-def _key(*columns):
-    text = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns]
-    return F.concat_ws("|", *text).alias("key")
-
-
-def row_violations(df: DataFrame, table: str, checks, not_nulls, key: str) -> DataFrame:
-    """All row rules of one table in one scan."""
-    broken = [
-        F.when(~F.coalesce(F.expr(c.condition), F.lit(True)), F.lit(f"check:{table}.{c.name}")) for c in checks
-    ] + [F.when(F.col(c).isNull(), F.lit(f"not_null:{table}.{c}")) for n in not_nulls for c in n.columns]
-    rules = F.filter(F.array(*broken), lambda r: r.isNotNull())
-    return (
-        df.select(_key(key), F.explode(rules).alias("rule"))
-        .groupBy("rule", "key")
-        .agg(F.count("*").alias("violations"))
-    )
-
-
-def unique_violations(df: DataFrame, rule: Unique) -> DataFrame:
-    return (
-        df.groupBy(*rule.columns)
-        .agg(F.count("*").alias("violations"))
-        .where("violations > 1")
-        .select(_rule("unique", rule.table, ",".join(rule.columns)), _key(*rule.columns), "violations")
-    )
-
-
-def reference_violations(child: DataFrame, parent: DataFrame, rule: Reference) -> DataFrame:
-    """Child keys are counted before the join, so a key shared by many rows moves once."""
-    used = child.where(F.col(rule.column).isNotNull()).groupBy(rule.column).agg(F.count("*").alias("violations"))
-    known = parent.select(F.col(rule.parent_column).alias(rule.column))
-    return used.join(known, rule.column, "left_anti").select(
-        _rule("reference", rule.table, f"{rule.column}->{rule.parent}"), _key(rule.column), "violations"
-    )
+def _name(kind: str, table: str, detail: str) -> str:
+    return f"{kind}:{table}.{detail}"
+
+
+def _entry(rule: str, key, child: int = 1, parent: int = 0):
+    return F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent"))
+
+
+def _entries(df: DataFrame, table: str, rules, parents) -> DataFrame:
+    """What one table says about the rules, in one scan: broken rows, unique keys, child keys, parent keys."""
+    own = F.col(df.columns[0]).cast("string")
+    said = []
+    for r in rules:
+        if isinstance(r, Check):
+            broken = ~F.coalesce(F.expr(r.condition), F.lit(True))
+            said.append(F.when(broken, _entry(_name("check", table, r.name), own)))
+        elif isinstance(r, NotNull):
+            said += [F.when(F.col(c).isNull(), _entry(_name("not_null", table, c), own)) for c in r.columns]
+        elif isinstance(r, Unique):
+            key = F.to_json(F.struct(*r.columns), {"ignoreNullFields": "false"})
+            said.append(_entry(_name("unique", table, ",".join(r.columns)), key))
+        else:
+            child = F.col(r.column).cast("string")
+            said.append(F.when(child.isNotNull(), _entry(_name("reference", table, f"{r.column}->{r.parent}"), child)))
+    for r in parents:
+        rule = _name("reference", r.table, f"{r.column}->{r.parent}")
+        said.append(_entry(rule, F.col(r.parent_column).cast("string"), 0, 1))
+    return df.select(F.explode(F.array_compact(F.array(*said))).alias("e")).select("e.*")
 
 
 def violations(tables, available, checks=CHECKS, not_nulls=NOT_NULLS, uniques=UNIQUES, references=REFERENCES) -> DataFrame:
-    """Every rule whose tables are ``available``, one DataFrame."""
+    """Every rule whose tables are ``available``, checked with one scan per table and one shuffle.
+
+    Keys are counted per rule on the map side, so a key that many rows share
+    moves once.  A row rule is broken by any entry, a unique key by a second
+    one, a reference by a child without a parent.
+    """
+    known = [r for r in references if r.table in available and r.parent in available]
+    rules = [r for r in (*checks, *not_nulls, *uniques) if r.table in available] + known
     parts = []
-    for table in dict.fromkeys([r.table for r in (*checks, *not_nulls)]):
-        if table in available:
-            df = tables[table]
-            mine = lambda rules: [r for r in rules if r.table == table]  # noqa: B023,E731
-            parts.append(row_violations(df, table, mine(checks), mine(not_nulls), df.columns[0]))
-    parts += [unique_violations(tables[r.table], r) for r in uniques if r.table in available]
-    parts += [
-        reference_violations(tables[r.table], tables[r.parent], r)
-        for r in references
-        if r.table in available and r.parent in available
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    for table in dict.fromkeys([r.table for r in rules] + [r.parent for r in known]):
+        mine = [r for r in rules if r.table == table]
+        parts.append(_entries(tables[table], table, mine, [r for r in known if r.parent == table]))
+    counted = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(
+        F.sum("child").alias("violations"), F.sum("parent").alias("parents")
+    )
+    kind = F.substring_index("rule", ":", 1)
+    broken = F.when(kind == "unique", F.col("violations") > 1).otherwise((F.col("violations") > 0) & (F.col("parents") == 0))
+    return counted.where(broken).select("rule", "key", "violations")

@@ -107,14 +107,14 @@ def dropped_with_result_and_unresolved(t, as_of: date) -> DataFrame:
     return both.select(F.expr("stack(2, 'DQ-06', a, 'DQ-10', b) as (check_id, records_flagged)"))
 
 
-def check_counts(t, as_of: date) -> DataFrame:
+def check_counts(t, as_of: date, unit_limit: int = MAX_UNITS, code: str = COMPULSORY_CODE) -> DataFrame:
     """All ten checks with their counts, zeros included."""
     parts = [
         missing_programme(t),
         impossible_score(t),
         registered_after_end(t),
-        first_years_without_compulsory(t),
-        over_unit_limit(t),
+        first_years_without_compulsory(t, code),
+        over_unit_limit(t, unit_limit),
         dropped_with_result_and_unresolved(t, as_of),
         duplicate_matric(t),
         empty_closed_semesters(t, as_of),
@@ -134,9 +134,9 @@ def check_counts(t, as_of: date) -> DataFrame:
     )
 
 
-def run_checks(t, as_of: date) -> DataFrame:
+def run_checks(t, as_of: date, **limits) -> DataFrame:
     """The log rows of one run: checks that flagged something."""
-    return check_counts(t, as_of).where("records_flagged > 0")
+    return check_counts(t, as_of, **limits).where("records_flagged > 0")
 
 
 def gate(flagged: DataFrame) -> DataFrame:

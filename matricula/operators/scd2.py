@@ -23,6 +23,15 @@ def first_version(key: Column) -> Column:
     return key.cast("bigint") * VERSION_SPACE + 1
 
 
+def natural_key(surrogate: Column) -> Column:
+    """The key a version belongs to, without a lookup."""
+    return F.call_function("div", surrogate, F.lit(VERSION_SPACE))
+
+
+def version_number(surrogate: Column) -> Column:
+    return surrogate % VERSION_SPACE
+
+
 def differs(left: Column, right: Column, tracked: Sequence[str]) -> Column:
     """Any tracked field changed; a change from or to NULL counts."""
     return reduce(lambda a, b: a | b, [~left[c].eqNullSafe(right[c]) for c in tracked])

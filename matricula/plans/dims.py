@@ -19,6 +19,21 @@ from ..sources.reference_data import literal_table
 TRACKED = ("programme_name", "level_name", "faculty_name", "department_name", "enrollment_status")
 
 
+# Columns a later load refreshes on a match.
+COURSE_REFRESHED = (
+    "course_code", "course_title", "course_description", "credit_units", "category_code", "category_name", "department_name",
+    "faculty_name", "faculty_abbreviation", "level_name", "level_number", "semester_offered", "is_compulsory_se", "is_active",
+    "has_prerequisites", "prerequisite_count", "dw_updated_at",
+)
+STAFF_REFRESHED = ("full_name", "department_name", "faculty_name", "designation", "is_active")
+
+# Attributes of a student version taken from the source.
+SNAPSHOT = (
+    "student_id", "student_matric_no", "full_name", "first_name", "last_name", "gender", "state_of_origin", "programme_name",
+    "faculty_name", "department_name", "level_name", "level_number", "degree_type", "admission_year", "enrollment_status",
+)
+
+
 def empty(spark: SparkSession, table: str) -> DataFrame:
     return literal_table(spark, [], schema_of(table))
 
@@ -119,8 +134,7 @@ def course_source(t, now: datetime, watermark: datetime = FIRST_WATERMARK, until
 
 def upsert_course(t, target: DataFrame, now: datetime, watermark: datetime = FIRST_WATERMARK, until=None) -> DataFrame:
     source = conform(course_source(t, now, watermark, until), "dim_course")
-    refreshed = [c for c in source.columns if c not in ("course_sk", "dw_created_at")]
-    return type1_upsert(target, source, "course_id", update=refreshed)
+    return type1_upsert(target, source, "course_id", update=COURSE_REFRESHED)
 
 
 def staff_source(t, now: datetime, watermark: datetime = FIRST_WATERMARK, until: datetime | None = None) -> DataFrame:
@@ -140,8 +154,7 @@ def staff_source(t, now: datetime, watermark: datetime = FIRST_WATERMARK, until:
 
 def upsert_staff(t, target: DataFrame, now: datetime, watermark: datetime = FIRST_WATERMARK, until=None) -> DataFrame:
     """A match refreshes all but the staff number."""
-    refreshed = ("full_name", "department_name", "faculty_name", "designation", "is_active")
-    return type1_upsert(target, conform(staff_source(t, now, watermark, until), "dim_staff"), "staff_id", update=refreshed)
+    return type1_upsert(target, conform(staff_source(t, now, watermark, until), "dim_staff"), "staff_id", update=STAFF_REFRESHED)
 
 
 # --- Type 2 ------------------------------------------------------------------
@@ -168,23 +181,8 @@ def student_snapshot(t, watermark: datetime = FIRST_WATERMARK, until: datetime |
     )
     if touch:
         flat = flat.withColumn("updated_at", F.greatest("updated_at", "programme_at", "department_at", "faculty_at"))
-    return changed_since(flat, watermark, until).select(
-        "student_id",
-        "student_matric_no",
-        full_name(F.col("first_name"), F.col("last_name")).alias("full_name"),
-        "first_name",
-        "last_name",
-        "gender",
-        "state_of_origin",
-        "programme_name",
-        "faculty_name",
-        "department_name",
-        "level_name",
-        "level_number",
-        "degree_type",
-        "admission_year",
-        "enrollment_status",
-    )
+    named = flat.withColumn("full_name", full_name(F.col("first_name"), F.col("last_name")))
+    return changed_since(named, watermark, until).select(*SNAPSHOT)
 
 
 def merge_student(

@@ -17,7 +17,7 @@ from ..functions.exact import decimal_ratio
 from ..operators.extract import changed_since
 from ..operators.load import unmatched
 from ..operators.registration import session_gpa
-from ..operators.scd2 import current_rows
+from ..operators.scd2 import current_rows, natural_key
 
 EVENT_KEY = ("student_id", "course_sk", "period_sk")
 
@@ -193,6 +193,6 @@ def event_rows(
     )
 
 
-def with_student_id(events: DataFrame, dim_student: DataFrame) -> DataFrame:
-    """Events with the natural key of their student, over all versions."""
-    return events.join(dim_student.select("student_sk", "student_id"), "student_sk")
+def with_student_id(events: DataFrame) -> DataFrame:
+    """Facts with the natural key of their student, over all versions."""
+    return events.withColumn("student_id", natural_key(F.col("student_sk")))

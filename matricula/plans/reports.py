@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import bands, dates
 from ..functions.bands import MIN_GROUP
 from ..functions.exact import mean_of, percent
-from ..operators.scd2 import current_rows
+from ..operators.scd2 import current_rows, natural_key
 
 PERIOD = ("session_name", "semester_name")
 
@@ -47,15 +47,9 @@ def _with_period(fact: DataFrame, t, *columns: str) -> DataFrame:
     return fact.join(t["dim_academic_period"].select("period_sk", *(columns or PERIOD)), "period_sk")
 
 
-def _students(t, *columns: str, durable_key: bool = False) -> DataFrame:
-    """student_sk of facts -> attributes of the current version."""
-    current = current_rows(t["dim_student"])
-    if not durable_key:
-        return current.select("student_sk", *columns)
-    every = t["dim_student"].select("student_sk", F.col("student_id").alias("_id"))
-    return every.join(current.select(F.col("student_id").alias("_id"), *[c for c in columns if c != "student_id"]), "_id").select(
-        "student_sk", *[F.col("_id").alias(c) if c == "student_id" else F.col(c) for c in columns]
-    )
+def _students(t, *columns: str) -> DataFrame:
+    """student_sk of facts -> attributes, for versions that are current."""
+    return current_rows(t["dim_student"]).select("student_sk", *columns)
 
 
 # --- enrolment reports --------------------------------------------------------
@@ -70,10 +64,15 @@ def faculty_performance(t, durable_key: bool = False) -> DataFrame:
         "total_failures": _true("is_fail"),
         "total_distinctions": _true("is_distinction"),
     }
-    per_student = _with_period(t["fact_enrollment"], t).groupBy("student_sk", *PERIOD).agg(*_named(measures))
-    joined = per_student.join(_students(t, "student_id", "faculty_name", durable_key=durable_key), "student_sk")
-    students = F.count_distinct("student_id") if durable_key else F.count("*")
-    total = joined.groupBy("faculty_name", *PERIOD).agg(students.alias("total_students"), *_add_up(measures))
+    who = "student_id" if durable_key else "student_sk"
+    fact = t["fact_enrollment"]
+    if durable_key:
+        fact = fact.withColumn("student_id", natural_key(F.col("student_sk")))
+    per_student = _with_period(fact, t).groupBy(who, *PERIOD).agg(*_named(measures))
+    people = current_rows(t["dim_student"]).select(who, "faculty_name")
+    total = per_student.join(people, who).groupBy("faculty_name", *PERIOD).agg(
+        F.count("*").alias("total_students"), *_add_up(measures)
+    )
     n = F.col("total_enrollments")
     return total.select(
         "faculty_name",

@@ -109,12 +109,11 @@ def schema_of(table: str) -> StructType:
     return StructType.fromDDL(SOURCE.get(table) or WAREHOUSE[table])
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns of the table in order and type; a column the frame lacks becomes NULL."""
+def conform(df: DataFrame, table: str, *also: str) -> DataFrame:
+    """Columns of the table in order and type, then ``also``; a column the frame lacks becomes NULL."""
     have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema_of(table).fields
-        ]
-    )
+    columns = [
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in schema_of(table).fields
+    ]
+    return df.select(*columns, *also)

