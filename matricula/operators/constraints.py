@@ -175,6 +175,12 @@ def _name(kind: str, table: str, detail: str) -> str:
     return f"{kind}:{table}.{detail}"
 
 
+def _whole_key(columns):
+    """Several columns as one text, each with its length in front, so that no two keys look alike."""
+    text = [F.col(c).cast("string") for c in columns]
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("null")) for t in text])
+
+
 def _entry(rule: str, key, child: int = 1, parent: int = 0):
     return F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent"))
 
@@ -190,8 +196,7 @@ def _entries(df: DataFrame, table: str, rules, parents) -> DataFrame:
         elif isinstance(r, NotNull):
             said += [F.when(F.col(c).isNull(), _entry(_name("not_null", table, c), own)) for c in r.columns]
         elif isinstance(r, Unique):
-            key = F.to_json(F.struct(*r.columns), {"ignoreNullFields": "false"})
-            said.append(_entry(_name("unique", table, ",".join(r.columns)), key))
+            said.append(_entry(_name("unique", table, ",".join(r.columns)), _whole_key(r.columns)))
         else:
             child = F.col(r.column).cast("string")
             said.append(F.when(child.isNotNull(), _entry(_name("reference", table, f"{r.column}->{r.parent}"), child)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import ChainMap
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
@@ -37,8 +38,23 @@ class Run:
     def __init__(self, store: Store, source: Mapping[str, DataFrame], run_id: int, until: datetime, now: datetime):
         self.store, self.source, self.run_id, self.until, self.now = store, source, run_id, until, now
         self.changed: dict[str, Parts] = {}
-        self.inserted = self.updated = self.closed = 0
         self.staged: dict[str, DataFrame] = {}
+        self._counts: dict[str, list[int]] = {"inserted": [], "updated": [], "closed": []}
+
+    def count(self, **rows: int) -> None:
+        for what, n in rows.items():
+            self._counts[what].append(n)
+
+    def total(self, what: str) -> int:
+        """Rows of one kind over all loads of the run."""
+        return sum(self._counts[what])
+
+    @staticmethod
+    def together(*loads) -> None:
+        """Loads that do not read each other's output, side by side, so their jobs share the cluster."""
+        with ThreadPoolExecutor(len(loads)) as pool:
+            for done in [pool.submit(load) for load in loads]:
+                done.result()
 
     @property
     def tables(self) -> Mapping[str, DataFrame]:
@@ -71,7 +87,7 @@ class Run:
         target = self.store.read(table)
         merged = type1_upsert(target, rows, key, update)
         self.stage(table, self.store.write(table, merged, self.run_id)[0])
-        self.inserted += n
+        self.count(inserted=n)
 
     def students(self, watermark: datetime) -> None:
         """Rewrites the open versions; closed ones go to a part of their own and are not touched again."""
@@ -86,9 +102,7 @@ class Run:
         parts, seen = self.store.write(
             "dim_student", merged, self.run_id, part, created=count("created"), opened=count("opened"), closed=count("closed")
         )
-        self.inserted += seen["created"]
-        self.updated += seen["opened"]
-        self.closed += seen["closed"]
+        self.count(inserted=seen["created"], updated=seen["opened"], closed=seen["closed"])
         self.stage("dim_student", self.merge_parts("dim_student", {**stored, **parts}, keep=(CURRENT,)))
 
     # --- facts ---
@@ -100,10 +114,10 @@ class Run:
         rows = facts.enrollment_rows(self.tables, self.run_id, self.now, watermark, self.until)
         if not stored:
             parts, seen = self.store.write(table, rows, self.run_id, period)
-            self.inserted += seen["rows"]
+            self.count(inserted=seen["rows"])
             return self.stage(table, parts)
         new, n = self.delta(table, rows)
-        self.inserted += n
+        self.count(inserted=n)
         affected = facts.affected_registrations(self.source, watermark, self.until)
         old = self.store.read(table).join(affected, "registration_id", "left_semi")
         touched = {str(r[0]) for r in new.select("period_sk").union(old.select("period_sk")).distinct().collect()}
@@ -116,7 +130,7 @@ class Run:
         """Recomputes the students with changed results, whatever version their old facts point at."""
         table = "fact_student_gpa"
         rows, n = self.delta(table, facts.gpa_rows(self.tables, self.run_id, self.now, watermark, self.until))
-        self.inserted += n
+        self.count(inserted=n)
         affected = facts.affected_students(self.source, watermark, self.until)
         keyed = facts.with_student_id(self.store.read(table))
         merged = replace_affected_keys(keyed, facts.with_student_id(rows), affected, ["student_id"])
@@ -128,7 +142,7 @@ class Run:
         existing = facts.with_student_id(self.store.read(table))
         rows = facts.event_rows(self.tables, self.run_id, self.now, watermark, self.until, existing)
         parts, seen = self.store.write(table, rows, self.run_id, label=label)
-        self.inserted += seen["rows"]
+        self.count(inserted=seen["rows"])
         self.stage(table, self.merge_parts(table, {**self.store.parts(table), **parts}))
 
     def merge_parts(self, table: str, parts: Parts, keep: tuple[str, ...] = ()) -> Parts:
@@ -152,7 +166,7 @@ def stored_watermarks(store: Store) -> DataFrame:
 
 
 def _log_row(store: Store, run: Run, status: str, finished: datetime | None, triggered_by: str, errors=0, warnings=0, message=None) -> None:
-    row = (run.run_id, run.now, finished, status, run.inserted, run.updated, run.closed, errors, warnings, message, triggered_by)
+    row = (run.run_id, run.now, finished, status, run.total("inserted"), run.total("updated"), run.total("closed"), errors, warnings, message, triggered_by)
     store.append_log("etl_log", literal_table(store.spark, [row], schema_of("etl_log")))
 
 
@@ -193,15 +207,19 @@ def run_incremental(
 
         marks = stored_watermarks(store)
         wm = extract.read_watermarks(marks, force_full)
-        run.calendar(dims.dim_date(spark) if calendar is None else calendar)
-        run.geography(states(spark) if geography is None else geography)
-        run.type1("dim_academic_period", dims.period_source(source, wm["semester"], until), "semester_id")
-        run.type1("dim_course", dims.course_source(source, until, wm["course"], until), "course_id", dims.COURSE_REFRESHED)
-        run.type1("dim_staff", dims.staff_source(source, until, wm["staff"], until), "staff_id", dims.STAFF_REFRESHED)
-        run.students(wm["student"])
-        run.enrollment(wm["course_result"])
-        run.gpa(wm["course_result"])
-        run.events(wm["course_registration"])
+        run.together(
+            lambda: run.students(wm["student"]),
+            lambda: run.type1("dim_course", dims.course_source(source, until, wm["course"], until), "course_id", dims.COURSE_REFRESHED),
+            lambda: run.type1("dim_staff", dims.staff_source(source, until, wm["staff"], until), "staff_id", dims.STAFF_REFRESHED),
+            lambda: run.type1("dim_academic_period", dims.period_source(source, wm["semester"], until), "semester_id"),
+            lambda: run.calendar(dims.dim_date(spark) if calendar is None else calendar),
+            lambda: run.geography(states(spark) if geography is None else geography),
+        )
+        run.together(
+            lambda: run.enrollment(wm["course_result"]),
+            lambda: run.gpa(wm["course_result"]),
+            lambda: run.events(wm["course_registration"]),
+        )
         run.watermarks(marks)
         store.publish(run.run_id, run.changed)
     except Exception as problem:
