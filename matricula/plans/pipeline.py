@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.dates import FIRST_WATERMARK
 from ..operators import extract, quality
 from ..operators.load import latest_runs, replace_affected_keys, type1_upsert
+from ..operators.scd2 import version_number
 from ..schemas import schema_of
 from ..sources.reference_data import ENTITIES, literal_table, states
 from ..sources.store import Parts, Store
@@ -65,45 +66,46 @@ class Run:
         self.changed[table] = parts
         self.staged[table] = self.store.read(table, parts)
 
-    def delta(self, table: str, rows: DataFrame) -> tuple[DataFrame, int]:
-        """Incoming rows, stored: read more than once and of known size."""
-        parts, seen = self.store.write(table, rows, self.run_id, label="delta")
-        return self.store.read(table, parts), seen["rows"]
+    def delta(self, table: str, rows: DataFrame) -> DataFrame:
+        """Incoming rows, stored: read more than once, of known size, and counted."""
+        parts = self.store.write(table, rows, self.run_id, label="delta")
+        return self.store.read(table, parts)
 
     # --- dimensions ---
 
     def calendar(self, days: DataFrame) -> None:
         stored = self.store.parts("dim_date")
-        parts, seen = self.store.write("dim_date", dims.new_days(days, self.store.read("dim_date")), self.run_id, label=f"run-{self.run_id}")
-        self.stage("dim_date", {**stored, **parts} if seen["rows"] else stored or parts)
+        missing = dims.new_days(days, self.store.read("dim_date"))
+        parts = self.store.write("dim_date", missing, self.run_id, label=f"run-{self.run_id}")
+        self.stage("dim_date", {**stored, **parts} if not stored or self.store.rows("dim_date", parts) else stored)
 
     def geography(self, rows: DataFrame) -> None:
         """Static: written once."""
         stored = self.store.parts("dim_geography")
-        self.stage("dim_geography", stored or self.store.write("dim_geography", rows, self.run_id)[0])
+        self.stage("dim_geography", stored or self.store.write("dim_geography", rows, self.run_id))
 
     def type1(self, table: str, source: DataFrame, key: str, update=None) -> None:
-        rows, n = self.delta(table, source)
+        """Upserts; rows inserted and rows updated both count as inserted."""
+        rows = self.delta(table, source)
         target = self.store.read(table)
-        merged = type1_upsert(target, rows, key, update)
-        self.stage(table, self.store.write(table, merged, self.run_id)[0])
-        self.count(inserted=n)
+        self.stage(table, self.store.write(table, type1_upsert(target, rows, key, update), self.run_id))
+        self.count(inserted=rows.count())
 
     def students(self, watermark: datetime) -> None:
         """Rewrites the open versions; closed ones go to a part of their own and are not touched again."""
-        stored = self.store.parts("dim_student")
-        snapshot, _ = self.delta("dim_student", dims.student_snapshot(self.source, watermark, self.until))
-        snapshot = snapshot.select(*dims.SNAPSHOT)
-        current = self.store.read("dim_student", {k: v for k, v in stored.items() if k == CURRENT})
+        table, closed = "dim_student", f"closed-{self.run_id}"
+        stored = self.store.parts(table)
+        snapshot = self.delta(table, dims.student_snapshot(self.source, watermark, self.until)).select(*dims.SNAPSHOT)
+        current = self.store.read(table, {k: v for k, v in stored.items() if k == CURRENT})
         # Every key with a version has an open one, so the open slice holds all known keys.
         merged = dims.merge_student(current, snapshot, self.now.date(), self.now, self.run_id)
-        part = F.when(F.col("is_current"), CURRENT).otherwise(f"closed-{self.run_id}")
-        count = lambda a: F.count_if(F.col("action") == a)
-        parts, seen = self.store.write(
-            "dim_student", merged, self.run_id, part, created=count("created"), opened=count("opened"), closed=count("closed")
-        )
-        self.count(inserted=seen["created"], updated=seen["opened"], closed=seen["closed"])
-        self.stage("dim_student", self.merge_parts("dim_student", {**stored, **parts}, keep=(CURRENT,)))
+        part = F.when(F.col("is_current"), CURRENT).otherwise(closed)
+        parts = self.store.write(table, merged, self.run_id, part)
+        first = F.count_if(version_number(F.col("student_sk")) == 1)
+        opened = self.store.read(table, {k: v for k, v in parts.items() if k == CURRENT}).where(F.col("etl_run_id") == self.run_id)
+        new, both = opened.agg(first, F.count("*")).first()
+        self.count(inserted=new, updated=both - new, closed=self.store.rows(table, {k: v for k, v in parts.items() if k == closed}))
+        self.stage(table, self.merge_parts(table, {**stored, **parts}, keep=(CURRENT,)))
 
     # --- facts ---
 
@@ -113,48 +115,47 @@ class Run:
         stored = self.store.parts(table)
         rows = facts.enrollment_rows(self.tables, self.run_id, self.now, watermark, self.until)
         if not stored:
-            parts, seen = self.store.write(table, rows, self.run_id, period)
-            self.count(inserted=seen["rows"])
+            parts = self.store.write(table, rows, self.run_id, period)
+            self.count(inserted=self.store.rows(table, parts))
             return self.stage(table, parts)
-        new, n = self.delta(table, rows)
-        self.count(inserted=n)
+        new = self.delta(table, rows)
         affected = facts.affected_registrations(self.source, watermark, self.until)
         old = self.store.read(table).join(affected, "registration_id", "left_semi")
         touched = {str(r[0]) for r in new.select("period_sk").union(old.select("period_sk")).distinct().collect()}
         target = self.store.read(table, {k: v for k, v in stored.items() if k in touched})
-        merged = replace_affected_keys(target, new, affected, ["registration_id"])
-        rewritten, _ = self.store.write(table, merged, self.run_id, period)
+        rewritten = self.store.write(table, replace_affected_keys(target, new, affected, ["registration_id"]), self.run_id, period)
+        self.count(inserted=new.count())
         return self.stage(table, {**{k: v for k, v in stored.items() if k not in touched}, **rewritten})
 
     def gpa(self, watermark: datetime) -> None:
         """Recomputes the students with changed results, whatever version their old facts point at."""
         table = "fact_student_gpa"
-        rows, n = self.delta(table, facts.gpa_rows(self.tables, self.run_id, self.now, watermark, self.until))
-        self.count(inserted=n)
+        new = self.delta(table, facts.gpa_rows(self.tables, self.run_id, self.now, watermark, self.until))
         affected = facts.affected_students(self.source, watermark, self.until)
         keyed = facts.with_student_id(self.store.read(table))
-        merged = replace_affected_keys(keyed, facts.with_student_id(rows), affected, ["student_id"])
-        self.stage(table, self.store.write(table, merged, self.run_id)[0])
+        merged = replace_affected_keys(keyed, facts.with_student_id(new), affected, ["student_id"])
+        self.stage(table, self.store.write(table, merged, self.run_id))
+        self.count(inserted=new.count())
 
     def events(self, watermark: datetime) -> None:
         """Appends the attempts the fact lacks."""
         table, label = "fact_registration_event", f"run-{self.run_id}"
         existing = facts.with_student_id(self.store.read(table))
         rows = facts.event_rows(self.tables, self.run_id, self.now, watermark, self.until, existing)
-        parts, seen = self.store.write(table, rows, self.run_id, label=label)
-        self.count(inserted=seen["rows"])
+        parts = self.store.write(table, rows, self.run_id, label=label)
+        self.count(inserted=self.store.rows(table, parts))
         self.stage(table, self.merge_parts(table, {**self.store.parts(table), **parts}))
 
     def merge_parts(self, table: str, parts: Parts, keep: tuple[str, ...] = ()) -> Parts:
         many = {k: v for k, v in parts.items() if k not in keep}
         if len(many) <= MERGE_AFTER:
             return parts
-        whole, _ = self.store.write(table, self.store.read(table, many), self.run_id, label="merged")
+        whole = self.store.write(table, self.store.read(table, many), self.run_id, label="merged")
         return {**{k: parts[k] for k in keep if k in parts}, **whole}
 
     def watermarks(self, table: DataFrame) -> None:
         moved = extract.advance_watermarks(table, self.until)
-        self.stage("etl_watermark", self.store.write("etl_watermark", moved, self.run_id)[0])
+        self.stage("etl_watermark", self.store.write("etl_watermark", moved, self.run_id))
 
 
 def stored_watermarks(store: Store) -> DataFrame:
