@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.bands import MAX_UNITS
 from ..sources.reference_data import COMPULSORY_CODE
@@ -27,22 +27,38 @@ CHECKS = {
 }
 
 
-def _count(df: DataFrame, check: str, condition: Column | None = None) -> DataFrame:
-    n = F.count("*") if condition is None else F.count_if(condition)
-    return df.agg(n.alias("records_flagged")).select(F.lit(check).alias("check_id"), "records_flagged")
+def _count(df: DataFrame, check: str) -> DataFrame:
+    return df.agg(F.count("*").alias("records_flagged")).select(F.lit(check).alias("check_id"), "records_flagged")
 
 
 def missing_programme(t) -> DataFrame:
     return _count(t["student"].where(F.col("programme_id").isNull()), "DQ-01")
 
 
-def impossible_score(t) -> DataFrame:
-    return _count(t["course_result"].where(F.col("total_score") > 100), "DQ-02")
+def _pair(one_row: DataFrame, first: str, second: str) -> DataFrame:
+    """A row (a, b) as two checks."""
+    return one_row.select(F.expr(f"stack(2, '{first}', a, '{second}', b) as (check_id, records_flagged)"))
 
 
-def registered_after_end(t) -> DataFrame:
-    dated = t["course_registration"].join(t["semester"].select("semester_id", "end_date"), "semester_id")
-    return _count(dated, "DQ-03", F.col("registration_date").cast("date") > F.col("end_date"))
+def score_and_grade(t) -> DataFrame:
+    """DQ-02 and DQ-09 from one scan of the results; a grade outside the scale is not compared."""
+    scale = t["grade_scale"].select("grade", "min_score", "max_score")
+    graded = t["course_result"].select("grade", "total_score").join(scale, "grade", "left")
+    misfit = ~F.col("total_score").between(F.col("min_score"), F.col("max_score"))
+    return _pair(graded.agg(F.count_if(F.col("total_score") > 100).alias("a"), F.count_if(misfit).alias("b")), "DQ-02", "DQ-09")
+
+
+def late_and_empty_semesters(t, as_of: date) -> DataFrame:
+    """DQ-03 and DQ-08 from one scan of the registrations, counted per semester."""
+    ends = t["semester"].select("semester_id", "end_date")
+    late = F.count_if(F.col("registration_date").cast("date") > F.col("end_date"))
+    used = (
+        t["course_registration"].select("semester_id", "registration_date").join(ends, "semester_id")
+        .groupBy("semester_id").agg(late.alias("late"), F.lit(True).alias("used"))
+    )
+    empty = (F.col("end_date") < F.lit(as_of)) & F.col("used").isNull()
+    both = ends.join(used, "semester_id", "left").agg(F.coalesce(F.sum("late"), F.lit(0)).alias("a"), F.count_if(empty).alias("b"))
+    return _pair(both, "DQ-03", "DQ-08")
 
 
 def first_years_without_compulsory(t, code: str = COMPULSORY_CODE) -> DataFrame:
@@ -79,17 +95,6 @@ def duplicate_matric(t) -> DataFrame:
     return _count(t["student"].groupBy("student_matric_no").count().where("count > 1"), "DQ-07")
 
 
-def empty_closed_semesters(t, as_of: date) -> DataFrame:
-    closed = t["semester"].where(F.col("end_date") < F.lit(as_of))
-    used = t["course_registration"].select("semester_id").distinct()
-    return _count(closed.join(used, "semester_id", "left_anti"), "DQ-08")
-
-
-def grade_out_of_range(t) -> DataFrame:
-    graded = t["course_result"].join(t["grade_scale"].select("grade", "min_score", "max_score"), "grade")
-    return _count(graded, "DQ-09", ~F.col("total_score").between(F.col("min_score"), F.col("max_score")))
-
-
 def dropped_with_result_and_unresolved(t, as_of: date) -> DataFrame:
     """DQ-06 and DQ-10 from one join of registrations with results."""
     results = t["course_result"].select("registration_id", F.lit(True).alias("has_result"))
@@ -104,21 +109,19 @@ def dropped_with_result_and_unresolved(t, as_of: date) -> DataFrame:
         F.col("has_result").isNull() & (F.col("registration_status") == "Registered") & (F.col("end_date") < F.lit(as_of))
     )
     both = status.agg(F.count_if(dropped).alias("a"), F.count_if(unresolved).alias("b"))
-    return both.select(F.expr("stack(2, 'DQ-06', a, 'DQ-10', b) as (check_id, records_flagged)"))
+    return _pair(both, "DQ-06", "DQ-10")
 
 
 def check_counts(t, as_of: date, unit_limit: int = MAX_UNITS, code: str = COMPULSORY_CODE) -> DataFrame:
     """All ten checks with their counts, zeros included."""
     parts = [
         missing_programme(t),
-        impossible_score(t),
-        registered_after_end(t),
+        duplicate_matric(t),
+        score_and_grade(t),
+        late_and_empty_semesters(t, as_of),
         first_years_without_compulsory(t, code),
         over_unit_limit(t, unit_limit),
         dropped_with_result_and_unresolved(t, as_of),
-        duplicate_matric(t),
-        empty_closed_semesters(t, as_of),
-        grade_out_of_range(t),
     ]
     counts = reduce(DataFrame.unionByName, parts)
     rule = F.create_map(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bands import MAX_UNITS
 from ..functions.exact import decimal_ratio
+from ..session import stored
 from .load import type1_upsert
 
 # Messages of the procedures.
@@ -110,15 +111,26 @@ def rule_unit_cap(candidates: DataFrame, cap: int = MAX_UNITS) -> DataFrame:
 
     def take(state: Column, request: Column) -> Column:
         load = state["load"] + request["units"]
-        grown = F.concat(
-            state["taken"], F.array(F.struct(request["sequence"].alias("sequence"), request["request_id"].alias("request_id"), load.alias("load")))
-        )
+        step = F.struct(request["sequence"].alias("sequence"), request["request_id"].alias("request_id"), load.alias("load"))
+        grown = F.concat(state["taken"], F.array(step))
         return F.when(load <= cap, F.struct(load.alias("load"), grown.alias("taken"))).otherwise(state)
 
     start = F.struct(F.col("held").cast("long").alias("load"), F.array().cast(accepted_type).alias("taken"))
     return steps.select(*GROUP, F.aggregate("steps", start, take)["taken"].alias("taken"))
 
 
+def judge_rules(
+    requests: DataFrame, semester: DataFrame, course: DataFrame, prerequisite: DataFrame, registration: DataFrame, result: DataFrame
+) -> DataFrame:
+    """Requests with the outcome of every rule that does not depend on other requests."""
+    units = course.select("course_id", F.col("credit_units").alias("units"), F.lit(True).alias("known_course"))
+    ruled = rule_deadline(requests, semester)
+    ruled = rule_duplicate(ruled, registration)
+    ruled = rule_prerequisites(ruled, prerequisite, registration, result)
+    ruled = ruled.join(units, "course_id", "left")
+    return ruled.join(existing_units(requests, registration, course), GROUP, "left").fillna(0, ["held"])
+
+
 def validate_registrations(
     requests: DataFrame,
     semester: DataFrame,
@@ -132,49 +144,33 @@ def validate_registrations(
 
     ``requests``: request_id (unique), student_id, course_id, semester_id,
     course_type, requested_at and sequence (order within the batch).  With
-    ``cap=None`` the unit rule is left out.
+    ``cap=None`` the unit rule is left out.  The judged requests are stored
+    once, since the batch is then read from several sides.
     """
-    units = course.select("course_id", F.col("credit_units").alias("units"))
-    ruled = rule_deadline(requests, semester)
-    ruled = rule_duplicate(ruled, registration)
-    ruled = rule_prerequisites(ruled, prerequisite, registration, result)
-    ruled = ruled.join(units.withColumn("known_course", F.lit(True)), "course_id", "left")
-    ruled = ruled.join(existing_units(requests, registration, course), GROUP, "left").fillna(0, ["held"])
-
-    # The first request for a course decides; a repeat of an accepted one is a duplicate.
-    first = (
-        ruled.where(F.col("valid_semester") & ~F.col("late") & ~F.col("registered") & (F.col("unmet") == 0) & F.col("known_course"))
-        .groupBy(*REQUEST)
-        .agg(F.min(F.struct("sequence", "request_id")).alias("f"), F.first("units").alias("units"), F.first("held").alias("held"))
-        .select(*REQUEST, "f.sequence", "f.request_id", "units", "held")
+    ruled = stored(judge_rules(requests, semester, course, prerequisite, registration, result), "requests")
+
+    # Only the first eligible request for a course can be accepted; a repeat of an accepted one is a duplicate.
+    eligible = F.col("valid_semester") & ~F.col("late") & ~F.col("registered") & (F.col("unmet") == 0) & F.col("known_course")
+    first = ruled.where(eligible).groupBy(*REQUEST).agg(
+        F.min(F.struct("sequence", "request_id")).alias("first"), F.first("units").alias("units"), F.first("held").alias("held")
     )
+    judged = ruled.join(first.select(*REQUEST, F.col("first.request_id").alias("first_request")), REQUEST, "left")
     if cap is None:
-        taken = first.select("request_id", *REQUEST, F.col("sequence").alias("first_sequence"))
-        judged = ruled.withColumn("load", F.lit(0).cast("long"))
-        over = F.lit(False)
+        taken, over = F.col("first_request").isNotNull(), F.lit(False)
     else:
-        steps = rule_unit_cap(first, cap)
-        accepted = steps.select(F.explode("taken").alias("t")).select("t.request_id").withColumn("fits", F.lit(True))
-        free = (F.col("units") == 0) & (F.col("held") <= cap)
-        taken = (
-            first.join(accepted, "request_id", "left")
-            .where(F.col("fits") | free)
-            .select("request_id", *REQUEST, F.col("sequence").alias("first_sequence"))
-        )
-        before = F.filter("taken", lambda s: F.struct(s["sequence"], s["request_id"]) < F.struct("sequence", "request_id"))
-        load = F.coalesce(F.try_element_at(before, F.lit(-1))["load"], F.col("held").cast("long"))
-        judged = ruled.join(steps, GROUP, "left").withColumn("load", load).drop("taken")
-        over = F.coalesce(F.col("load") + F.col("units") > cap, F.lit(False))
-
-    winners = taken.select(*REQUEST, F.col("request_id").alias("winner"), "first_sequence")
-    judged = judged.join(winners, REQUEST, "left")
-    is_winner = F.coalesce(F.col("winner") == F.col("request_id"), F.lit(False))
-    repeat = F.col("winner").isNotNull() & ~is_winner
+        judged = judged.join(rule_unit_cap(first.select(*REQUEST, "first.*", "units", "held"), cap), GROUP, "left")
+        fits = F.exists("taken", lambda s: s["request_id"] == F.col("first_request"))
+        free = F.col("first_request").isNotNull() & (F.col("units") == 0) & (F.col("held") <= cap)
+        taken = F.coalesce(fits, F.lit(False)) | free
+        earlier = F.filter("taken", lambda s: F.struct(s["sequence"], s["request_id"]) < F.struct("sequence", "request_id"))
+        load = F.coalesce(F.try_element_at(earlier, F.lit(-1))["load"], F.col("held").cast("long"))
+        over = F.coalesce(load + F.col("units") > cap, F.lit(False))
+    repeat = taken & (F.col("first_request") != F.col("request_id"))
     message = (
         F.when(~F.col("valid_semester"), INVALID_SEMESTER)
         .when(F.col("late"), DEADLINE_PASSED)
         .when(F.col("registered") | repeat, ALREADY_REGISTERED)
-        .when(over, OVER_LIMIT.format(cap=cap))
+        .when(over & ~taken, OVER_LIMIT.format(cap=cap))
         .when(F.col("unmet") > 0, F.concat_ws(" ", F.lit("ERROR:"), F.col("unmet").cast("string"), F.lit(PREREQUISITES)))
         .when(F.col("known_course").isNull(), UNKNOWN_COURSE)
         .otherwise(REGISTERED)
@@ -274,7 +270,7 @@ def promote_students(
 
 def apply_promotions(promotions: DataFrame, student: DataFrame, history: DataFrame, now) -> tuple[DataFrame, DataFrame]:
     """New student table and new level history (one row per student and session)."""
-    moved = promotions.where(F.col("new_level_id").isNotNull())
+    moved = stored(promotions.where(F.col("new_level_id").isNotNull()), "promotions")
     stamp = F.lit(now).cast("timestamp_ntz")
     student = type1_upsert(
         student, moved.select("student_id", F.col("new_level_id").alias("current_level_id"), stamp.alias("updated_at")), "student_id"

@@ -12,7 +12,7 @@ from ..functions.exact import decimal_ratio
 from ..operators import constraints, extract, load, quality, registration, scd2, security, temporal
 from ..sources.derived import semester_of
 from ..sources.reference_data import resolve_literals
-from ..session import fresh_folder
+from ..session import fresh_folder, stored
 from ..sources.store import Store
 from . import adhoc, dims, facts, pipeline, reports, views
 from .warehouse import LOAD_TIME, RUN_ID
@@ -229,8 +229,11 @@ def _first_load(t) -> DataFrame:
     return scd2.scd2_merge(_empty_history(t), _snapshot(t, BATCH_1), "student_id", TRACKED, BATCH_1, "student_sk")
 
 
-def _second_load(t) -> DataFrame:
-    return scd2.scd2_merge(_first_load(t).drop("action"), _snapshot(t, BATCH_2), "student_id", TRACKED, BATCH_2, "student_sk")
+def _second_load(t, first: DataFrame | None = None) -> DataFrame:
+    """A snapshot merged into the stored dimension."""
+    first = stored(_first_load(t).drop("action"), "first-load") if first is None else first
+    snapshot = stored(_snapshot(t, BATCH_2), "snapshot")
+    return scd2.scd2_merge(first, snapshot, "student_id", TRACKED, BATCH_2, "student_sk")
 
 
 def scd2_first_load(t) -> DataFrame:
@@ -256,8 +259,9 @@ def version_history(t) -> DataFrame:
 
 def version_by_surrogate(t) -> DataFrame:
     """Orders pointing at the version open when they were loaded, counted by that version's attribute."""
-    versions = _second_load(t)
-    early = _first_load(t).select("student_id", "student_sk")
+    first = stored(_first_load(t).drop("action"), "first-load")
+    versions = stored(_second_load(t, first).drop("action"), "second-load")
+    early = first.select("student_id", "student_sk")
     late = scd2.current_rows(versions).select("student_id", "student_sk")
     orders = t.raw("orders").select(F.col("o_custkey").alias("student_id"), F.col("o_orderdate").cast("date").alias("day"))
     loaded = orders.where(F.col("day") <= F.lit(BATCH_1)).join(early, "student_id").unionByName(
@@ -323,13 +327,13 @@ def dq01(t) -> DataFrame:
 def dq02(t) -> DataFrame:
     """On results with ten points more."""
     results = t["course_result"].withColumn("total_score", F.col("total_score") + 10)
-    return _records(quality.impossible_score(_with(t, course_result=results)), "DQ-02")
+    return _records(quality.score_and_grade(_with(t, course_result=results)), "DQ-02")
 
 
 def dq03(t) -> DataFrame:
     """On semesters that end 180 days after their start."""
     short = t["semester"].withColumn("end_date", F.date_add("start_date", 180))
-    return _records(quality.registered_after_end(_with(t, semester=short)), "DQ-03")
+    return _records(quality.late_and_empty_semesters(_with(t, semester=short), CHECK_DATE), "DQ-03")
 
 
 def dq04(t) -> DataFrame:
@@ -351,11 +355,11 @@ def dq07_duplicates(t) -> DataFrame:
 
 
 def dq08(t) -> DataFrame:
-    return _records(quality.empty_closed_semesters(t, CHECK_DATE), "DQ-08")
+    return _records(quality.late_and_empty_semesters(t, CHECK_DATE), "DQ-08")
 
 
 def dq09_grade_range(t) -> DataFrame:
-    return _records(quality.grade_out_of_range(t), "DQ-09")
+    return _records(quality.score_and_grade(t), "DQ-09")
 
 
 def dq10(t) -> DataFrame:
@@ -386,11 +390,35 @@ MODEL_TABLES = (
 )
 
 
-def constraint_violations(t) -> DataFrame:
+def model_violations(t) -> DataFrame:
     """All declared rules over the model and the warehouse."""
     return constraints.violations(t, MODEL_TABLES)
 
 
+def _damaged(t):
+    """The model with rows that break a rule of every kind."""
+    student, course = t["student"], t["course"]
+    suspended = F.col("enrollment_status") == "Suspended"
+    moved = F.when(F.col("current_level_id") == 1, F.col("programme_id") + 1000).otherwise(F.col("programme_id"))
+    return _with(
+        t,
+        student=student.withColumns({"email": F.col("state_of_origin"), "gender": F.when(suspended, "Unknown").otherwise(F.col("gender")), "programme_id": moved}),
+        course=course.withColumns({"level_id": F.col("level_id") + 3, "course_title": F.when(~F.col("is_compulsory_se"), F.col("course_title"))}),
+        semester=t["semester"].withColumn("reg_deadline", F.when(F.col("is_current"), F.date_add("end_date", 1)).otherwise(F.col("reg_deadline"))),
+        course_registration=t["course_registration"].withColumn(
+            "registration_status", F.when(F.col("registration_status") == "Dropped", "Cancelled").otherwise(F.col("registration_status"))
+        ),
+        course_prerequisite=t["course_prerequisite"].withColumn("required_course_id", F.col("course_id")),
+        course_result=t["course_result"].withColumn("remark", F.when(F.col("remark") != "Absent", F.col("remark"))),
+    )
+
+
+def constraint_violations(t) -> DataFrame:
+    """All declared rules over a damaged model, counted per rule."""
+    found = model_violations(_damaged(t))
+    return found.groupBy("rule").agg(F.count("*").alias("keys"), F.sum("violations").alias("violations"))
+
+
 # --- visibility ---------------------------------------------------------------
 
 
@@ -449,7 +477,7 @@ def promote_students(t) -> DataFrame:
 
 def promoted_levels(t) -> DataFrame:
     """Students per level after promotion, and the level history written."""
-    promotions = promote_students(t)
+    promotions = stored(promote_students(t), "promoted")
     history = dims.empty(t.spark, "student_level_history")
     students, written = registration.apply_promotions(promotions, t["student"], history, LOAD_TIME)
     after = students.groupBy(F.col("current_level_id").alias("level_id")).agg(F.count("*").alias("students"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans rely on.  Broadcasts are left to Spark's own
 # size check (autoBroadcastJoinThreshold on file and shuffle statistics);
@@ -55,3 +55,10 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, never reused path below the shared folder."""
     return f"{shared_folder(spark)}/matricula/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back: computed once, of known size, and kept when executors are lost."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -598,6 +598,17 @@ STATEMENTS = {
             FROM (SELECT count(*) AS n FROM customer GROUP BY c_nationkey, c_mktsegment HAVING count(*) > 1)
         UNION ALL SELECT 'reference:orders.o_custkey->recent', count(DISTINCT o_custkey), count(*) FROM orders
             WHERE o_custkey NOT IN (SELECT user_id FROM events)""",
+    "constraint_violations": """SELECT 'unique:student.email' AS rule, count(*) AS keys, CAST(sum(n) AS BIGINT) AS violations
+            FROM (SELECT count(*) AS n FROM student GROUP BY state_of_origin HAVING count(*) > 1)
+        UNION ALL SELECT 'check:student.gender', count(*), count(*) FROM student WHERE enrollment_status = 'Suspended' HAVING count(*) > 0
+        UNION ALL SELECT 'reference:student.programme_id->programme', count(DISTINCT programme_id), count(*) FROM student WHERE current_level_id = 1
+            AND programme_id + 1000 NOT IN (SELECT programme_id FROM programme)
+        UNION ALL SELECT 'reference:course.level_id->student_level', 1, count(*) FROM course WHERE level_id + 3 > 7
+        UNION ALL SELECT 'not_null:course.course_title', count(*), count(*) FROM course WHERE is_compulsory_se
+        UNION ALL SELECT 'check:semester.reg_deadline', count(*), count(*) FROM semester WHERE is_current
+        UNION ALL SELECT 'check:course_registration.registration_status', count(*), count(*) FROM registration WHERE registration_status = 'Dropped'
+        UNION ALL SELECT 'check:course_prerequisite.no_self_prereq', count(*), count(*) FROM prerequisite
+        UNION ALL SELECT 'not_null:course_result.remark', count(*), count(*) FROM result WHERE remark = 'Absent'""",
     # history
     "versions_from_changes": HISTORY,
     "versions_from_timestamps": EVENT_VERSIONS,
