@@ -171,57 +171,79 @@ NOT_NULLS = (
 )
 
 
-def _name(kind: str, table: str, detail: str) -> str:
-    return f"{kind}:{table}.{detail}"
+def _name(rule) -> str:
+    if isinstance(rule, Check):
+        return f"check:{rule.table}.{rule.name}"
+    if isinstance(rule, NotNull):
+        return f"not_null:{rule.table}.{','.join(rule.columns)}"
+    if isinstance(rule, Unique):
+        return f"unique:{rule.table}.{','.join(rule.columns)}"
+    return f"reference:{rule.table}.{rule.column}->{rule.parent}"
 
 
-def _whole_key(columns):
-    """Several columns as one text, each with its length in front, so that no two keys look alike."""
-    text = [F.col(c).cast("string") for c in columns]
-    return F.concat_ws("|", *[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("null")) for t in text])
+def _whole_key(df: DataFrame, columns):
+    """Several columns as one text; a text column has its length in front, so that no two keys look alike."""
+    kinds = dict(df.dtypes)
+    part = []
+    for c in columns:
+        text = F.col(c).cast("string")
+        part.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text) if kinds[c] == "string" else text, F.lit("null")))
+    return F.concat_ws("|", *part)
 
 
-def _entry(rule: str, key, child: int = 1, parent: int = 0):
-    return F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent"))
+def _broken(rule):
+    if isinstance(rule, Check):
+        return ~F.coalesce(F.expr(rule.condition), F.lit(True))
+    return F.col(rule.columns[0]).isNull()
 
 
-def _entries(df: DataFrame, table: str, rules, parents) -> DataFrame:
-    """What one table says about the rules, in one scan: broken rows, unique keys, child keys, parent keys."""
+def _entry(number: int, key, parent: int = 0):
+    return F.struct(F.lit(number).alias("rule"), key.alias("key"), F.lit(1 - parent).alias("child"), F.lit(parent).alias("parent"))
+
+
+def _row_entries(df: DataFrame, numbered) -> DataFrame:
+    """The rows that break a rule on their own, once per rule."""
     own = F.col(df.columns[0]).cast("string")
-    said = []
-    for r in rules:
-        if isinstance(r, Check):
-            broken = ~F.coalesce(F.expr(r.condition), F.lit(True))
-            said.append(F.when(broken, _entry(_name("check", table, r.name), own)))
-        elif isinstance(r, NotNull):
-            said += [F.when(F.col(c).isNull(), _entry(_name("not_null", table, c), own)) for c in r.columns]
-        elif isinstance(r, Unique):
-            said.append(_entry(_name("unique", table, ",".join(r.columns)), _whole_key(r.columns)))
-        else:
-            child = F.col(r.column).cast("string")
-            said.append(F.when(child.isNotNull(), _entry(_name("reference", table, f"{r.column}->{r.parent}"), child)))
-    for r in parents:
-        rule = _name("reference", r.table, f"{r.column}->{r.parent}")
-        said.append(_entry(rule, F.col(r.parent_column).cast("string"), 0, 1))
-    return df.select(F.explode(F.array_compact(F.array(*said))).alias("e")).select("e.*")
+    any_broken = reduce(lambda a, b: a | b, [_broken(r) for _, r in numbered])
+    said = F.array(*[F.when(_broken(r), _entry(n, own)) for n, r in numbered])
+    return df.where(any_broken).select(F.explode(said).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+
+
+def _key_entries(df: DataFrame, keys, children, parents) -> DataFrame:
+    """What one table says about keys, in one scan: its unique keys, the parents it names, the parents it is."""
+    said = [_entry(n, _whole_key(df, r.columns)) for n, r in keys]
+    said += [_entry(n, F.col(r.column).cast("string")) for n, r in children]
+    said += [_entry(n, F.col(r.parent_column).cast("string"), 1) for n, r in parents]
+    return df.select(F.explode(F.array(*said)).alias("e")).select("e.*").where(F.col("key").isNotNull())
 
 
 def violations(tables, available, checks=CHECKS, not_nulls=NOT_NULLS, uniques=UNIQUES, references=REFERENCES) -> DataFrame:
-    """Every rule whose tables are ``available``, checked with one scan per table and one shuffle.
+    """Every rule whose tables are ``available``, checked with one shuffle.
 
     Keys are counted per rule on the map side, so a key that many rows share
     moves once.  A row rule is broken by any entry, a unique key by a second
     one, a reference by a child without a parent.
     """
-    known = [r for r in references if r.table in available and r.parent in available]
-    rules = [r for r in (*checks, *not_nulls, *uniques) if r.table in available] + known
+    single = [NotNull(r.table, (c,)) for r in not_nulls for c in r.columns]
+    rules = [r for r in (*checks, *single, *uniques) if r.table in available]
+    rules += [r for r in references if r.table in available and r.parent in available]
+    numbered = list(enumerate(rules))
     parts = []
-    for table in dict.fromkeys([r.table for r in rules] + [r.parent for r in known]):
-        mine = [r for r in rules if r.table == table]
-        parts.append(_entries(tables[table], table, mine, [r for r in known if r.parent == table]))
+    for table in dict.fromkeys([r.table for r in rules] + [r.parent for r in rules if isinstance(r, Reference)]):
+        df = tables[table]
+        mine = [(n, r) for n, r in numbered if r.table == table]
+        row_rules = [(n, r) for n, r in mine if isinstance(r, (Check, NotNull))]
+        keys = [(n, r) for n, r in mine if isinstance(r, Unique)]
+        children = [(n, r) for n, r in mine if isinstance(r, Reference)]
+        parents = [(n, r) for n, r in numbered if isinstance(r, Reference) and r.parent == table]
+        if row_rules:
+            parts.append(_row_entries(df, row_rules))
+        if keys or children or parents:
+            parts.append(_key_entries(df, keys, children, parents))
     counted = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(
         F.sum("child").alias("violations"), F.sum("parent").alias("parents")
     )
-    kind = F.substring_index("rule", ":", 1)
-    broken = F.when(kind == "unique", F.col("violations") > 1).otherwise((F.col("violations") > 0) & (F.col("parents") == 0))
-    return counted.where(broken).select("rule", "key", "violations")
+    name = F.array(*[F.lit(_name(r)) for r in rules])[F.col("rule")]
+    is_key = F.col("rule").isin([n for n, r in numbered if isinstance(r, Unique)])
+    broken = F.when(is_key, F.col("violations") > 1).otherwise((F.col("violations") > 0) & (F.col("parents") == 0))
+    return counted.where(broken).select(name.alias("rule"), "key", "violations")
