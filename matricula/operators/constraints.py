@@ -181,40 +181,35 @@ def _name(rule) -> str:
     return f"reference:{rule.table}.{rule.column}->{rule.parent}"
 
 
-def _whole_key(df: DataFrame, columns):
+def _whole_key(df: DataFrame, columns) -> str:
     """Several columns as one text; a text column has its length in front, so that no two keys look alike."""
     kinds = dict(df.dtypes)
-    part = []
-    for c in columns:
-        text = F.col(c).cast("string")
-        part.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text) if kinds[c] == "string" else text, F.lit("null")))
-    return F.concat_ws("|", *part)
+    text = lambda c: f"length({c}) || ':' || {c}" if kinds[c] == "string" else f"CAST({c} AS STRING)"
+    return "concat_ws('|', " + ", ".join(f"coalesce({text(c)}, 'null')" for c in columns) + ")"
 
 
-def _broken(rule):
-    if isinstance(rule, Check):
-        return ~F.coalesce(F.expr(rule.condition), F.lit(True))
-    return F.col(rule.columns[0]).isNull()
+def _broken(rule) -> str:
+    return f"NOT coalesce({rule.condition}, true)" if isinstance(rule, Check) else f"{rule.columns[0]} IS NULL"
 
 
-def _entry(number: int, key, parent: int = 0):
-    return F.struct(F.lit(number).alias("rule"), key.alias("key"), F.lit(1 - parent).alias("child"), F.lit(parent).alias("parent"))
+def _entry(number: int, key: str, parent: int = 0) -> str:
+    return f"named_struct('rule', {number}, 'key', {key}, 'child', {1 - parent}, 'parent', {parent})"
 
 
 def _row_entries(df: DataFrame, numbered) -> DataFrame:
     """The rows that break a rule on their own, once per rule."""
-    own = F.col(df.columns[0]).cast("string")
-    any_broken = reduce(lambda a, b: a | b, [_broken(r) for _, r in numbered])
-    said = F.array(*[F.when(_broken(r), _entry(n, own)) for n, r in numbered])
-    return df.where(any_broken).select(F.explode(said).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    own = f"CAST({df.columns[0]} AS STRING)"
+    said = ", ".join(f"CASE WHEN {_broken(r)} THEN {_entry(n, own)} END" for n, r in numbered)
+    any_broken = " OR ".join(f"({_broken(r)})" for _, r in numbered)
+    return df.where(any_broken).selectExpr(f"inline(array({said}))").where("rule IS NOT NULL")
 
 
 def _key_entries(df: DataFrame, keys, children, parents) -> DataFrame:
     """What one table says about keys, in one scan: its unique keys, the parents it names, the parents it is."""
     said = [_entry(n, _whole_key(df, r.columns)) for n, r in keys]
-    said += [_entry(n, F.col(r.column).cast("string")) for n, r in children]
-    said += [_entry(n, F.col(r.parent_column).cast("string"), 1) for n, r in parents]
-    return df.select(F.explode(F.array(*said)).alias("e")).select("e.*").where(F.col("key").isNotNull())
+    said += [_entry(n, f"CAST({r.column} AS STRING)") for n, r in children]
+    said += [_entry(n, f"CAST({r.parent_column} AS STRING)", 1) for n, r in parents]
+    return df.selectExpr(f"inline(array({', '.join(said)}))").where("key IS NOT NULL")
 
 
 def violations(tables, available, checks=CHECKS, not_nulls=NOT_NULLS, uniques=UNIQUES, references=REFERENCES) -> DataFrame:
@@ -243,7 +238,7 @@ def violations(tables, available, checks=CHECKS, not_nulls=NOT_NULLS, uniques=UN
     counted = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(
         F.sum("child").alias("violations"), F.sum("parent").alias("parents")
     )
-    name = F.array(*[F.lit(_name(r)) for r in rules])[F.col("rule")]
-    is_key = F.col("rule").isin([n for n, r in numbered if isinstance(r, Unique)])
-    broken = F.when(is_key, F.col("violations") > 1).otherwise((F.col("violations") > 0) & (F.col("parents") == 0))
-    return counted.where(broken).select(name.alias("rule"), "key", "violations")
+    names = ", ".join(f"'{_name(r)}'" for r in rules)
+    keys = ", ".join(str(n) for n, r in numbered if isinstance(r, Unique)) or "-1"
+    broken = f"CASE WHEN rule IN ({keys}) THEN violations > 1 ELSE violations > 0 AND parents = 0 END"
+    return counted.where(broken).selectExpr(f"array({names})[rule] AS rule", "key", "violations")

@@ -8,6 +8,8 @@ version number (see ``operators.scd2``).
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -105,6 +107,7 @@ WAREHOUSE = {
 }
 
 
+@cache
 def schema_of(table: str) -> StructType:
     return StructType.fromDDL(SOURCE.get(table) or WAREHOUSE[table])
 

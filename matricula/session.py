@@ -32,6 +32,7 @@ def build_session(app: str = "matricula", cpus: str = "*", memory: str = "8g") -
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
         .getOrCreate()

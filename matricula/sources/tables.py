@@ -29,20 +29,21 @@ class Tables(Mapping):
         self.raw_dir = raw_dir.rstrip("/")
         self._builders = builders
         self._views = views
-        self._paths: dict[str, str] = {}
+        self._frames: dict[str, DataFrame] = {}
         self._folder = fresh_folder(spark, "tables")
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.raw_dir}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in self._views:
-            return typed(self._builders[name](self), name)
-        if name not in self._paths:
-            path = f"{self._folder}/{name}"
-            write_table(self._builders[name](self), name, path)
-            self._paths[name] = path
-        return read_table(self.spark, name, self._paths[name])
+        if name not in self._frames:
+            if name in self._views:
+                self._frames[name] = typed(self._builders[name](self), name)
+            else:
+                path = f"{self._folder}/{name}"
+                write_table(self._builders[name](self), name, path)
+                self._frames[name] = read_table(self.spark, name, path)
+        return self._frames[name]
 
     def __contains__(self, name) -> bool:
         return name in self._builders
