@@ -80,6 +80,11 @@ def run_health(status: Column, warnings: Column) -> Column:
     )
 
 
+def folded(column: Column, case_insensitive: bool = True) -> Column:
+    """A text to compare: as is, or without case and trailing blanks."""
+    return F.lower(F.rtrim(column)) if case_insensitive else column
+
+
 def full_name(first: Column, last: Column) -> Column:
     """First and last name around one blank; a missing part counts as empty."""
     return F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit("")))

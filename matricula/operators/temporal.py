@@ -10,29 +10,29 @@ from pyspark.sql.types import DateType
 from ..functions.dates import OPEN_END
 
 
-def next_in_key(df: DataFrame, keys: Sequence[str], at: str, out: str) -> DataFrame:
+def next_in_key(df: DataFrame, keys: Sequence[str], at: str, out: str, bucket: str = "hour") -> DataFrame:
     """Add the next ``at`` of the same key, NULL on the last; rows are unique on (keys, at).
 
     With dates a key has at most one row per calendar day.  With timestamps a
-    key may hold any number of rows, so it is ordered per day and only the
-    first moment of each day crosses days.
+    key may hold any number of rows, so it is ordered within buckets of time
+    and only the first moment of each bucket crosses to the one before.
     """
     keys = list(keys)
     if isinstance(df.schema[at].dataType, DateType):
         return df.withColumn(out, F.lead(at).over(Window.partitionBy(*keys).orderBy(at)))
-    daily = df.withColumn("_day", F.col(at).cast("date"))
-    day = [*keys, "_day"]
+    bucketed = df.withColumn("_bucket", F.date_trunc(bucket, F.col(at)))
+    group = [*keys, "_bucket"]
     following = (
-        daily.groupBy(*day)
+        bucketed.groupBy(*group)
         .agg(F.min(at).alias("_first"))
-        .withColumn("_later", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_day")))
+        .withColumn("_later", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bucket")))
         .drop("_first")
     )
-    within = F.lead(at).over(Window.partitionBy(*day).orderBy(at))
+    within = F.lead(at).over(Window.partitionBy(*group).orderBy(at))
     return (
-        daily.withColumn("_same_day", within)
-        .join(following, day)
-        .withColumn(out, F.coalesce("_same_day", "_later"))
+        bucketed.withColumn("_within", within)
+        .join(following, group)
+        .withColumn(out, F.coalesce("_within", "_later"))
         .select(*df.columns, out)
     )
 

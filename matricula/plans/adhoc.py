@@ -93,6 +93,17 @@ def run_status_histogram(t) -> DataFrame:
     return t["etl_log"].groupBy("status").agg(F.count("*").alias("runs"))
 
 
+def run_history(t) -> DataFrame:
+    """Runs with their duration, newest first."""
+    columns = ("etl_run_id", "run_started_at", "run_finished_at", "status", "rows_inserted", "rows_updated", "scd2_rows_closed")
+    return reports.etl_health(t).select(*columns, "dq_errors", "dq_warnings", "duration_seconds").orderBy(F.col("etl_run_id").desc())
+
+
+def failed_checks(dq_log: DataFrame) -> DataFrame:
+    """Logged checks, newest first."""
+    return dq_log.orderBy(F.col("checked_at").desc(), "check_name")
+
+
 def row_counts(t, names) -> DataFrame:
     """Rows of each named table."""
     parts = [t[n].agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n in names]

@@ -569,6 +569,7 @@ CATALOG = {
     "student_trend": lambda t: adhoc.student_trend(t, "Customer#000000007"),
     "semester_timeline": lambda t: adhoc.semester_timeline(t, "2000/2001", "First"),
     "last_runs": adhoc.last_runs,
+    "run_history": adhoc.run_history,
     "run_status_histogram": adhoc.run_status_histogram,
     "row_counts": lambda t: adhoc.row_counts(t, MODEL_TABLES),
     "rls_student": _visible("student_seven"),

@@ -12,31 +12,33 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import bands, dates
+from ..functions.bands import folded
 from ..functions.dates import FIRST_WATERMARK
 from ..functions.exact import decimal_ratio
 from ..operators.extract import changed_since
 from ..operators.load import unmatched
 from ..operators.registration import session_gpa
 from ..operators.scd2 import current_rows, natural_key
+from ..operators.temporal import asof_lookup
 
 EVENT_KEY = ("student_id", "course_sk", "period_sk")
 
 
-def folded(column, case_insensitive: bool):
-    """Join key of a text: as is, or compared without case and trailing blanks."""
-    return F.lower(F.rtrim(column)) if case_insensitive else column
-
-
-def student_lookup(t, case_insensitive: bool = False) -> DataFrame:
-    """student_id -> current version and state of origin."""
+def origin_lookup(t, case_insensitive: bool = False) -> DataFrame:
+    """student_id -> state of origin, if it is known."""
     state = t["dim_geography"].select("geo_sk", folded(F.col("state_name"), case_insensitive).alias("state"))
-    origin = (
+    return (
         t["student"]
         .select("student_id", folded(F.col("state_of_origin"), case_insensitive).alias("state"))
         .join(state, "state", "left")
         .select("student_id", "geo_sk")
     )
-    return current_rows(t["dim_student"]).select("student_id", "student_sk").join(origin, "student_id", "left")
+
+
+def student_lookup(t, case_insensitive: bool = False) -> DataFrame:
+    """student_id -> current version and state of origin."""
+    current = current_rows(t["dim_student"]).select("student_id", "student_sk")
+    return current.join(origin_lookup(t, case_insensitive), "student_id", "left")
 
 
 def course_lookup(t) -> DataFrame:
@@ -75,19 +77,32 @@ def enrollment_flags() -> dict:
 
 def enrollment_rows(
     t, run_id: int, now: datetime, watermark: datetime = FIRST_WATERMARK, until: datetime | None = None,
-    fanout: bool = False, case_insensitive: bool = False,
+    fanout: bool = False, case_insensitive: bool = False, at_registration: bool = False,
 ) -> DataFrame:
-    """Enrolment facts of the results changed since the watermark, however late they come."""
+    """Enrolment facts of the results changed since the watermark, however late they come.
+
+    They point at the student's current version, or with ``at_registration``
+    at the one valid on the day of registration.
+    """
     results = changed_since(t["course_result"], watermark, until).select(
         "registration_id", "ca_score", "exam_score", "total_score", "grade", "grade_point", "credit_units_earned", "remark", "entered_at"
     )
     registrations = t["course_registration"].drop("updated_at")
-    return (
+    rows = (
         results.join(registrations, "registration_id")
         .join(semester_lookup(t), "semester_id")
         .join(course_lookup(t), "course_id")
         .join(lecturer_lookup(t, fanout), ["course_id", "semester_id"], "left")
-        .join(student_lookup(t, case_insensitive), "student_id")
+    )
+    if at_registration:
+        dated = rows.withColumn("registered_on", F.col("registration_date").cast("date"))
+        versions = t["dim_student"].select("student_id", "student_sk", "effective_date", "expiry_date")
+        rows = asof_lookup(dated, versions, "student_id", "registered_on", ["student_sk"], "effective_date", "expiry_date", "inner")
+        people = origin_lookup(t, case_insensitive)
+    else:
+        people = student_lookup(t, case_insensitive)
+    return (
+        rows.join(people, "student_id")
         .withColumns({
             "reg_date_key": dates.date_key(F.col("registration_date")),
             "result_date_key": dates.date_key(F.col("entered_at")),

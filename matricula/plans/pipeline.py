@@ -91,11 +91,11 @@ class Run:
         self.stage(table, self.store.write(table, type1_upsert(target, rows, key, update), self.run_id))
         self.count(inserted=rows.count())
 
-    def students(self, watermark: datetime) -> None:
+    def students(self, watermark: datetime, touch: bool = False) -> None:
         """Rewrites the open versions; closed ones go to a part of their own and are not touched again."""
         table, closed = "dim_student", f"closed-{self.run_id}"
         stored = self.store.parts(table)
-        snapshot = self.delta(table, dims.student_snapshot(self.source, watermark, self.until)).select(*dims.SNAPSHOT)
+        snapshot = self.delta(table, dims.student_snapshot(self.source, watermark, self.until, touch)).select(*dims.SNAPSHOT)
         current = self.store.read(table, {k: v for k, v in stored.items() if k == CURRENT})
         # Every key with a version has an open one, so the open slice holds all known keys.
         merged = dims.merge_student(current, snapshot, self.now.date(), self.now, self.run_id)
@@ -177,6 +177,7 @@ def run_incremental(
     until: datetime,
     *,
     force_full: bool = False,
+    touch: bool = False,
     triggered_by: str = "scheduler",
     calendar: DataFrame | None = None,
     geography: DataFrame | None = None,
@@ -187,7 +188,8 @@ def run_incremental(
 
     Raises ``LoadBlocked`` when an error check flags anything.  Whatever
     fails, the run is logged as FAILED and the published tables stay as they
-    were.  ``clock`` gives the finish time (default: ``until``); ``limits``
+    were.  With ``touch`` a renamed programme, department or faculty counts as a
+    change of its students.  ``clock`` gives the finish time (default: ``until``); ``limits``
     are thresholds of the checks.
     """
     spark = store.spark
@@ -209,7 +211,7 @@ def run_incremental(
         marks = stored_watermarks(store)
         wm = extract.read_watermarks(marks, force_full)
         run.together(
-            lambda: run.students(wm["student"]),
+            lambda: run.students(wm["student"], touch),
             lambda: run.type1("dim_course", dims.course_source(source, until, wm["course"], until), "course_id", dims.COURSE_REFRESHED),
             lambda: run.type1("dim_staff", dims.staff_source(source, until, wm["staff"], until), "staff_id", dims.STAFF_REFRESHED),
             lambda: run.type1("dim_academic_period", dims.period_source(source, wm["semester"], until), "semester_id"),

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.bands import full_name
+from ..functions.bands import folded, full_name
 from ..sources.reference_data import COMPULSORY_CODE
 
 
@@ -82,9 +82,10 @@ def student_transcript(t, students: DataFrame | None = None) -> DataFrame:
     )
 
 
-def ser001_compliance(t, code: str = COMPULSORY_CODE) -> DataFrame:
+def ser001_compliance(t, code: str = COMPULSORY_CODE, case_insensitive: bool = False) -> DataFrame:
     """First-year students against their registrations for the compulsory course in any semester."""
-    course = t["course"].where(F.col("course_code") == code).select("course_id")
+    same = folded(F.col("course_code"), case_insensitive) == folded(F.lit(code), case_insensitive)
+    course = t["course"].where(same).select("course_id")
     taken = t["course_registration"].join(course, "course_id", "left_semi").select("student_id", "registration_id")
     first_year = t["student_level"].where("level_number = 100").select(F.col("level_id").alias("current_level_id"), "level_name")
     status = F.when(F.col("registration_id").isNotNull(), "Registered").otherwise("NOT Registered")

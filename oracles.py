@@ -551,6 +551,8 @@ STATEMENTS = {
     "faculty_avg_point": f"SELECT faculty_name, {mean('tenths', 'tenths', 1, 4, 'avg_grade_point')} FROM enrollment JOIN flat USING (student_id) GROUP BY 1",
     "etl_health": HEALTH,
     "last_runs": f"SELECT * FROM ({HEALTH}) ORDER BY etl_run_id DESC LIMIT 10",
+    "run_history": f"""SELECT etl_run_id, run_started_at, run_finished_at, status, rows_inserted, rows_updated, scd2_rows_closed, dq_errors, dq_warnings,
+        duration_seconds FROM ({HEALTH})""",
     "run_status_histogram": "SELECT status, count(*) AS runs FROM run_log GROUP BY 1",
     "row_counts": " UNION ALL ".join(f"SELECT '{k}' AS table_name, count(*) AS rows FROM {v}" for k, v in ROW_COUNTS.items()),
     "run_incremental": """SELECT * FROM (SELECT 'dim_academic_period' AS table_name, count(*) AS rows FROM period

@@ -242,6 +242,18 @@ def test_enrollment_edges(spark):
     assert (gpa.session_gpa, gpa.total_credits_attempted, gpa.courses_passed) == (Decimal("2.60"), 15, 4)
 
 
+def test_facts_at_the_version_of_registration(spark):
+    t, now = warehouse(spark, seed.source(spark))
+    dim = t["dim_student"]
+    old = dim.where("student_id = 3").withColumns({
+        "student_sk": F.col("student_sk") + 1, "effective_date": F.lit(date(2020, 1, 1)), "expiry_date": F.lit(date(2024, 1, 1)), "is_current": F.lit(False),
+    })
+    t["dim_student"] = dim.unionByName(old)
+    assert {r.student_sk for r in facts.enrollment_rows(t, 1, now).collect()} == {3_000_001}
+    past = facts.enrollment_rows(t, 1, now, at_registration=True).collect()
+    assert len(past) == 5 and {r.student_sk for r in past} == {3_000_002} and {r.geo_sk for r in past} == {30}
+
+
 def test_running_cgpa_counts_sessions_without_gpa(spark):
     sessions = spark.createDataFrame([(1, 1, Decimal("4.00"), 10), (1, 2, None, 5), (1, 3, Decimal("3.01"), 30)], "student_id int, session_id int, session_gpa decimal(4,2), credits_attempted int")
     assert [r.cgpa for r in facts.running_cgpa(sessions).orderBy("session_id").collect()] == [Decimal("4.00"), Decimal("2.00"), Decimal("2.34")]

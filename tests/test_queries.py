@@ -34,6 +34,11 @@ def test_query(spark, con, raw_dir, name):
     assert compare(QUERIES[name](spark, raw_dir), con, SQL[name]) is None
 
 
+def test_views(spark, tables):
+    tables.create_views(["student", "fact_enrollment"])
+    assert spark.sql("SELECT count(*) FROM student").first()[0] == tables["student"].count()
+
+
 def test_constraints_of_the_model_hold(tables):
     assert model_violations(tables).count() == 0
 
