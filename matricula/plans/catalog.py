@@ -294,8 +294,7 @@ def system_time_between(t) -> DataFrame:
 
 
 def system_time_all(t) -> DataFrame:
-    one = F.col("student_id") == 7
-    return temporal.system_time(t["student_history"], "all").where(one).orderBy("valid_from")
+    return temporal.system_time(t["student_history"], "all").orderBy("student_id", "valid_from")
 
 
 # --- checks -------------------------------------------------------------------

@@ -616,7 +616,7 @@ STATEMENTS = {
     "versions_from_timestamps": EVENT_VERSIONS,
     "system_time_as_of": f"{HISTORY} WHERE valid_from <= DATE '1998-06-01' AND valid_to > DATE '1998-06-01'",
     "system_time_between": f"{HISTORY} WHERE valid_from <= DATE '1998-03-01' AND valid_to > DATE '1998-01-01'",
-    "system_time_all": f"{HISTORY} WHERE student_id = 7",
+    "system_time_all": HISTORY,
     # visibility
     "rls_student": f"{VISIBLE} WHERE student_id = 7",
     "rls_lecturer": f"{VISIBLE} WHERE student_id IN ({TAUGHT})",
