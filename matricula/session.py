@@ -18,6 +18,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# spark.checkpoint.dir is fixed when the application starts, so a folder made
+# here (local mode only) is remembered per application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
@@ -48,9 +52,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="matricula-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="matricula-")
+    return _LOCAL_FOLDERS[app]
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
