@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from matricula.llm import license
+from matricula.llm import contamination, license, mixing, pii, sql, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +16,35 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.license_labels(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_license_scan,)}
-LLM_SQL: dict[str, str] = {}
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def source_domain(source: Column) -> Column:
+    """The documents name no domain; sources are dealt to four by the number in their name."""
+    return F.concat(F.lit("d"), F.coalesce(F.try_to_number(F.regexp_extract(source, "([0-9]{1,9})$", 1), F.lit("999999999")), F.lit(0)).cast("int") % 4)
+
+
+def mix_weights(spark: SparkSession) -> DataFrame:
+    """Stated target weights; a node that is not listed has weight 1."""
+    return spark.sql("SELECT * FROM VALUES ('d0', 4), ('d1', 3), ('d2', 2), ('d3', 1), ('d0/en', 3), ('d1/en', 2), ('d2/en', 2), ('d0/es', 2) AS t(path, weight)")
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.mix(docs, mix_weights(docs.sparkSession), source_domain(F.col("source")), total=0.6, epochs=3, seed=7)
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("n_near")
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op3_personal_data, op4_mix_sources, op7_url_filter, op8_decontaminate)}
+LLM_SQL: dict[str, str] = {"op4_mix_sources": sql.mix(), "op8_decontaminate": sql.DECONTAMINATE}

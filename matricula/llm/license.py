@@ -264,9 +264,10 @@ def license_labels(docs: DataFrame, rules: list[Rule] | None = None) -> DataFram
     starts_of = F.transform("base", lambda d: d["start"])
     word_at = lambda place: (F.char_length(F.substring(F.col("line"), F.lit(1), place.cast("int"))) - F.char_length(F.replace(F.substring(F.col("line"), F.lit(1), place.cast("int")), F.lit(" "), F.lit(""))) - 1).cast("long")
     labels = lambda c: F.array_sort(F.array_distinct(F.transform(c, lambda d: d["label"])))
+    of_priority = lambda priority: labels(F.filter("kept", lambda d: d["priority"] == priority))
     doubt = F.lit(1.0)
     for priority, sure in enumerate(CONFIDENCE):
-        doubt = doubt * F.pow(F.lit(1.0 - sure), F.size(labels(F.filter(F.col("kept"), lambda d, p=priority: d["priority"] == p))))
+        doubt = doubt * F.pow(F.lit(1.0 - sure), F.size(of_priority(priority)))
     return found.withColumn("base", base).select(
         "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
         F.when(F.size("base") > 0, word_at(F.array_min(starts_of))).alias("first_word"),
