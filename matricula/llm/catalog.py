@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matricula.llm import contamination, license, mixing, pii, sql, urls
+from matricula.llm import contamination, language, license, mixing, pii, sql, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -46,5 +50,5 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("n_near")
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op3_personal_data, op4_mix_sources, op7_url_filter, op8_decontaminate)}
+LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op3_personal_data, op4_mix_sources, op5_language, op7_url_filter, op8_decontaminate)}
 LLM_SQL: dict[str, str] = {"op4_mix_sources": sql.mix(), "op8_decontaminate": sql.DECONTAMINATE}
