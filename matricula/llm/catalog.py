@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matricula.llm import contamination, language, license, mixing, pii, sql, toxicity, urls
+from matricula.llm import contamination, language, license, mixing, neighbours, pii, sql, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -54,5 +58,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op3_personal_data, op4_mix_sources, op5_language, op7_url_filter, op8_decontaminate, op9_toxicity)}
+LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity)}
 LLM_SQL: dict[str, str] = {"op4_mix_sources": sql.mix(), "op8_decontaminate": sql.DECONTAMINATE}
