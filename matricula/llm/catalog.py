@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matricula.llm import contamination, language, license, mixing, neighbours, pii, sql, toxicity, urls
+from matricula.llm import contamination, jaccard, language, license, mixing, neighbours, pii, sql, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.license_labels(table(spark, sf_dir, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), jaccard.Rule(size=4, percent=85))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -58,5 +62,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity)}
+LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity)}
 LLM_SQL: dict[str, str] = {"op4_mix_sources": sql.mix(), "op8_decontaminate": sql.DECONTAMINATE}
