@@ -9,6 +9,7 @@ batch side by side.  Probabilities are fitted by expectation and maximisation on
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 TRAIN_DOCS = 2000  # labelled documents per language, on average at most
 TRAIN_WORDS = 150_000  # most frequent (language, word) pairs of these
+SPAN = 1 << 17  # more than there are letters in a vocabulary
 LONGEST = 32  # letters; longer words are cut into parts of this length
 MIN_CHANCE = 0.5
 UNKNOWN = "und"
@@ -37,32 +39,55 @@ def pieces(path: str = VOCABULARY) -> list[str]:
 
 @dataclass
 class Trie:
-    """Pieces as a table of steps: step[node, letter] is the next node or 0; piece[node] is the piece's number or -1."""
+    """Pieces as steps from node to node, kept in an open hash table: keys holds node * SPAN + letter (-1: free slot),
+    to the next node; piece[node] is the piece's number or -1."""
 
     letters: dict[str, int]
-    step: np.ndarray
+    keys: np.ndarray
+    to: np.ndarray
     piece: np.ndarray
 
     @staticmethod
     def of(texts: list[str]) -> Trie:
         letters = {c: i for i, c in enumerate(sorted({c for t in texts for c in t}), 1)}
-        steps: list[dict[int, int]] = [{}]
+        steps: dict[int, int] = {}
         ends = [-1]
         for number, text in enumerate(texts):
             node = 0
             for c in text:
-                k = letters[c]
-                if k not in steps[node]:
-                    steps[node][k] = len(steps)
-                    steps.append({})
+                key = node * SPAN + letters[c]
+                if key not in steps:
+                    steps[key] = len(ends)
                     ends.append(-1)
-                node = steps[node][k]
+                node = steps[key]
             ends[node] = number
-        table = np.zeros((len(steps), len(letters) + 1), np.int32)
-        for node, out in enumerate(steps):
-            for k, to in out.items():
-                table[node, k] = to
-        return Trie(letters, table, np.array(ends, np.int32))
+        size = 1 << (8 * max(1, len(steps)) - 1).bit_length()
+        keys, to = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+        for key, node in steps.items():
+            slot = int(Trie.slots(np.array([key]), size)[0])
+            while keys[slot] >= 0:
+                slot = (slot + 1) % size
+            keys[slot], to[slot] = key, node
+        return Trie(letters, keys, to, np.array(ends, np.int32))
+
+    @staticmethod
+    def slots(key: np.ndarray, size: int) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+    def step(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The next nodes; 0 where there is none."""
+        key = node.astype(np.int64) * SPAN + letter
+        slot = Trie.slots(key, len(self.keys))
+        seen = self.keys[slot]
+        out = np.where(seen == key, self.to[slot], 0)
+        left = np.flatnonzero((seen != key) & (seen >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) % len(self.keys)
+            seen = self.keys[slot[left]]
+            hit = seen == key[left]
+            out[left[hit]] = self.to[slot[left[hit]]]
+            left = left[~hit & (seen >= 0)]
+        return out
 
     def lookup(self) -> np.ndarray:
         table = np.zeros(0x110000, np.int32)
@@ -84,7 +109,7 @@ def matches(codes: np.ndarray, lengths: np.ndarray, trie: Trie) -> tuple[np.ndar
     stop = np.repeat(np.cumsum(lengths), lengths)
     node, place, depth, found = np.zeros(len(codes), np.int32), begin, 0, []
     while len(place):
-        node = trie.step[node, codes[place + depth]]
+        node = trie.step(node, codes[place + depth])
         depth += 1
         alive = node > 0
         node, place = node[alive], place[alive]
@@ -183,13 +208,14 @@ def fit(counts: list[tuple[str, str, int]], docs: dict[str, int], texts: list[st
 
 def text_scores(texts: list[str | None], model: Model, lookup: np.ndarray) -> tuple[list[str], list[float]]:
     """Language and posterior chance of whole texts; "und" and 0.0 for null and for texts without a letter."""
-    numbers: dict[str, int] = {}
+    numbers: defaultdict[str, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
     flat: list[int] = []
     sizes = []
     for text in texts:
         found = WORDS.findall(text.lower()) if text else []
         sizes.append(len(found))
-        flat.extend([numbers.setdefault(w, len(numbers)) for w in found])
+        flat.extend(map(numbers.__getitem__, found))
     letters = [w for w in numbers if w.isalpha() or any(c.isalpha() for c in w)]
     cut = [(numbers[w], p) for w in letters for p in parts(w)]
     table = np.zeros((len(numbers), len(model.languages)))
