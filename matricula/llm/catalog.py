@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matricula.llm import contamination, jaccard, language, license, mixing, neighbours, pii, sql, toxicity, urls
+from matricula.llm import contamination, jaccard, language, license, mixing, neighbours, pii, sql, suffixes, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,5 +62,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity)}
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity, op10_repeated_passages)}
 LLM_SQL: dict[str, str] = {"op4_mix_sources": sql.mix(), "op8_decontaminate": sql.DECONTAMINATE}

@@ -14,6 +14,7 @@ are compared with each other.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -104,13 +105,14 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text: A-Z lower-cased, words between ASCII white space.
 
     A text of fewer words, but not none, is one shingle; null and empty texts have none."""
-    numbers: dict[bytes, int] = {}
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
     flat: list[int] = []
     counts = np.zeros(len(texts), np.int64)
     for k, text in enumerate(texts):
         found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
         counts[k] = len(found)
-        flat.extend([numbers.setdefault(w, len(numbers)) for w in found])
+        flat.extend(map(numbers.__getitem__, found))
     table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in numbers), U, len(numbers))
     words = table[np.array(flat, np.int64)] if flat else np.zeros(0, U)
     rolled = np.zeros(max(0, len(words) - size + 1), U)
