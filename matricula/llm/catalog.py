@@ -66,5 +66,11 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity, op10_repeated_passages)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top; it uses this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity, op10_repeated_passages, pipeline)}
 LLM_SQL: dict[str, str] = {"op4_mix_sources": sql.mix(), "op8_decontaminate": sql.DECONTAMINATE}

@@ -123,6 +123,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW) -> DataFr
     """docs without the rows that hold a whole window of the benchmark; their columns as they were.
 
     Rows without an id are judged too: they carry a key of their own while they are searched."""
-    keyed = docs.withColumn("judged_key", F.sha2(F.to_json(F.struct(*docs.columns)), 256))
-    exact, _ = find(keyed.select(F.col("judged_key").alias("doc_id"), "text"), benchmark, length)
-    return keyed.join(exact.select(F.col("doc_id").alias("judged_key")).distinct(), "judged_key", "left_anti").select(*docs.columns)
+    row = F.struct(*[docs[c] for c in docs.columns])
+    keyed = docs.select(F.sha2(F.to_json(row), 256).alias("doc_id"), "text", row.alias("row"))
+    exact, _ = find(keyed.select("doc_id", "text"), benchmark, length)
+    return keyed.join(exact.select("doc_id").distinct(), "doc_id", "left_anti").select("row.*")

@@ -276,24 +276,6 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, per_language: int = TRA
     return fit([(r["lang"], r["word"], r["n"]) for r in top], sizes, pieces(vocabulary))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per row of docs: its columns of any type, then lang_pred and lang_score.  Only text is read for it."""
-    handed = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = handed.value
-        lookup = known.trie.lookup()
-        for batch in batches:
-            names, chances = text_scores(batch["text"].to_pylist(), known, lookup)
-            rest = [batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(names, pa.string()), pa.array(chances, pa.float64())], names=[*batch.schema.names, "lang_pred", "lang_score"])
-
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
-    return docs.mapInArrow(score, schema)
-
-
 def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per row of documents: doc_id, held_out, lang_pred, score.  Learned from rows that are not held out.
 
@@ -314,6 +296,15 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 def known(docs: DataFrame, vocabulary: str = VOCABULARY, least: float = MIN_CHANCE) -> DataFrame:
-    """docs without the rows whose language is undetermined or less likely than `least`; their columns as they were."""
-    named = predict(docs.drop("lang_pred", "lang_score"), learn(docs, vocabulary))
-    return named.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)).select(*docs.columns)
+    """docs without the rows whose language is undetermined or less likely than `least`; their columns as they were,
+    whatever their names."""
+    handed = docs.sparkSession.sparkContext.broadcast(learn(docs, vocabulary))
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = handed.value
+        lookup = model.trie.lookup()
+        for batch in batches:
+            names, chances = text_scores(batch["text"].to_pylist(), model, lookup)
+            yield batch.filter(pa.array([n != UNKNOWN and c >= least for n, c in zip(names, chances, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(judged, docs.schema)

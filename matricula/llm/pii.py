@@ -262,19 +262,17 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(_listed("pii_base"), 256).alias("base_sha256"), _listed("pii_spans").alias("spans"))
 
 
-def redacted(found: DataFrame, text_col: str = "text") -> DataFrame:
-    """find()'s rows with every span's text replaced by its kind in brackets; overlapping spans become one, named by
-    the first.  A null text stays null."""
+def redacted(docs: DataFrame, model: Boosted | None = None, text_col: str = "text") -> DataFrame:
+    """docs with every found span's text replaced by its kind in brackets; overlapping spans become one, named by the
+    first.  A null text stays null; other columns stay as they are, whatever their names."""
+    found = find(docs.select(F.col(text_col).alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row")), model)
     merged = F.aggregate("pii_spans", F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>"), lambda a, s: F.when(
         (F.size(a) > 0) & (F.coalesce(F.try_element_at(a, F.lit(-1))["end"], F.lit(-1)) > s["start"]),
         F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["end"], s["end"]).alias("end"), F.element_at(a, -1)["kind"].alias("kind")))),
     ).otherwise(F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))))
-    out = found.withColumn("pii_cuts", merged)
-    text = F.col(text_col)
-    kept = F.transform("pii_cuts", lambda c, i: F.concat(
-        F.substring(text, (F.when(i == 0, F.lit(0)).otherwise(F.element_at("pii_cuts", F.greatest(i, F.lit(1)))["end"]) + 1).cast("int"),
-                    (c["start"] - F.when(i == 0, F.lit(0)).otherwise(F.element_at("pii_cuts", F.greatest(i, F.lit(1)))["end"])).cast("int")),
-        F.lit("["), F.upper(c["kind"]), F.lit("]")))
-    tail = F.substring(text, (F.element_at("pii_cuts", -1)["end"] + 1).cast("int"), F.char_length(text))
-    whole = F.when(F.size("pii_cuts") > 0, F.concat(F.array_join(kept, ""), tail)).otherwise(text)
-    return out.withColumn(text_col, whole).drop("pii_cuts", "pii_base", "pii_spans")
+    cut = found.withColumn("cuts", F.when(F.size("pii_spans") > 0, merged))
+    before = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.element_at("cuts", F.greatest(i, F.lit(1)))["end"])
+    piece = lambda c, i: F.concat(F.substring("text", (before(i) + 1).cast("int"), (c["start"] - before(i)).cast("int")), F.lit("["), F.upper(c["kind"]), F.lit("]"))
+    tail = F.substring("text", (F.element_at("cuts", -1)["end"] + 1).cast("int"), F.char_length("text"))
+    text = F.when(F.col("cuts").isNotNull(), F.concat(F.array_join(F.transform("cuts", piece), ""), tail)).otherwise(F.col("text"))
+    return cut.select("row", text.alias("text")).select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
