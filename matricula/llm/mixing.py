@@ -36,7 +36,7 @@ def shares(children: DataFrame, by: list[str], name: str) -> DataFrame:
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("left_budget", (F.col("parent_budget") - F.coalesce(F.sum("cap").over(before), F.lit(0))).cast(WIDE))
     rows = rows.withColumn("left_weight", (F.sum("w").over(group) - F.coalesce(F.sum("w").over(before), F.lit(0))).cast(WIDE))
-    rows = rows.withColumn("full", F.when(F.col("left_weight") > 0, F.col("cap").cast(WIDE) * F.col("left_weight") <= F.col("left_budget") * F.col("w")).otherwise(F.col("left_budget") > 0))
+    rows = rows.withColumn("full", F.when(F.col("left_weight") > 0, F.col("cap").cast(WIDE) * F.col("left_weight") <= F.col("left_budget") * F.col("w")).otherwise(F.col("cap") <= F.col("left_budget")))
     # Once a child is not full none after it is.
     rows = rows.withColumn("full", F.min(F.col("full").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)) == 1)
     rest = F.col("parent_budget") - F.sum(F.when(F.col("full"), F.col("cap")).otherwise(0)).over(group)

@@ -55,7 +55,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> D
     Ids are drawn before any text is read; a document with several labels counts as toxic if one says so."""
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    rate = F.lit(0.0)
+    rate = F.lit(1.0)
     for label, n in sizes.items():
         rate = F.when(F.col("toxic") == label, F.lit(min(1.0, per_label / n))).otherwise(rate)
     drawn = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate * (1 << 30)).withColumn("weight", 1.0 / rate)
