@@ -13,7 +13,7 @@ from .load import unmatched
 
 # A version's surrogate is its natural key followed by six digits of version
 # number: exact, assigned without ordering all rows, distinct even for two
-# changes on one day.
+# changes on one day.  A version or key past the space stops the load.
 VERSION_SPACE = 1_000_000
 
 VALIDITY = ("effective_date", "expiry_date", "is_current")
@@ -23,6 +23,12 @@ def first_version(key: Column) -> Column:
     return key.cast("bigint") * VERSION_SPACE + 1
 
 
+def next_version(surrogate: Column) -> Column:
+    """The surrogate of the version after this one; an error if the key's numbers are used up."""
+    used_up = version_number(surrogate) == VERSION_SPACE - 1
+    return F.when(used_up, F.raise_error(F.concat(F.lit("no version number left after "), surrogate.cast("string")))).otherwise(surrogate + 1)
+
+
 def natural_key(surrogate: Column) -> Column:
     """The key a version belongs to, without a lookup."""
     return F.call_function("div", surrogate, F.lit(VERSION_SPACE))
@@ -80,7 +86,7 @@ def scd2_merge(
     changed = new.isNotNull() & differs(F.struct(*tracked), new, tracked)
     stamped = {"dw_updated_at": extra["dw_updated_at"].cast(current.schema["dw_updated_at"].dataType)} if "dw_updated_at" in extra else {}
     closed_row = existing("closed", expiry_date=today, is_current=F.lit(False), **stamped)
-    opened_row = F.struct(*opened(lambda c: new[c], F.col(surrogate) + 1, "opened"))
+    opened_row = F.struct(*opened(lambda c: new[c], next_version(F.col(surrogate)), "opened"))
     versions = F.when(changed, F.array(closed_row, opened_row)).otherwise(F.array(existing("kept")))
     carried = (
         current.join(snapshot.select(key, F.struct(*snapshot.columns).alias("_new")), key, "left")

@@ -140,11 +140,16 @@ def gpa_rows(
     t, run_id: int, now: datetime, watermark: datetime = FIRST_WATERMARK, until: datetime | None = None,
     weighted: bool = False, case_insensitive: bool = False,
 ) -> DataFrame:
-    """GPA facts of all sessions of the students with changed results, placed on the Second semester."""
-    registration = t["course_registration"]
-    if watermark > FIRST_WATERMARK:
+    """GPA facts of all sessions of the students with changed results, placed on the Second semester.
+
+    With ``until`` only results known by then count, so a student with later ones alone has no row.
+    """
+    registration, results = t["course_registration"], t["course_result"]
+    if watermark > FIRST_WATERMARK or until is not None:
         registration = registration.join(affected_students(t, watermark, until), "student_id", "left_semi")
-    sessions = session_gpa(registration, t["course_result"], t["course"], t["semester"])
+    if until is not None:
+        results = changed_since(results, FIRST_WATERMARK, until)
+    sessions = session_gpa(registration, results, t["course"], t["semester"])
     second = semester_lookup(t).where("semester_name = 'Second'").select("session_id", "period_sk")
     return (
         running_cgpa(sessions, weighted)
@@ -208,6 +213,13 @@ def event_rows(
     )
 
 
+def attempted_periods(t, watermark: datetime, until: datetime | None = None) -> DataFrame:
+    """The periods (their semesters' numbers) of the attempts since the watermark."""
+    accepted = changed_since(t["course_registration"], watermark, until).select("semester_id")
+    rejected = changed_since(t["registration_audit"], watermark, until, "attempt_time").select("semester_id")
+    return accepted.unionByName(rejected).distinct()
+
+
 def with_student_id(events: DataFrame) -> DataFrame:
     """Facts with the natural key of their student, over all versions."""
     return events.withColumn("student_id", natural_key(F.col("student_sk")))

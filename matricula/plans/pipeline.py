@@ -18,8 +18,11 @@ from ..sources.reference_data import ENTITIES, literal_table, states
 from ..sources.store import Parts, Store
 from . import dims, facts
 
-# Append-only tables keep one part per run; past this many they are merged into one.
+# Default number of parts after which an append-only table's parts are merged: for
+# closed student versions all of them, for events those of one period.
 MERGE_AFTER = 100
+# Default number of parts of the GPA fact; a load rewrites those its students are in.
+GPA_PARTS = 64
 
 CURRENT = "current"
 
@@ -31,13 +34,19 @@ class LoadBlocked(RuntimeError):
 class Run:
     """One load into a store.
 
-    ``until`` is fixed before anything is read: rows changed in
+    ``until`` is fixed before anything is read: facts changed in
     ``(watermark, until]`` are extracted and ``until`` becomes the watermark,
-    so a change made during the run is left for the next one.
+    so a change made during the run is left for the next one.  Dimension rows
+    are read without an upper bound, so that a fact always finds the rows it
+    refers to; the next run reads those past ``until`` again, which changes nothing.
     """
 
-    def __init__(self, store: Store, source: Mapping[str, DataFrame], run_id: int, until: datetime, now: datetime):
+    def __init__(
+        self, store: Store, source: Mapping[str, DataFrame], run_id: int, until: datetime, now: datetime,
+        merge_after: int = MERGE_AFTER, gpa_parts: int = GPA_PARTS,
+    ):
         self.store, self.source, self.run_id, self.until, self.now = store, source, run_id, until, now
+        self.merge_after, self.gpa_parts = merge_after, gpa_parts
         self.changed: dict[str, Parts] = {}
         self.staged: dict[str, DataFrame] = {}
         self._counts: dict[str, list[int]] = {"inserted": [], "updated": [], "closed": []}
@@ -85,8 +94,9 @@ class Run:
         self.stage("dim_geography", stored or self.store.write("dim_geography", rows, self.run_id))
 
     def type1(self, table: str, source: DataFrame, key: str, update=None) -> None:
-        """Upserts; rows inserted and rows updated both count as inserted."""
+        """Upserts; rows inserted and rows updated both count as inserted.  Two rows of one key stop the run."""
         rows = self.delta(table, source)
+        refuse_repeated(rows, [key], table)
         target = self.store.read(table)
         self.stage(table, self.store.write(table, type1_upsert(target, rows, key, update), self.run_id))
         self.count(inserted=rows.count())
@@ -95,7 +105,8 @@ class Run:
         """Rewrites the open versions; closed ones go to a part of their own and are not touched again."""
         table, closed = "dim_student", f"closed-{self.run_id}"
         stored = self.store.parts(table)
-        snapshot = self.delta(table, dims.student_snapshot(self.source, watermark, self.until, touch)).select(*dims.SNAPSHOT)
+        snapshot = self.delta(table, dims.student_snapshot(self.source, watermark, None, touch)).select(*dims.SNAPSHOT)
+        refuse_repeated(snapshot, ["student_id"], table)
         current = self.store.read(table, {k: v for k, v in stored.items() if k == CURRENT})
         # Every key with a version has an open one, so the open slice holds all known keys.
         merged = dims.merge_student(current, snapshot, self.now.date(), self.now, self.run_id)
@@ -128,29 +139,44 @@ class Run:
         return self.stage(table, {**{k: v for k, v in stored.items() if k not in touched}, **rewritten})
 
     def gpa(self, watermark: datetime) -> None:
-        """Recomputes the students with changed results, whatever version their old facts point at."""
+        """Recomputes the students with changed results, whatever version their old facts point at, as of ``until``.
+
+        The fact is kept in parts by student; only the parts of these students are read and rewritten."""
         table = "fact_student_gpa"
+        stored = self.store.parts(table)
         new = self.delta(table, facts.gpa_rows(self.tables, self.run_id, self.now, watermark, self.until))
+        refuse_repeated(new, ["student_sk", "period_sk"], table)
         affected = facts.affected_students(self.source, watermark, self.until)
-        keyed = facts.with_student_id(self.store.read(table))
+        part = lambda student: F.pmod(student, F.lit(self.gpa_parts)).cast("string")
+        touched = {r[0] for r in affected.select(part(F.col("student_id"))).distinct().collect()}  # at most gpa_parts
+        if set(stored) - {str(i) for i in range(self.gpa_parts)}:
+            touched |= set(stored)  # the number of parts was changed: all are dealt anew
+        keyed = facts.with_student_id(self.store.read(table, {k: v for k, v in stored.items() if k in touched}))
         merged = replace_affected_keys(keyed, facts.with_student_id(new), affected, ["student_id"])
-        self.stage(table, self.store.write(table, merged, self.run_id))
+        rewritten = self.store.write(table, merged, self.run_id, part(F.col("student_id")))
+        self.stage(table, {**{k: v for k, v in stored.items() if k not in touched}, **rewritten})
         self.count(inserted=new.count())
 
     def events(self, watermark: datetime) -> None:
-        """Appends the attempts the fact lacks."""
-        table, label = "fact_registration_event", f"run-{self.run_id}"
-        existing = facts.with_student_id(self.store.read(table))
+        """Appends the attempts the fact lacks; of the fact only the periods of the new attempts are read."""
+        table = "fact_registration_event"
+        stored = self.store.parts(table)
+        of = lambda part: part.partition("@")[0]
+        periods = {str(r[0]) for r in facts.attempted_periods(self.source, watermark, self.until).collect()}
+        existing = facts.with_student_id(self.store.read(table, {k: v for k, v in stored.items() if of(k) in periods}))
         rows = facts.event_rows(self.tables, self.run_id, self.now, watermark, self.until, existing)
-        parts = self.store.write(table, rows, self.run_id, label=label)
-        self.count(inserted=self.store.rows(table, parts))
-        self.stage(table, self.merge_parts(table, {**self.store.parts(table), **parts}))
-
-    def merge_parts(self, table: str, parts: Parts, keep: tuple[str, ...] = ()) -> Parts:
+        written = self.store.write(table, rows, self.run_id, F.col("period_sk").cast("string"))
+        self.count(inserted=self.store.rows(table, written))
+        parts = {**stored, **{f"{period}@{self.run_id}": path for period, path in written.items()}}
+        for period in written:
+            parts = self.merge_parts(table, parts, keep=tuple(k for k in parts if of(k) != period), label=f"{period}@merged-{self.run_id}")
+        self.stage(table, parts)
+
+    def merge_parts(self, table: str, parts: Parts, keep: tuple[str, ...] = (), label: str = "merged") -> Parts:
         many = {k: v for k, v in parts.items() if k not in keep}
-        if len(many) <= MERGE_AFTER:
+        if len(many) <= self.merge_after:
             return parts
-        whole = self.store.write(table, self.store.read(table, many), self.run_id, label="merged")
+        whole = self.store.write(table, self.store.read(table, many), self.run_id, label=label)
         return {**{k: parts[k] for k in keep if k in parts}, **whole}
 
     def watermarks(self, table: DataFrame) -> None:
@@ -158,6 +184,13 @@ class Run:
         self.stage("etl_watermark", self.store.write("etl_watermark", moved, self.run_id))
 
 
+def refuse_repeated(rows: DataFrame, keys: list[str], table: str) -> None:
+    """Stops the run if incoming rows hold a key more than once."""
+    repeated = rows.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1").select(*keys).first()
+    if repeated:
+        raise ValueError(f"{table}: more than one incoming row for {repeated.asDict()}")
+
+
 def stored_watermarks(store: Store) -> DataFrame:
     """The watermark table, seeded with every entity at the first watermark."""
     if store.parts("etl_watermark"):
@@ -182,6 +215,8 @@ def run_incremental(
     calendar: DataFrame | None = None,
     geography: DataFrame | None = None,
     clock=None,
+    merge_after: int = MERGE_AFTER,
+    gpa_parts: int = GPA_PARTS,
     **limits,
 ) -> DataFrame:
     """One incremental load of ``source`` into ``store`` as of ``until``; returns the run's log row.
@@ -189,12 +224,13 @@ def run_incremental(
     Raises ``LoadBlocked`` when an error check flags anything.  Whatever
     fails, the run is logged as FAILED and the published tables stay as they
     were.  With ``touch`` a renamed programme, department or faculty counts as a
-    change of its students.  ``clock`` gives the finish time (default: ``until``); ``limits``
-    are thresholds of the checks.
+    change of its students.  ``clock`` gives the finish time (default: ``until``); ``merge_after``
+    is the number of parts after which closed versions, or a period's events, are merged, ``gpa_parts``
+    the number of parts of the GPA fact; ``limits`` are thresholds of the checks.
     """
     spark = store.spark
     last = store.log("etl_log").agg(F.max("etl_run_id")).first()[0]
-    run = Run(store, source, (last or 0) + 1, until, until)
+    run = Run(store, source, (last or 0) + 1, until, until, merge_after, gpa_parts)
     finished = clock or (lambda: until)
     errors = warnings = 0
     _log_row(store, run, "RUNNING", None, triggered_by)
@@ -212,9 +248,9 @@ def run_incremental(
         wm = extract.read_watermarks(marks, force_full)
         run.together(
             lambda: run.students(wm["student"], touch),
-            lambda: run.type1("dim_course", dims.course_source(source, until, wm["course"], until), "course_id", dims.COURSE_REFRESHED),
-            lambda: run.type1("dim_staff", dims.staff_source(source, until, wm["staff"], until), "staff_id", dims.STAFF_REFRESHED),
-            lambda: run.type1("dim_academic_period", dims.period_source(source, wm["semester"], until), "semester_id"),
+            lambda: run.type1("dim_course", dims.course_source(source, until, wm["course"]), "course_id", dims.COURSE_REFRESHED),
+            lambda: run.type1("dim_staff", dims.staff_source(source, until, wm["staff"]), "staff_id", dims.STAFF_REFRESHED),
+            lambda: run.type1("dim_academic_period", dims.period_source(source, wm["semester"]), "semester_id"),
             lambda: run.calendar(dims.dim_date(spark) if calendar is None else calendar),
             lambda: run.geography(states(spark) if geography is None else geography),
         )

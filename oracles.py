@@ -421,6 +421,13 @@ ROW_COUNTS = {
     "dim_geography": "geography", "fact_enrollment": "enrollment", "fact_student_gpa": "gpa_fact", "fact_registration_event": "event",
 }
 
+HALF = "TIMESTAMP '1998-06-30'"
+HALF_GPA = f"""SELECT g.*, CAST(100 * {rounded('sum(gpa) OVER w', 'count(*) OVER w * 100', 2)} AS BIGINT) AS cgpa
+    FROM (SELECT student_id, session_id, sum(credit_units) AS attempted, sum(credit_units_earned) AS earned, count(*) AS registered,
+        CAST(100 * {rounded('sum(tenths * credit_units)', 'sum(credit_units) * 10', 2)} AS BIGINT) AS gpa
+        FROM enrollment JOIN semester USING (semester_id) WHERE entered_at <= {HALF} GROUP BY 1, 2) g
+    WINDOW w AS (PARTITION BY student_id ORDER BY session_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
 STATEMENTS = {
     # sources
     "seed_key_resolution": """SELECT CAST(department_id AS BIGINT) AS department_id, category_id, title,
@@ -562,6 +569,20 @@ STATEMENTS = {
         UNION ALL SELECT 'fact_registration_event', count(*) FROM event UNION ALL SELECT 'current students', count(*) FROM flat
         UNION ALL SELECT 'runs SUCCESS', 2
         UNION ALL SELECT 'closed by the last run', count(*) FROM flat WHERE enrollment_status = 'Suspended' AND updated_at > TIMESTAMP '1998-06-30')""",
+    "fact_student_gpa_as_of": f"""SELECT student_id, semester_id, gpa / 100.0 AS session_gpa, cgpa / 100.0 AS cgpa, {n('attempted', 'total_credits_attempted')},
+        {n('earned', 'total_credits_earned')}, registered AS courses_registered FROM ({HALF_GPA}) JOIN period p USING (session_id) WHERE p.semester_name = 'Second'""",
+    "update_by_keys": """SELECT r.semester_id, CASE WHEN x.remark = 'Fail' AND registration_status <> 'Dropped' THEN 'Repeat' ELSE registration_status END AS registration_status,
+        count(*) AS registrations FROM registration r LEFT JOIN result x ON x.l_orderkey = r.l_orderkey AND x.l_partkey = r.l_partkey GROUP BY 1, 2""",
+    "with_defaults": """SELECT CASE WHEN remark <> 'Absent' THEN remark ELSE 'Pending' END AS remark, 'registry' AS entered_by, count(*) AS results,
+        CAST(sum(credit_units_earned) AS BIGINT) AS units FROM result GROUP BY 1, 2""",
+    "watermark_advance": """SELECT '2030-01-01' AS mark, count(*) AS entities FROM watermark
+        UNION ALL SELECT '1900-01-01', count(*) FROM (VALUES ('student_level_history'), ('programme'), ('department'), ('faculty')) never_loaded""",
+    "run_counters": f"""SELECT what, CAST((SELECT count(*) FROM flat) + (SELECT count(*) FROM dim_course) + (SELECT count(*) FROM dim_staff) + (SELECT count(*) FROM period)
+        + (SELECT count(*) FROM enrollment WHERE entered_at <= {HALF})
+        + (SELECT count(*) FROM ({HALF_GPA}) JOIN period p USING (session_id) WHERE p.semester_name = 'Second')
+        + (SELECT count(*) FROM registration JOIN semester USING (semester_id) JOIN student USING (student_id) JOIN course USING (course_id) WHERE registration_date <= {HALF})
+        + (SELECT count(*) FROM audit JOIN semester USING (semester_id) JOIN student USING (student_id) JOIN course USING (course_id) WHERE attempt_time <= {HALF}) AS BIGINT) AS inserted
+        FROM (VALUES ('counted'), ('stored')) v(what)""",
     # source views
     "student_registration_summary": f"""SELECT student_matric_no, full_name AS student_name, level_name AS current_level, programme_name, department_name, faculty_name,
         semester_name, session_name, {iso('reg_deadline')}, count(*) AS total_courses_registered, {n('sum(credit_units)', 'total_credit_units')},
@@ -636,5 +657,10 @@ STATEMENTS = {
 }
 
 
+# Two increments leave what one load does; their scores are whole.
+STATEMENTS["incremental_equals_full_enrollment"] = STATEMENTS["fact_enrollment"].replace("CAST(total_score AS DOUBLE)", "CAST(floor(total_score) AS DOUBLE)")
+STATEMENTS["incremental_equals_full_events"] = STATEMENTS["fact_registration_event"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_base(sql, recursive=name == "registration_cap_greedy") for name, sql in STATEMENTS.items()}
