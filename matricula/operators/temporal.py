@@ -76,20 +76,16 @@ def asof_lookup(
 ) -> DataFrame:
     """Attach to each fact the version of its key valid at the fact's date.
 
-    Versions are repeated for each month they touch within the span of the
-    facts and joined on (key, month), so a fact meets only the versions of
-    its month, and the rows of one busy key spread over its months.
+    Facts and versions meet on (key, month), so a fact meets only the versions
+    of its month and the rows of one busy key spread over its months.  A
+    version is listed only for months in which its key has facts: the listing
+    has at most as many rows as there are such months and versions together,
+    however long versions stay open.
     """
     month = lambda c: F.trunc(c.cast("date"), "month")
-    span = facts.agg(month(F.min(at)).alias("lo"), month(F.max(at)).alias("hi"))
-    last = F.coalesce(span.select("hi").scalar(), F.lit("0001-01-01").cast("date"))  # without facts no month is touched
-    first = F.greatest(month(F.col("_from")), span.select("lo").scalar())
-    bounded = versions.select(key, F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *attributes).withColumns(
-        {"_lo": first, "_hi": F.least(month(F.col("_to")), last)}
-    )
-    # Guarded in the expression itself: an inferred filter may evaluate it early.
-    months = F.when(F.col("_lo") <= F.col("_hi"), F.sequence("_lo", "_hi", F.expr("interval 1 month")))
-    monthly = bounded.withColumn("_month", F.explode(months)).drop("_lo", "_hi")
+    bounded = versions.select(key, F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *attributes)
+    asked = facts.select(key, month(F.col(at)).alias("_month")).where(F.col("_month").isNotNull()).distinct()
+    monthly = bounded.join(asked, key).where((month(F.col("_from")) <= F.col("_month")) & (F.col("_month") <= month(F.col("_to"))))
     dated = facts.withColumn("_month", month(F.col(at)))
     valid: Column = (F.col("_from") <= F.col(f"f.{at}")) & (F.col(f"f.{at}") < F.col("_to"))
     same = (F.col(f"f.{key}") == F.col(f"v.{key}")) & (F.col("f._month") == F.col("v._month"))

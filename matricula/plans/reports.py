@@ -248,7 +248,8 @@ def prereq_compliance_audit(t) -> DataFrame:
 
     Results in required courses are folded to the first semester start per
     (student, course, grade); the search for an earlier pass is one anti-join
-    on student and course with two inequalities.
+    on student and course with two inequalities.  Names and attributes are
+    joined to the violations alone.
     """
     starts = t["semester"].select("semester_id", "start_date")
     needs = t["course_prerequisite"].select("course_id", "required_course_id", "min_grade")
@@ -268,14 +269,15 @@ def prereq_compliance_audit(t) -> DataFrame:
         F.col("course_code").alias("missing_prereq_code"),
         F.col("course_title").alias("missing_prereq_title"),
     )
-    rules = main.join(needs, "course_id").join(required, "required_course_id").drop("course_id")
-    period = t["dim_academic_period"].select("period_sk", "semester_id", *PERIOD).join(starts, "semester_id", "left").drop("semester_id")
+    rules = main.select("course_sk", "course_id").join(needs, "course_id").drop("course_id")
+    period = t["dim_academic_period"].select("period_sk", "semester_id", *PERIOD)
+    begins = period.select("period_sk", "semester_id").join(starts, "semester_id", "left").drop("semester_id")
     enrolled = (
         t["fact_enrollment"]
         .select("student_sk", "course_sk", "period_sk", "registration_status")
         .join(rules, "course_sk")
-        .join(period, "period_sk")
-        .join(_students(t, "student_id", "student_matric_no", "full_name", "faculty_name"), "student_sk")
+        .join(begins, "period_sk")
+        .withColumn("student_id", natural_key(F.col("student_sk")))
     )
     e, p = enrolled.alias("e"), earlier.alias("p")
     met = (
@@ -284,7 +286,15 @@ def prereq_compliance_audit(t) -> DataFrame:
         & (F.col("p.grade") <= F.col("e.min_grade"))
         & (F.col("p.first_start") < F.col("e.start_date"))
     )
-    return e.join(p, met, "left_anti").select(
+    violations = (
+        e.join(p, met, "left_anti")
+        .select("student_sk", "course_sk", "period_sk", "required_course_id", "registration_status")
+        .join(main.drop("course_id"), "course_sk")
+        .join(required, "required_course_id")
+        .join(period.drop("semester_id"), "period_sk")
+        .join(_students(t, "student_matric_no", "full_name", "faculty_name"), "student_sk")
+    )
+    return violations.select(
         "student_matric_no",
         "full_name",
         "faculty_name",
