@@ -30,12 +30,14 @@ from matricula.session import stored
 
 LENGTH = 50
 DEPTH = 28
-SHARD_BYTES = 16 << 20  # input bytes per shard
-PIECE = 4 << 20  # bytes that are worked on at once; longer texts are cut with LENGTH - 1 bytes of overlap
+SHARD_BYTES = 8 << 20  # input bytes per shard
+PIECE = 1 << 20  # bytes that are worked on at once; longer texts are cut with LENGTH - 1 bytes of overlap
+ROWS = 2500  # rows of a batch that are worked on at once
 SEND_IDS = 2_000_000  # ids up to which a list of them is sent to every task
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 LOW = U((1 << 24) - 1)
+SHORT = U((1 << 48) - 1)  # a stretch is told apart from others with the same first bytes by 48 bits
 
 _rng = np.random.default_rng(10)
 LETTER = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -123,7 +125,7 @@ def samples(data: np.ndarray, begins: np.ndarray):
     first = np.flatnonzero(new & valid)
     stop = np.flatnonzero(valid & np.r_[new[1:] | ~valid[1:], True])
     head = heads[chosen[first]]
-    stretch = mixed(prints.of(first, stop + LENGTH) + mixed(((chosen[first] - first) * LENGTH + (stop - first)).astype(U)))
+    stretch = mixed(prints.of(first, stop + LENGTH) + mixed(((chosen[first] - first) * LENGTH + (stop - first)).astype(U))) & SHORT
     return first, stop, head, stretch, part[first], prints
 
 
@@ -145,18 +147,43 @@ def _dealt(docs: DataFrame, shards: int) -> DataFrame:
     return docs.withColumn("shard", F.expr(f"cast(pmod(doc_id ^ shiftright(doc_id, 20), {shards}) as int)"))
 
 
-def _blobs(shard: np.ndarray, columns: list[np.ndarray], shards: int, kind: int) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, kind, blobs of columns), one per shard that occurs."""
+def packed(values: np.ndarray) -> bytes:
+    """Names as they are; whole numbers as a first value and 32-bit steps from the least one where these suffice."""
+    if values.dtype == U:
+        return values.tobytes()
+    least = values.min() if len(values) else np.int64(0)
+    wide = len(values) > 0 and int(values.max()) - int(least) >= 1 << 32
+    return np.array([wide, least], np.int64).tobytes() + (values if wide else (values - least).astype(np.uint32)).tobytes()
+
+
+def packed_short(values: np.ndarray) -> bytes:
+    """Names of 48 bits."""
+    return values.astype(np.uint32).tobytes() + (values >> U(32)).astype(np.uint16).tobytes()
+
+
+def unpacked(blob: pa.Scalar, kind: str) -> np.ndarray:
+    data = blob.as_buffer()
+    if kind == "name":
+        return np.frombuffer(data, U)
+    if kind == "short":
+        n = data.size // 6
+        return np.frombuffer(data, np.uint32, n).astype(U) | (np.frombuffer(data, np.uint16, n, 4 * n).astype(U) << U(32))
+    wide, least = np.frombuffer(data, np.int64, 2)
+    return np.frombuffer(data, np.int64, -1, 16) if wide else np.frombuffer(data, np.uint32, -1, 16).astype(np.int64) + least
+
+
+def _blobs(shard: np.ndarray, columns: list[np.ndarray], shards: int, kind: int, short: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, kind, blobs of columns), one per shard that occurs; the column `short` has 48 bits."""
+    if not len(shard):
+        return
     order = np.argsort(shard, kind="stable")
     used, begin = np.unique(shard[order], return_index=True)
-    ends = np.r_[begin[1:], len(order)]
-    columns = [c[order] for c in columns]
-    while len(columns) < 3:
-        columns.append(np.zeros(len(order), np.uint8)[:0])
-    if len(used):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array(np.full(len(used), kind, np.int32)), *[pa.array([c[a:b].tobytes() for a, b in zip(begin, ends, strict=True)], pa.binary()) for c in columns]],
-            names=["shard", "kind", "x", "y", "z"])
+    cuts = list(zip(begin, np.r_[begin[1:], len(order)], strict=True))
+    blobs = []
+    for k in range(3):
+        column = columns[k][order] if k < len(columns) else None
+        blobs.append(pa.array([None if column is None else (packed_short if k == short else packed)(column[a:b]) for a, b in cuts], pa.binary()))
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(np.full(len(used), kind, np.int32)), *blobs], names=["shard", "kind", "x", "y", "z"])
 
 
 BLOB = "shard int, kind int, x binary, y binary, z binary"
@@ -165,7 +192,7 @@ BLOB = "shard int, kind int, x binary, y binary, z binary"
 def _scan(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """Suffix tuples dealt by the name of their first bytes: kind 0 rows hold names, stretches and documents; kind 1
     rows, dealt evenly, hold documents and tags of stretches that a smaller document of the batch has."""
-    for batch in batches:
+    for batch in (whole.slice(begin, ROWS) for whole in batches for begin in range(0, whole.num_rows, ROWS)):
         texts, ids = _bytes(batch["text"]), batch["doc_id"].to_numpy().astype(np.int64)
         heads, stretches, docs = [], [], []
         for data, begins, number, _ in pieces(texts):
@@ -183,16 +210,13 @@ def _scan(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordB
         again = ~new & (doc > least)
         known = np.flatnonzero(again)
         yield from _blobs(_shard_of(doc[known], shards), [doc[known], _tag(head[known], stretch[known])], shards, 1)
-        yield from _blobs((head[new] % U(shards)).astype(np.int64), [head[new], stretch[new], doc[new]], shards, 0)
+        yield from _blobs((head[new] % U(shards)).astype(np.int64), [head[new], stretch[new], doc[new]], shards, 0, short=1)
 
 
-def _joined(table: pa.Table, kind: int, types) -> list[np.ndarray]:
+def _joined(table: pa.Table, kind: int, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """The columns of all rows of a kind, laid end to end."""
     rows = [i for i, k in enumerate(table["kind"].to_pylist()) if k == kind]
-    out = []
-    for name, t in zip("xyz", types, strict=False):
-        column = table[name]
-        out.append(np.concatenate([np.frombuffer(column[i].as_buffer(), t) for i in rows]) if rows else np.zeros(0, t))
-    return out
+    return [np.concatenate([np.zeros(0, np.int64 if k == "int" else U), *[unpacked(table[name][i], k) for i in rows]]) for name, k in zip("xyz", kinds, strict=False)]
 
 
 def _no_rows() -> pa.Table:
@@ -202,8 +226,8 @@ def _no_rows() -> pa.Table:
 def _match(table: pa.Table, shards: int) -> pa.Table:
     """Sorts a shard's tuples and decides stretches; rows dealt by document: documents and tags, the mark set where the
     strings have to be compared one by one."""
-    head, stretch, doc = _joined(table, 0, (U, U, np.int64))
-    known_doc, known_tag = _joined(table, 1, (np.int64, U))
+    head, stretch, doc = _joined(table, 0, ("name", "short", "int"))
+    known_doc, known_tag = _joined(table, 1, ("int", "name"))
     order = np.lexsort((doc, stretch, head))
     head, stretch, doc = head[order], stretch[order], doc[order]
     out_doc, out_tag = [known_doc], [known_tag]
@@ -230,7 +254,7 @@ def _match(table: pa.Table, shards: int) -> pa.Table:
 def _expand(docs: pa.Table, flags: pa.Table, shards: int) -> pa.Table:
     """For a shard of documents: kind 0 rows with document, first and last string of decided stretches, dealt by
     document; kind 1 rows with names of single strings, documents and places, dealt by name."""
-    doc, tag = _joined(flags, 0, (np.int64, U)) if flags.num_rows else (np.zeros(0, np.int64), np.zeros(0, U))
+    doc, tag = _joined(flags, 0, ("int", "name")) if flags.num_rows else (np.zeros(0, np.int64), np.zeros(0, U))
     if not docs.num_rows or not len(doc):
         return _no_rows()
     key = np.sort(mixed(doc.astype(U)) + tag)
@@ -265,7 +289,7 @@ def _expand(docs: pa.Table, flags: pa.Table, shards: int) -> pa.Table:
 
 def _compare(table: pa.Table, shards: int) -> pa.Table:
     """Single strings of a shard that a smaller document has: document, first and last string, dealt by document."""
-    name, doc, at = _joined(table, 1, (U, np.int64, np.int64))
+    name, doc, at = _joined(table, 1, ("name", "int", "int"))
     order = np.lexsort((doc, name))
     name, doc, at = name[order], doc[order], at[order]
     if not len(name):
@@ -296,7 +320,7 @@ def cut(text: bytes, first: np.ndarray, last: np.ndarray) -> tuple[list[tuple[in
 
 
 def _finish(docs: pa.Table, cuts: pa.Table, texts_out: bool) -> pa.Table:
-    doc, first, last = _joined(cuts, 0, (np.int64,) * 3) if cuts.num_rows else (np.zeros(0, np.int64),) * 3
+    doc, first, last = _joined(cuts, 0, ("int",) * 3) if cuts.num_rows else (np.zeros(0, np.int64),) * 3
     order = np.argsort(doc, kind="stable")
     doc, first, last = doc[order], first[order], last[order]
     rows = []
@@ -312,7 +336,7 @@ def _finish(docs: pa.Table, cuts: pa.Table, texts_out: bool) -> pa.Table:
 
 def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs = [np.frombuffer(x.as_buffer(), np.int64) for x in batch["x"]]
+        docs = [unpacked(x, "int") for x in batch["x"]]
         yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(docs)) if docs else np.zeros(0, np.int64))], names=["doc_id"])
 
 
