@@ -2,10 +2,12 @@
 
 A set's shingles are dealt by hash to the bands of its size class and XORed band by band.  Two sets that differ in d
 shingles differ in at most d bands, so the number of unequal bands is a lower bound of the symmetric difference.  A
-similarity of at least s bounds that difference by D for sets of a size class; with more than D bands at least one is
-equal, and with enough of them at least one that is not empty.  Sets therefore meet in an equal, non-empty band of
-their size class and are verified exactly.  Sets with too many empty bands meet each other in their first shingles
-instead, as many as the similarity allows to differ, plus one.
+similarity of at least s bounds that difference by D for sets of a size class, so of K bands at least K - D are equal.
+Sets therefore meet in an equal, non-empty band of their size class and are verified exactly.  K is about twice D: any
+D + 1 of a set's non-empty bands, taken in an order that is the same for all sets, meet one of the other set's.  Bands
+that many sets share, such as those inside a common passage, come last in that order and are seldom needed.  The order
+decides the cost and not the result.  Sets with too many empty bands meet each other in their first shingles instead,
+as many as the similarity allows to differ, plus one.
 
 Equal sets are one node.  Within a band's run of equal values every set is compared with the run's smallest; only sets
 that this leaves in different components, and that the triangle inequality of the Jaccard distance does not separate,
@@ -30,9 +32,14 @@ from matricula.llm.components import components
 from matricula.session import stored
 
 STRETCH = 1.5  # ratio of a size class
+OFTEN = 3  # times that a band's value stands in a run of rows to count as common there
+COMMON = 200_000  # common values, most frequent first, that come last in the order; others keep the order of their hash
+PART = 1000  # rows that are worked on at once
 SKETCH = 512  # bits of the sketch that travels with a set
 SEND_IDS = 2_000_000  # ids up to which a list of them is sent to every task
 U = np.uint64
+CENTRE = U(0xFFF)  # the bits of a key that hold the place in its run
+CENTRE_BITS = 12
 
 
 @dataclass(frozen=True)
@@ -77,7 +84,7 @@ def size_class(rule: Rule, number: int) -> SizeClass:
     bands = differ + 1
     for _ in range(20):  # room for the empty bands to expect of the smallest set
         empty = bands * exp(-low / bands)
-        bands = differ + 2 + ceil(empty + 1.5 * sqrt(empty))
+        bands = 2 * differ + 2 + ceil(empty + 1.5 * sqrt(empty))
     return SizeClass(number, low, high, rule.largest(high), differ, bands)
 
 
@@ -131,18 +138,30 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     return out
 
 
-def band_keys(shingles: np.ndarray, rule: Rule) -> np.ndarray:
-    """The values under which a set meets others, one per non-empty band of each class it takes part in."""
-    keys = []
+def band_keys(shingles: np.ndarray, rule: Rule, common: tuple[np.ndarray, np.ndarray] | None = None, every: bool = False) -> np.ndarray:
+    """The values under which a set meets others: of each class it takes part in, D + 1 of its non-empty bands.
+
+    common: sorted values and their counts; higher counts come later.  With `every` all non-empty bands.  The lowest
+    bits tell how few of the set's bands are common, so that in a run the set nearest to the others comes first."""
+    keys, shared = [], 0
     for c in classes_of(rule, len(shingles)):
         band = (mixed(shingles + U(c.number)) % U(c.bands)).astype(np.int64)
         order = np.argsort(band, kind="stable")
         used, begin = np.unique(band[order], return_index=True)
         value = np.bitwise_xor.reduceat(mixed(shingles ^ U(0xA5A5A5A5))[order], begin)
-        keys.append(mixed(value + mixed(used.astype(U) + U(c.number << 32))))
+        key = mixed(value + mixed(used.astype(U) + U(c.number << 32)))
+        if not every and len(key) > c.differ + 1:
+            count = np.zeros(len(key), np.int64)
+            if common is not None and len(common[0]):
+                at = np.minimum(np.searchsorted(common[0], key), len(common[0]) - 1)
+                count = np.where(common[0][at] == key, common[1][at], 0)
+                shared += int((count > 0).sum())
+            key = key[np.lexsort((key, count))[:c.differ + 1]]
+        keys.append(key)
         if c.bands - len(used) >= c.bands - c.differ:
             keys.append(mixed(shingles[:rule.prefix(len(shingles))] + U((c.number << 32) + (1 << 31))))
-    return np.concatenate(keys) if keys else np.zeros(0, U)
+    every_key = np.concatenate(keys) if keys else np.zeros(0, U)
+    return every_key if every else (every_key & ~CENTRE) | U(max(0, int(CENTRE) - shared))
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -151,15 +170,24 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _describe(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+def _often(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Band values that stand OFTEN times in PART rows, with how often."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, PART):
+            sets = shingle_sets(batch.slice(begin, PART)["text"].to_pylist(), rule.size)
+            key, n = np.unique(np.concatenate([np.zeros(0, U), *[band_keys(s, rule, every=True) for s in sets]]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key[n >= OFTEN].view(np.int64)), pa.array(n[n >= OFTEN].astype(np.int64))], names=["key", "n"])
+
+
+def _describe(batches: Iterator[pa.RecordBatch], rule: Rule, common: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for begin in range(0, batch.num_rows, 1000):
-            part = batch.slice(begin, 1000)
+        for begin in range(0, batch.num_rows, PART):
+            part = batch.slice(begin, PART)
             sets = shingle_sets(part["text"].to_pylist(), rule.size)
             n = np.array([len(s) for s in sets], np.int64)
             low = np.array([np.bitwise_xor.reduce(mixed(s)) if len(s) else 0 for s in sets], U).view(np.int64)
             high = np.array([mixed(s + U(7)).sum(dtype=U) if len(s) else 0 for s in sets], U).view(np.int64)
-            keys = [band_keys(s, rule).view(np.int64) for s in sets]
+            keys = [band_keys(s, rule, common).view(np.int64) for s in sets]
             cuts = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -180,7 +208,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = None
     pending: tuple | None = None  # the open run's first row, if nothing of it is written yet
     for batch in batches:
-        key, rep = batch["key"].to_numpy(), batch["rep"].to_numpy()
+        key, rep = batch["key"].to_numpy() >> CENTRE_BITS, batch["rep"].to_numpy()
         if not len(key):
             continue
         if first is None:
@@ -233,8 +261,8 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for begin in range(0, batch.num_rows, 1000):
-            part = batch.slice(begin, 1000)
+        for begin in range(0, batch.num_rows, PART):
+            part = batch.slice(begin, PART)
             yield pa.RecordBatch.from_arrays([part["doc_id"].cast(pa.int64()), pa.array([s.tobytes() for s in shingle_sets(part["text"].to_pylist(), rule.size)], pa.binary())], names=["rep", "set"])
 
 
@@ -245,10 +273,10 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """pairs (a, b) with common, n_a, n_b, from the whole texts.  A doc_id with several texts counts with its first set."""
+    """pairs (a, b) with common, n_a, n_b, from the whole texts.  A doc_id with several texts counts with each of them."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
     sets = _texts_of(docs, ids).mapInArrow(lambda b: _sets(b, rule), "rep long, set binary")
-    sets = stored(sets.dropDuplicates(["rep"]), "sets")
+    sets = stored(sets.dropDuplicates(["rep", "set"]), "sets")
     left = pairs.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
     both = left.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_similar, "a long, b long, common long, n_a long, n_b long")
@@ -265,7 +293,11 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     texts have no shingles and are linked with nothing; a row without an id keeps its counts and has no class or
     component; rows of one doc_id are one document, so different texts under one id hold their components together."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = stored(rows.mapInArrow(lambda b: _describe(b, rule), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>"), "shingles")
+    often = rows.mapInArrow(lambda b: _often(b, rule), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
+    value = often["key"].to_numpy().view(U)
+    by_value = np.argsort(value)
+    handed = docs.sparkSession.sparkContext.broadcast((value[by_value], often["n"].to_numpy()[by_value]))
+    described = stored(rows.mapInArrow(lambda b: _describe(b, rule, handed.value), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>"), "shingles")
     full = described.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     same = ["n", "low", "high"]
     classes = stored(full.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.min_by(F.struct("keys", "sketch"), "doc_id").alias("own")), "classes")
@@ -294,15 +326,15 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     outside = loose.where(F.col("component") != F.col("of_hub"))
     spread = outside.select("key").distinct()
     rest = stored(loose.join(spread, "key").select("key", "rep", "component", "of_hub", "far", "n"), "loose")
+    sketches = classes.groupBy(F.col("class_id").alias("rep")).agg(F.first("own.sketch").alias("sketch"), F.count("*").alias("texts"))
+    rest = rest.join(sketches, "rep")
     x = rest.where(F.col("component") != F.col("of_hub")).alias("x")
     y = rest.alias("y")
     apart = (F.col("x.component") != F.col("y.component")) & (F.abs(F.col("x.far") - F.col("y.far")) <= room + 1e-9)
     sizes = (F.col("x.n") * 100 >= F.col("y.n") * rule.percent) & (F.col("y.n") * 100 >= F.col("x.n") * rule.percent)
-    more = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & sizes).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    sketches = classes.select("class_id", "n", F.col("own.sketch").alias("sketch"))
-    side = lambda name: sketches.select(F.col("class_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))
-    bits = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    near = more.join(side("a"), "a").join(side("b"), "b").where(bits * (100 + rule.percent) <= (F.col("n_a") + F.col("n_b")) * (100 - rule.percent)).select("a", "b")
+    bits = F.aggregate(F.zip_with("x.sketch", "y.sketch", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    near_bits = (bits * (100 + rule.percent) <= (F.col("x.n") + F.col("y.n")) * (100 - rule.percent)) | (F.col("x.texts") + F.col("y.texts") > 2)
+    near = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & sizes & near_bits).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     found = _verified(rows, stored(near, "near"), rule).where(_linked(rule)).select("a", "b")
     # Several texts under one id: their classes belong together.
     held = full.join(names, same).where(F.col("class_id") != F.col("doc_id")).select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
