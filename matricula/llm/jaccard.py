@@ -276,7 +276,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """pairs (a, b) with common, n_a, n_b, from the whole texts.  A doc_id with several texts counts with each of them."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
     sets = _texts_of(docs, ids).mapInArrow(lambda b: _sets(b, rule), "rep long, set binary")
-    sets = stored(sets.dropDuplicates(["rep", "set"]), "sets")
+    # Another text of the same id may be empty; it is similar to nothing.
+    sets = stored(sets.where(F.octet_length("set") > 0).dropDuplicates(["rep", "set"]), "sets")
     left = pairs.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
     both = left.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_similar, "a long, b long, common long, n_a long, n_b long")
