@@ -25,11 +25,6 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def ones(condition: Column) -> Column:
-    """1 where the condition holds, else 0."""
-    return flag(condition).cast("int")
-
-
 def class_of_degree(cgpa: Column) -> Column:
     return (
         F.when(cgpa >= FIRST_CLASS, "1st Class")

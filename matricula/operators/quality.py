@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.bands import MAX_UNITS
+from ..functions.bands import MAX_UNITS, folded
 from ..sources.reference_data import COMPULSORY_CODE
 
 ERROR, WARNING = "ERROR", "WARNING"
@@ -91,8 +91,10 @@ def over_unit_limit(t, limit: int = MAX_UNITS) -> DataFrame:
     return _count(load.where(F.col("units") > limit), "DQ-05")
 
 
-def duplicate_matric(t) -> DataFrame:
-    return _count(t["student"].groupBy("student_matric_no").count().where("count > 1"), "DQ-07")
+def duplicate_matric(t, case_insensitive: bool = False) -> DataFrame:
+    """Numbers with more than one student; with ``case_insensitive`` numbers that differ in case alone are one."""
+    number = folded(F.col("student_matric_no"), case_insensitive).alias("student_matric_no")
+    return _count(t["student"].groupBy(number).count().where("count > 1"), "DQ-07")
 
 
 def dropped_with_result_and_unresolved(t, as_of: date) -> DataFrame:

@@ -353,6 +353,13 @@ def dq07_duplicates(t) -> DataFrame:
     return _records(quality.duplicate_matric(_with(t, student=t["student"].withColumn("student_matric_no", number))), "DQ-07")
 
 
+def dq07_case_insensitive(t) -> DataFrame:
+    """On students numbered by state and programme, half of them in small letters."""
+    number = F.concat_ws("/", "state_of_origin", F.col("programme_id").cast("string"))
+    mixed = F.when(F.col("student_id") % 2 == 0, F.lower(number)).otherwise(number)
+    return _records(quality.duplicate_matric(_with(t, student=t["student"].withColumn("student_matric_no", mixed)), True), "DQ-07")
+
+
 def dq08(t) -> DataFrame:
     return _records(quality.late_and_empty_semesters(t, CHECK_DATE), "DQ-08")
 
@@ -588,7 +595,7 @@ CATALOG = {
         running_cgpa, running_cgpa_weighted, faculty_performance_at_registration, fact_enrollment, fact_enrollment_fanout,
         fact_student_gpa, fact_registration_event, dim_student, scd2_first_load, scd2_second_load, scd2_counts, scd2_current,
         version_history, version_by_surrogate, versions_from_changes, versions_from_timestamps, system_time_as_of, system_time_between,
-        system_time_all, dq_checks, dq_gate, dq01, dq02, dq03, dq04, dq05, dq06, dq07_duplicates, dq08, dq09_grade_range, dq10,
+        system_time_all, dq_checks, dq_gate, dq01, dq02, dq03, dq04, dq05, dq06, dq07_duplicates, dq07_case_insensitive, dq08, dq09_grade_range, dq10,
         raw_constraint_violations, constraint_violations, rls_child_rows, rls_block, registration_validation,
         registration_cap_greedy, promote_students, promoted_levels, run_incremental, student_registration_summary, incremental_equals_full_enrollment,
         incremental_equals_full_events, fact_student_gpa_as_of, update_by_keys, with_defaults, watermark_advance, run_counters,

@@ -133,6 +133,3 @@ def student_courses(t, matric_no: str, semester_id: int) -> DataFrame:
 def transcript(t, matric_no: str) -> DataFrame:
     chosen = t["student"].where(F.col("student_matric_no") == matric_no)
     return student_transcript(t, chosen).orderBy("session_name", "semester_name", "course_code")
-
-
-VIEWS = {f.__name__: f for f in (student_registration_summary, student_transcript, ser001_compliance, course_prereq_chain)}

@@ -610,6 +610,7 @@ STATEMENTS = {
     "dq05": one(DQ_COUNT["DQ-05"]),
     "dq06": one(DQ_COUNT["DQ-06"]),
     "dq07_duplicates": one("SELECT count(*) FROM (SELECT state_of_origin, programme_id FROM student GROUP BY 1, 2 HAVING count(*) > 1)"),
+    "dq07_case_insensitive": one("SELECT count(*) FROM (SELECT lower(state_of_origin), programme_id FROM student GROUP BY 1, 2 HAVING count(*) > 1)"),
     "dq08": one(DQ_COUNT["DQ-08"]),
     "dq09_grade_range": one(DQ_COUNT["DQ-09"]),
     "dq10": one(DQ_COUNT["DQ-10"]),
