@@ -35,6 +35,7 @@ STRETCH = 1.5  # ratio of a size class
 OFTEN = 3  # times that a band's value stands in a run of rows to count as common there
 COMMON = 200_000  # common values, most frequent first, that come last in the order; others keep the order of their hash
 PART = 1000  # rows that are worked on at once
+ARROW_ROWS = 2000  # rows in one batch between Spark and Python: two sets of a pair are some kilobytes
 SKETCH = 512  # bits of the sketch that travels with a set
 SEND_IDS = 2_000_000  # ids up to which a list of them is sent to every task
 U = np.uint64
@@ -293,6 +294,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     class_id is the smallest doc_id with the same set, component_id the smallest one reachable by links.  Null and empty
     texts have no shingles and are linked with nothing; a row without an id keeps its counts and has no class or
     component; rows of one doc_id are one document, so different texts under one id hold their components together."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     often = rows.mapInArrow(lambda b: _often(b, rule), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
     value = often["key"].to_numpy().view(U)
