@@ -303,9 +303,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     described = stored(rows.mapInArrow(lambda b: _describe(b, rule, handed.value), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>"), "shingles")
     full = described.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     same = ["n", "low", "high"]
-    classes = stored(full.groupBy(*same).agg(F.min("doc_id").alias("class_id"), F.min_by(F.struct("keys", "sketch"), "doc_id").alias("own")), "classes")
-    names = classes.select(*same, "class_id")
-    pairs_of_keys = classes.select(F.explode("own.keys").alias("key"), F.col("class_id").alias("rep"))
+    names = stored(full.groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
+    # The rows that stand for their classes; their keys do not move before they are dealt.
+    own = _texts_of(full, names.select(F.col("class_id").alias("doc_id")).distinct())
+    pairs_of_keys = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pairs_of_keys.repartitionByRange(parts, "key", "rep").sortWithinPartitions("key", "rep")
     runs = stored(dealt.mapInArrow(_runs, "key long, hub long, rep long, edge boolean"), "runs")
@@ -329,7 +330,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     outside = loose.where(F.col("component") != F.col("of_hub"))
     spread = outside.select("key").distinct()
     rest = stored(loose.join(spread, "key").select("key", "rep", "component", "of_hub", "far", "n"), "loose")
-    sketches = classes.groupBy(F.col("class_id").alias("rep")).agg(F.first("own.sketch").alias("sketch"), F.count("*").alias("texts"))
+    sketches = own.groupBy(F.col("doc_id").alias("rep")).agg(F.first("sketch").alias("sketch"), F.count_distinct("low").alias("texts"))
     rest = rest.join(sketches, "rep")
     x = rest.where(F.col("component") != F.col("of_hub")).alias("x")
     y = rest.alias("y")
