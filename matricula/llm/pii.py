@@ -1,8 +1,9 @@
 """Personal data: span generators, boosted trees over format and context, calibrated thresholds.
 
 Four base kinds are validated matches and always stay.  Wider generators propose further spans that may overlap them
-(card- or phone-like digit groups, spelled-out addresses, identifiers after a cue word, long keys).  Boosted trees score
-each proposal from its format and its surroundings; a threshold per kind, calibrated on half of the evidence, selects.
+(card- or phone-like digit groups, spelled-out addresses, identifiers after a cue word, long keys).  A proposal that
+passes its pattern's own check stays, as does one of a pattern that has none; boosted trees score the others from their
+format and their surroundings, and a threshold per pattern, calibrated on half of the evidence, selects.
 All of it is column expressions; the trees are fitted on a table of counts whose size is bounded by the feature bins.
 """
 
@@ -36,6 +37,11 @@ PROPOSALS = (
     ("key", r"(?<![A-Za-z0-9])(?=[A-Za-z]{0,39}[0-9])[A-Za-z0-9_-]{24,128}(?![A-Za-z0-9])", r"[A-Za-z0-9_-]{24}"),
 )
 KINDS = (*BASE_KINDS, "iban", "number", "key")
+# The kind of every pattern: first the base patterns, then the proposals in their order.
+FORMS = (*BASE_KINDS, *(kind for kind, _, _ in PROPOSALS))
+SPELLED, GROUPS, IBAN, LOCAL, KEY = 4, 5, 6, 8, 9
+# Nothing tells right from wrong matches of these; they are no evidence.
+UNCHECKED = (LOCAL, KEY)
 
 # Words before a span that speak for its kind, in the order of their feature values 1, 2, ...
 CUES = ("mail|e-mail|contact|write to", "ip|host|addr|server", "card|visa|credit|karte|carte|tarjeta", "phone|tel|call|mobile|fax", "iban|account|konto", "ssn|passport|id|no\\.?|nr\\.?", "key|token|secret|password|api")
@@ -58,6 +64,35 @@ def _parts_hold(match: Column) -> Column:
     return F.forall(F.split(match, r"\."), lambda p: F.regexp_replace(p, "^0+(?=.)", "").rlike("^[0-9]{1,3}$") & (F.substring(F.regexp_replace(p, "^0+(?=.)", ""), 1, 3).cast("int") <= 255))
 
 
+def _is_address(match: Column) -> Column:
+    """Whether a spelled-out address, its signs put back, is a mail address with a name of letters at its end."""
+    plain = F.regexp_replace(F.regexp_replace(match, r" ?(?:\[at\]|\(at\)| at ) ?", "@"), r" ?(?:\[dot\]|\(dot\)| dot ) ?", ".")
+    return plain.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")
+
+
+def _is_iban(match: Column) -> Column:
+    """Whether the check digits hold: the first four signs moved to the end, letters as 10 to 35, leave 1 by 97."""
+    plain = F.regexp_replace(match, " ", "")
+    turned = F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4))
+    left = F.aggregate(F.split(turned, ""), F.lit(0), lambda a, c: F.when(c == "", a).when(c <= "9", (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97).cast("int"))
+    return F.char_length(plain).between(15, 34) & (left == 1)
+
+
+def _passes(match: Column, form: int) -> Column:
+    """Whether a proposal beyond the base passes its own check; where it has none, whether its pattern is enough.
+
+    A number is checked as a card, which makes it a base span."""
+    if form == SPELLED:
+        return _is_address(match)
+    if form == GROUPS:
+        return F.size(F.split(match, ":")) == 8
+    if form == IBAN:
+        return _is_iban(match)
+    if form == LOCAL:
+        return F.char_length(_digits(match)).between(9, 15)
+    return F.lit(form == KEY)
+
+
 def base_spans(text: Column) -> Column:
     """Valid matches of the four base kinds as array<struct<start, rank, end, kind>>, by start and then kind."""
     none = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
@@ -75,8 +110,8 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[named(rank, kind) for rank, kind in enumerate(BASE_KINDS)]))
 
 
-def _with_context(text: Column, found: Column, kind: str) -> Column:
-    """Each proposal with its feature bins; 0 is the bin for "none of these"."""
+def _with_context(text: Column, found: Column, form: int) -> Column:
+    """Each proposal with its feature bins, 0 being the bin for "none of these", and whether it passes."""
 
     def features(s: Column) -> Column:
         before = F.lower(F.substring(text, F.greatest(F.lit(1), s["start"] - 23).cast("int"), F.least(F.lit(24), s["start"]).cast("int")))
@@ -87,13 +122,14 @@ def _with_context(text: Column, found: Column, kind: str) -> Column:
             cue = F.when(before.rlike(rf"(?:^|[^a-z])(?:{words})[^a-z]{{0,4}}$"), F.lit(i)).otherwise(cue)
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"),
-            F.lit(KINDS.index(kind)).alias("kind"),
+            F.lit(form).alias("kind"),
             F.least(n, F.lit(20)).alias("digits"),
             F.least(F.char_length(s["match"]) - n, F.lit(8)).alias("others"),
-            F.when(s["match"].contains("@"), 1).when(s["match"].contains("("), 2).when(s["match"].contains(" "), 3).when(s["match"].contains("."), 4).when(s["match"].contains("-"), 5).otherwise(0).alias("marks"),
+            F.when(s["match"].contains("@"), 1).when(s["match"].contains("["), 6).when(s["match"].contains("("), 2).when(s["match"].contains(" dot "), 7).when(s["match"].contains(" "), 3).when(s["match"].contains("."), 4).when(s["match"].contains("-"), 5).otherwise(0).alias("marks"),
             F.when(before == "", 1).when(before.rlike(r"[+]$"), 2).when(before.rlike(r"[a-z0-9]$"), 3).when(before.rlike(r"\s$"), 4).otherwise(0).alias("left"),
             F.when(after == "", 1).when(after.rlike(r"[A-Za-z0-9]"), 2).when(after.rlike(r"[.,;:]"), 3).when(after.rlike(r"\s"), 4).otherwise(0).alias("right"),
             cue.alias("cue"),
+            _passes(s["match"], form).alias("passes"),
         )
 
     return F.transform(found, features)
@@ -107,28 +143,32 @@ def proposals(text: Column) -> Column:
     none = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
     wide = [(kind, pattern, gate) for kind, pattern, gate in (
         ("email", EMAIL, "@"), ("ip", IP, r"[0-9]\.[0-9]++\.[0-9]"), ("card", CARD, r"[0-9](?:[ -]?[0-9]){7}"), ("phone", PHONE, r"\+"), *PROPOSALS)]
-    return F.concat(*[_with_context(text, F.when(text.rlike(gate), spans(text, pattern)).otherwise(none), kind) for kind, pattern, gate in wide])
+    return F.concat(*[_with_context(text, F.when(text.rlike(gate), spans(text, pattern)).otherwise(none), form) for form, (_, pattern, gate) in enumerate(wide)])
 
 
 def evidence(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Counts of proposals per feature bin over all documents, with how many are valid base spans.
+    """Counts of proposals per feature bin over all documents, with how many of them are good.
 
-    Evidence comes from kinds whose form can be checked: a proposal that is exactly a validated base span is positive,
-    a proposal of the base patterns that fails its check is negative.  fold splits by text, so copies stay together."""
-    seen = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    Evidence comes from patterns whose matches can be checked: a match of the base patterns or a number is good if it is
+    exactly a validated base span; a spelled-out address if it is one with its signs put back; an IP of hexadecimal
+    groups if it has eight; an IBAN if its check digits hold.  Matches that fail their check are the negatives; UNCHECKED
+    patterns give neither.  fold splits by text, so copies stay together."""
+    seen = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.col("text").rlike(r"[0-9@]| at |\(at\)|\[at\]"))
     each = seen.select(F.pmod(F.xxhash64("text"), F.lit(2)).alias("fold"), base_spans(F.col("text")).alias("base"), proposals(F.col("text")).alias("wide"))
-    rows = each.select("fold", "base", F.explode("wide").alias("p"))
-    valid = F.exists("base", lambda b: (b["start"] == F.col("p.start")) & (b["end"] == F.col("p.end")))
+    rows = each.select("fold", "base", F.explode("wide").alias("p")).where(~F.col("p.kind").isin(*UNCHECKED))
+    valid = F.when(F.col("p.kind").isin(SPELLED, GROUPS, IBAN), F.col("p.passes")).otherwise(F.exists("base", lambda b: (b["start"] == F.col("p.start")) & (b["end"] == F.col("p.end"))))
     return rows.groupBy("fold", *[F.col(f"p.{f}").alias(f) for f in FEATURES]).agg(F.count("*").alias("n"), F.sum(valid.cast("long")).alias("good"))
 
 
 @dataclass
 class Boosted:
-    """Trees of two splits over bins; leaf values add up to log-odds.  threshold: per kind, the least accepted chance."""
+    """Trees of two splits over bins; leaf values add up to log-odds.  threshold: per pattern (the feature kind), the
+    least accepted chance.  bare: nothing beyond the base is looked for."""
 
     prior: float = 0.0
     trees: list[tuple[int, int, int, int, float, float, float]] = field(default_factory=list)
     threshold: dict[int, float] = field(default_factory=dict)
+    bare: bool = True
 
     def margin(self, x) -> float:
         total = self.prior
@@ -145,9 +185,9 @@ class Boosted:
 
 
 def fit(counts: list, rounds: int = 24, rate: float = 0.4, ridge: float = 1.0, precision: float = 0.9) -> Boosted:
-    """Boosts trees on the counts of fold 0 and sets each kind's threshold on fold 1, so that at least `precision` of
+    """Boosts trees on the counts of fold 0 and sets each pattern's threshold on fold 1, so that at least `precision` of
     what passes is good.  counts: rows of evidence(), as many as bins are in use; without positives or negatives
-    nothing beyond the base is accepted."""
+    the trees accept nothing."""
     def table(fold):
         out: dict[tuple, list[float]] = {}
         for r in counts:
@@ -159,7 +199,7 @@ def fit(counts: list, rounds: int = 24, rate: float = 0.4, ridge: float = 1.0, p
 
     train, held = table(0), table(1)
     total, good = sum(n for _, n, _ in train), sum(g for _, _, g in train)
-    model = Boosted()
+    model = Boosted(bare=False)
     if not total or not 0 < good < total:
         return model
     model.prior = log(good / (total - good))
@@ -205,18 +245,18 @@ def fit(counts: list, rounds: int = 24, rate: float = 0.4, ridge: float = 1.0, p
             sums[k][1] += h
         model.trees.append((*top, *second, *(leaf(*s) for s in sums)))
         margins = [model.margin(x) for x, _, _ in train]
-    for kind in range(len(KINDS)):
+    for kind in range(len(FORMS)):
         ranked = sorted(((1 / (1 + exp(-max(-30.0, min(30.0, model.margin(x))))), n, g) for x, n, g in held or train if x[0] == kind), reverse=True)
         seen = right = 0.0
         for chance, n, g in ranked:
             seen, right = seen + n, right + g
             if right + 1 >= precision * (seen + 2):
                 model.threshold[kind] = chance
-    # Kinds without checked evidence pass at the mean of the others' thresholds.
+    # Patterns beyond the base with too little evidence take the mean of the others' thresholds.
     if model.threshold:
         usual = sum(model.threshold.values()) / len(model.threshold)
-        for kind, name in enumerate(KINDS):
-            if name not in BASE_KINDS:
+        for kind in range(len(BASE_KINDS), len(FORMS)):
+            if kind not in UNCHECKED:
                 model.threshold.setdefault(kind, max(usual, 0.5))
     return model
 
@@ -224,25 +264,27 @@ def fit(counts: list, rounds: int = 24, rate: float = 0.4, ridge: float = 1.0, p
 def find(docs: DataFrame, model: Boosted | None = None, text_col: str = "text") -> DataFrame:
     """docs with columns pii_base and pii_spans added: arrays of struct<start, rank, end, kind> by start, then kind.
 
-    pii_spans holds the base spans and the accepted proposals that lie outside them.  Rows are independent: nulls and
+    pii_spans holds the base spans and, outside them, the proposals that pass their own check or whose pattern has none
+    and those that the trees accept; a bare model gives the base spans alone.  Rows are independent: nulls and
     empty texts have no spans, repeated rows equal ones, a long text is one row's work in proportion to its length.
     Without a model one is fitted on the documents themselves."""
     model = fit_on(docs, text_col) if model is None else model
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.withColumn("pii_base", F.when(text.rlike("[0-9@]"), base_spans(text)).otherwise(F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")))
-    named = F.array(*[F.lit(k) for k in KINDS])
+    named = F.array(*[F.lit(k) for k in FORMS])
+    ranks = F.array(*[F.lit(KINDS.index(k)) for k in FORMS])
 
     def accepted(p: Column) -> Column:
         needed = F.lit(2.0)
         for kind, chance in sorted(model.threshold.items()):
             needed = F.when(p["kind"] == kind, F.lit(chance - 1e-9)).otherwise(needed)
-        return (model.column(lambda f: p[f]) >= needed) & ~F.exists("pii_base", lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
+        return (p["passes"] | (model.column(lambda f: p[f]) >= needed)) & ~F.exists("pii_base", lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
 
-    if not model.threshold:
+    if model.bare:
         return found.withColumn("pii_spans", F.col("pii_base"))
     more = F.transform(
         F.filter(F.when(text.rlike("[0-9@]| at |\\(at\\)|\\[at\\]|[A-Za-z0-9_-]{24}"), proposals(text)).otherwise(F.array()), accepted),
-        lambda p: F.struct(p["start"].alias("start"), (p["kind"] + F.lit(0)).cast("int").alias("rank"), p["end"].alias("end"), F.element_at(named, p["kind"] + 1).alias("kind")),
+        lambda p: F.struct(p["start"].alias("start"), F.element_at(ranks, p["kind"] + 1).alias("rank"), p["end"].alias("end"), F.element_at(named, p["kind"] + 1).alias("kind")),
     )
     return found.withColumn("pii_spans", F.array_sort(F.array_distinct(F.concat(F.col("pii_base"), more))))
 
