@@ -23,6 +23,8 @@ TABLES = 5
 PROBES = 20
 SEED = 20
 BLOCK = 4_000_000  # numbers in one block of differences
+PART = 1 << 19  # numbers in the members of one part of a bucket
+ASKED = 1 << 21  # numbers in one block of a bucket's queries
 
 
 def rotations(width: int, tables: int, seed: int = SEED) -> np.ndarray:
@@ -124,22 +126,50 @@ def _rank(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     return pa.table({"query_id": pa.array(joined[0].astype(np.int64)), "vec_id": pa.array(joined[1].astype(np.int64)), "score": pa.array(joined[2].astype(np.float64))})
 
 
-def _found(members: DataFrame, queries: DataFrame, tables: int, probes: int, k: int, only: int | None = None) -> DataFrame:
-    """Per query and probed bucket the k nearest: query_id, vec_id, score.  Buckets meet by key; none is multiplied out."""
+def _sizes(batches: Iterator[pa.RecordBatch], tables: int, probes: int, only: int | None) -> Iterator[pa.RecordBatch]:
+    """How many rows of a batch are in each (table, width, bucket)."""
+    for batch in batches:
+        flat, widths = _matrix(batch["vector"])
+        begins = np.cumsum(widths) - widths
+        for width in np.unique(widths):
+            block = flat[begins[np.flatnonzero(widths == width)][:, None] + np.arange(width)]
+            for table in range(tables) if only is None else [only]:
+                places, n = np.unique(buckets(rotated(block, table, tables), probes), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), table, np.int32)), pa.array(np.full(len(n), width, np.int32)), pa.array(places.astype(np.int32)), pa.array(n.astype(np.int64))],
+                    names=["table", "width", "bucket", "n"])
+
+
+KEYS = ["table", "width", "bucket", "part", "block"]
+
+
+def _dealt(members: DataFrame, queries: DataFrame, tables: int, probes: int, only: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Entries of queries and members with KEYS, by which they meet.
+
+    A bucket's members are dealt to parts and its queries to blocks, as many as its counts ask for, so that no group
+    grows with the input; every part meets every block.  Buckets without a query or without a member are left out."""
+    count = lambda rows, n, name: rows.select("vector").mapInArrow(lambda b: _sizes(b, tables, n, only), "table int, width int, bucket int, n long").groupBy("table", "width", "bucket").agg(F.sum("n").alias(name))
+    pieces = lambda n, most: F.ceil(F.col(n) * F.col("width") / F.lit(most))
+    sizes = count(members, 1, "held").join(count(queries, probes, "asked"), ["table", "width", "bucket"])
+    sizes = stored(sizes.select("table", "width", "bucket", pieces("held", PART).alias("parts"), pieces("asked", ASKED).alias("blocks")), "sizes")
     entries = members.mapInArrow(lambda b: _entries(b, tables, 1, "ids", only), "table int, width int, bucket int, ids array<long>, vector array<double>")
     probed = queries.mapInArrow(lambda b: _entries(b, tables, probes, "query_id", only), "table int, width int, bucket int, query_id long, vector array<double>")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    held = entries.join(sizes, ["table", "width", "bucket"]).withColumn("part", F.pmod(F.xxhash64("ids"), F.col("parts"))).withColumn("block", each("blocks"))
+    asked = probed.join(sizes, ["table", "width", "bucket"]).withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks"))).withColumn("part", each("parts"))
+    return asked.select(*KEYS, "query_id", "vector"), held.select(*KEYS, "ids", "vector")
+
+
+def _found(members: DataFrame, queries: DataFrame, tables: int, probes: int, k: int, only: int | None = None) -> DataFrame:
+    """Per query and part of a probed bucket the k nearest: query_id, vec_id, score."""
+    asked, held = _dealt(members, queries, tables, probes, only)
 
     def near(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         return _rank(left, right, k)
 
-    # Members of a bucket are dealt to parts, each ranked alone, so that a full bucket is not one task's work.
-    parts = 4
-    spread = entries.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)))
-    asked = probed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    keys = ["table", "width", "bucket", "part"]
-    return asked.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(near, "query_id long, vec_id long, score double")
+    return asked.groupBy(*KEYS).cogroup(held.groupBy(*KEYS)).applyInArrow(near, "query_id long, vec_id long, score double")
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = K, tables: int = TABLES, probes: int = PROBES) -> DataFrame:

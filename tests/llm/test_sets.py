@@ -170,6 +170,25 @@ def test_neighbours(spark):
     assert neighbours.nearest(vectors(spark, [])).count() == 0
 
 
+def test_full_buckets_are_dealt_by_their_counts(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(1500, 16)).astype(np.float32)
+    data[500:] = data[0] + 0.01 * rng.normal(size=(1000, 16)).astype(np.float32)
+    rows = vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(data)])
+    whole = rows_of(neighbours.nearest(rows))
+    monkeypatch.setattr(neighbours, "PART", 50 * 16)
+    monkeypatch.setattr(neighbours, "ASKED", 20 * 16)
+    assert rows_of(neighbours.nearest(rows)) == whole
+    wide = rows.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
+    asked, held = neighbours._dealt(neighbours.index(wide), wide.where("vec_id % 5 = 0").withColumnRenamed("vec_id", "query_id"), 2, 3)
+    assert held.groupBy("table", "bucket").agg(F.countDistinct("ids").alias("n")).where("n >= 1000").count() > 0
+    assert held.groupBy(*neighbours.KEYS).count().agg(F.max("count")).first()[0] < 100
+    assert asked.groupBy(*neighbours.KEYS).count().agg(F.max("count")).first()[0] < 60
+
+
 def test_hadamard():
     import numpy as np
 
