@@ -1,8 +1,8 @@
 """Benchmark decontamination by a positional inverted index.
 
 The index holds postings of training tokens: term, row, place, and the words around the place.  Which terms get a
-posting list is decided by the test set: of each window of test words the term that is rarest over the whole corpus.
-A window occurs where its rarest term's list, shifted by the term's offset, agrees with every other term of the window;
+posting list is decided by the test set: of each window of test words the terms that are rarest over the whole corpus,
+as many as a near-copy cannot do without.  A window occurs where its rarest term's list, shifted by the term's offset, agrees with every other term of the window;
 the words around each posting let all these intersections happen where the posting lies.  Lists are stored once in the
 shared folder and answer exact phrase and proximity queries.
 """
@@ -16,6 +16,7 @@ from matricula.llm.text import words
 from matricula.session import stored
 
 WINDOW = 10
+SHARE = 0.8  # of a window's different words, for a proximity match
 # The terms with posting lists come from the test set; up to this many they are sent to every task, beyond it training
 # tokens are dealt by term and joined there.
 BROADCAST_TERMS = 200_000
@@ -36,15 +37,19 @@ def _tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
 
 
-def anchors(tests: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """windows() with term and offset: each window's rarest term over all documents (first of equals in the alphabet)
-    and its first place in the window."""
+def anchors(tests: DataFrame, docs: DataFrame, text_col: str = "text", share: float = SHARE) -> DataFrame:
+    """windows() with n, term, offset and rank: each window's rarest terms over all documents (equals by the alphabet),
+    from rank 1, with their first places in the window.
+
+    One more than the different words that a proximity match may lack: at least one of them stands in every match."""
     terms = tests.select(F.explode("window").alias("term")).distinct()
     seen = docs.select(F.explode_outer(words(F.col(text_col))).alias("term")).join(_bounded(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
     counts = terms.join(seen, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"))
-    each = tests.select("window", "items", F.posexplode("window").alias("offset", "term")).join(counts, "term")
-    best = each.groupBy("window").agg(F.min(F.struct("n", "term", "offset")).alias("best"), F.first("items").alias("items"))
-    return best.select("window", "items", F.col("best.n").alias("n"), F.col("best.term").alias("term"), F.col("best.offset").alias("offset"))
+    each = tests.select("window", "items", F.explode(F.array_distinct("window")).alias("term")).join(counts, "term")
+    rarest = each.groupBy("window").agg(F.array_sort(F.collect_list(F.struct("n", "term"))).alias("terms"), F.first("items").alias("items"))
+    needed = F.size("terms") - F.ceil(F.lit(share) * F.size("terms")).cast("int") + 1
+    chosen = rarest.select("window", "items", F.posexplode(F.slice("terms", F.lit(1), needed)).alias("place", "best"))
+    return chosen.select("window", "items", F.col("best.n").alias("n"), F.col("best.term").alias("term"), (F.array_position("window", F.col("best.term")) - 1).cast("int").alias("offset"), (F.col("place") + 1).alias("rank"))
 
 
 def _bounded(terms: DataFrame) -> DataFrame:
@@ -73,12 +78,14 @@ def phrase_matches(index: DataFrame, tests: DataFrame) -> DataFrame:
     size = F.size("window")
     first = F.col("at") - F.col("offset") + 1
     whole = (first >= 1) & (F.slice("around", F.greatest(F.lit(1), first), size) == F.col("window"))
-    return index.join(tests, "term").where(whole).select("doc_id", (F.col("place") - F.col("offset")).alias("start"), size.alias("length"), "items")
+    return index.join(tests.where("rank = 1"), "term").where(whole).select("doc_id", (F.col("place") - F.col("offset")).alias("start"), size.alias("length"), "items")
+
 
+def proximity_matches(index: DataFrame, tests: DataFrame, share: float = SHARE) -> DataFrame:
+    """Places of a window's rarest terms around which at least that share of the window's different words stand, in any
+    order: doc_id, place, length, items.  tests: anchors() for no greater share.
 
-def proximity_matches(index: DataFrame, tests: DataFrame, share: float = 0.8) -> DataFrame:
-    """Places of a window's rarest term around which at least that share of the window's different words stand, in any
-    order: doc_id, place, length, items."""
+    No stretch of as many words as the window that holds that share is missed."""
     different = F.array_distinct("window")
     near = F.size(F.array_intersect(different, F.col("around"))) >= F.lit(share) * F.size(different)
     return index.join(tests, "term").where(near).select("doc_id", "place", F.size("window").alias("length"), "items")
@@ -105,7 +112,8 @@ def judge(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW) -> DataFr
     fresh = runs.withColumn("covered", F.coalesce(F.max(end).over(order), F.lit(0)))
     hit = fresh.groupBy("doc_id").agg(F.sum(F.greatest(F.lit(0), end - F.greatest("start", "covered"))).cast("long").alias("n_hit"))
     items = exact.select("doc_id", F.explode("items").alias("item")).groupBy("doc_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    close = near.groupBy("doc_id").agg(F.countDistinct("place").alias("n_near"))
+    # Written, so that the proximity search is done and kept also where n_near is not read.
+    close = stored(near.groupBy("doc_id").agg(F.countDistinct("place").alias("n_near")), "near")
     found = hit.join(items, "doc_id", "left").join(close, "doc_id", "left")
     counted = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")

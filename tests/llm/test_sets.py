@@ -141,6 +141,34 @@ def test_proximity(spark):
     assert {r["doc_id"] for r in exact.collect()} == {1} and {r["doc_id"] for r in near.collect()} == {1, 2}
 
 
+def test_proximity_misses_no_stretch(spark):
+    rng = random.Random(9)
+    item = [f"w{i}" for i in range(14)]
+    rows = [(1, "w0 w1 w2 w3 x w5 w6 w7 w8 w9"), (2, "common"), (3, "x w1 w2 w3 w4 w5 w6 w7 w8 y"), (4, "w0 w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13")]
+    rows += [(10 + i, " ".join(rng.choice(item + ["x", "y"]) for _ in range(40))) for i in range(30)]
+    rows += [(50 + i, " ".join(rng.sample(item, 14))) for i in range(20)]
+    bench = [(1, " ".join(item)), (2, "a b a b w3"), (3, "w1 w1 w1 x unseen")]
+    windows = [set(w[i:i + 10]) for w in (t.split() for _, t in bench) for i in range(max(1, len(w) - 9))]
+    sizes = [min(10, len(t.split())) for _, t in bench for _ in range(max(1, len(t.split()) - 9))]
+    want = {d for d, t in rows for win, size in zip(windows, sizes, strict=True) for i in range(len(t.split())) if len(win & set(t.split()[i:i + size])) >= 0.8 * len(win)}
+    _, near = contamination.find(documents(spark, rows), benchmark(spark, bench))
+    got = {(r["doc_id"], r["place"]) for r in near.collect()}
+    assert {1, 3, 4} <= want <= {d for d, _ in got}
+    for d, place in got:
+        around = set(dict(rows)[d].split()[max(0, place - 9):place + 10])
+        assert any(len(win & around) >= 0.8 * len(win) for win in windows)
+
+
+def test_query_searches_proximity(spark, raw_dir, monkeypatch):
+    from matricula.llm import catalog
+
+    kept, keep = {}, contamination.stored
+    monkeypatch.setattr(contamination, "stored", lambda df, label: kept.setdefault(label, keep(df, label)))
+    rows = catalog.op8_decontaminate(spark, raw_dir)
+    hits = {r["doc_id"] for r in rows.where("contaminated").collect()}
+    assert {"doc_id", "n_near"} == set(kept["near"].columns) and hits <= {r["doc_id"] for r in kept["near"].collect()}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 
