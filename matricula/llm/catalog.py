@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matricula.llm import contamination, jaccard, language, license, mixing, neighbours, pii, sql, suffixes, toxicity, urls
+from matricula.llm import contamination, jaccard, language, license, manifest, mixing, neighbours, pii, ranking, simhash, sql, suffixes, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,11 +66,23 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"), manifest.tampered_leaf())
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the repository's top; it uses this module
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity, op10_repeated_passages, pipeline)}
-LLM_SQL: dict[str, str] = {"op4_mix_sources": sql.mix(), "op8_decontaminate": sql.DECONTAMINATE}
+LLM_QUERIES = {f.__name__: f for f in (op1_license_scan, op2_near_duplicates, op3_personal_data, op4_mix_sources, op5_language, op6_nearest, op7_url_filter, op8_decontaminate, op9_toxicity, op10_repeated_passages, op11_merkle_manifest, op12_simhash, op13_ranked_search, pipeline)}
+LLM_SQL: dict[str, str] = {"op4_mix_sources": sql.mix(), "op8_decontaminate": sql.DECONTAMINATE, "op11_merkle_manifest": sql.MERKLE, "op13_ranked_search": sql.RANK}

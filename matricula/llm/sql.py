@@ -63,3 +63,58 @@ def mix(docs: str = "documents") -> str:
     run AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('7:' || CAST(whole AS VARCHAR) || ':' || own), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun FROM placed),
     copies AS (SELECT *, unnest(range(0, CAST(whole AS INT))) AS epoch FROM placed UNION ALL SELECT * EXCLUDE (begun), CAST(whole AS INT) AS epoch FROM run WHERE begun < part)
     SELECT doc_id, domain, lang, source, CAST(epoch AS INT) AS epoch, n_tokens, CAST(budget AS BIGINT) AS budget FROM copies"""
+
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def leaf(text: str = "text") -> str:
+    """The hash of a row's fields, each as `-` or its UTF-8 length, a colon and the value."""
+    one = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+    return "sha256(" + " || ".join(one(text if c == "text" else c) for c in FIELDS) + ")"
+
+
+# crc32 of an ASCII string, bit by bit; 3988292384 is its reversed polynomial.
+CRC_STEP = "CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END"
+CRC32 = f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda state, byte: list_reduce(list_prepend(xor(state, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda r, bit: {CRC_STEP})), 4294967295::BIGINT)"
+
+MERKLE = f"""
+WITH RECURSIVE
+leaves AS (SELECT doc_id, source, {leaf()} AS leaf, CASE WHEN {CRC32} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} END AS other FROM documents),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, other) - 1 AS place, count(*) OVER (PARTITION BY source) AS size, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS src FROM leaves),
+low(src, level, place, size, digest) AS (
+    SELECT src, 0, place, size, leaf FROM ordered
+    UNION ALL SELECT src, level + 1, place // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM low WHERE size > 1 GROUP BY src, level, place // 3, size),
+subroots AS (SELECT src, digest AS subroot, level AS height FROM low WHERE size = 1),
+high(level, place, size, digest) AS (
+    SELECT 0, src, (SELECT count(*) FROM subroots), subroot FROM subroots
+    UNION ALL SELECT level + 1, place // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM high WHERE size > 1 GROUP BY level, place // 3, size),
+nodes AS (SELECT src, level, place, digest FROM low WHERE size > 1 UNION ALL SELECT s.src, s.height + h.level, h.place, h.digest FROM subroots AS s CROSS JOIN high AS h WHERE h.size > 1),
+start AS (SELECT row_number() OVER () AS k, a.*, s.height FROM ordered AS a JOIN subroots AS s USING (src)),
+path(k, src, level, place, height, digest) AS (
+    SELECT k, src, 0, CASE WHEN height = 0 THEN src ELSE place END, height, coalesce(other, leaf) FROM start
+    UNION ALL SELECT p.k, p.src, p.level + 1, CASE WHEN p.level + 1 = p.height THEN p.src ELSE p.place // 3 END, p.height, sha256(string_agg(CASE WHEN n.place = p.place THEN p.digest ELSE n.digest END, '' ORDER BY n.place))
+    FROM path AS p JOIN nodes AS n ON n.src = p.src AND n.level = p.level AND n.place // 3 = p.place // 3 GROUP BY p.k, p.src, p.level, p.place, p.height),
+siblings AS (SELECT p.k, string_agg(n.digest, '' ORDER BY n.level, n.place) AS others FROM path AS p JOIN nodes AS n ON n.src = p.src AND n.level = p.level AND n.place // 3 = p.place // 3 AND n.place <> p.place GROUP BY p.k),
+whole AS (SELECT digest AS root FROM high WHERE size = 1),
+last AS (SELECT k, digest FROM path QUALIFY row_number() OVER (PARTITION BY k ORDER BY level DESC) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(others, '')) AS proof_sha256, last.digest AS folded_root, last.digest = root AS verified
+FROM start CROSS JOIN whole JOIN subroots USING (src) JOIN last USING (k) LEFT JOIN siblings USING (k)"""
+
+TERM_BREAK = r"'[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+
+def term_list(text: str) -> str:
+    return f"list_filter(string_split_regex(translate(coalesce({text}, ''), {LETTERS}), {TERM_BREAK}), lambda x: x <> '')"
+
+
+RANK = f"""
+WITH asked AS (SELECT DISTINCT item_id, unnest({term_list('text')}) AS term FROM benchmark),
+docs AS (SELECT row_number() OVER () AS k, doc_id, {term_list('text')} AS w FROM documents),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_words FROM docs WHERE len(w) > 0),
+held AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY k, term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM held CROSS JOIN totals GROUP BY term, n_docs),
+lengths AS (SELECT k, doc_id, 50 + (50 * CAST(len(w) AS BIGINT) * n_docs) // n_words AS m FROM docs CROSS JOIN totals WHERE doc_id IS NOT NULL),
+parts AS (SELECT item_id, k, doc_id, weights.w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS part FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN lengths USING (k)),
+scores AS (SELECT item_id, k, doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY item_id, k, doc_id HAVING sum(part) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM scores
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50"""

@@ -13,7 +13,7 @@ from test_texts import plain_pii
 
 
 def test_names():
-    assert [n.split("_")[0] for n in LLM_QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"] and set(LLM_SQL) <= set(LLM_QUERIES)
+    assert [n.split("_")[0] for n in LLM_QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"] and set(LLM_SQL) <= set(LLM_QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(LLM_SQL))
