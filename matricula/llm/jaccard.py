@@ -9,15 +9,17 @@ that many sets share, such as those inside a common passage, come last in that o
 decides the cost and not the result.  Sets with too many empty bands meet each other in their first shingles instead,
 as many as the similarity allows to differ, plus one.
 
-Equal sets are one node.  Within a band's run of equal values every set is compared with the run's smallest; only sets
-that this leaves in different components, and that the triangle inequality of the Jaccard distance does not separate,
-are compared with each other.
+Equal sets are one node.  Within a band's run of equal values every set is compared with the run's hub; only sets that
+this leaves in different components, and that the triangle inequality of the Jaccard distance does not separate, are
+compared with each other.  Before any set moves, the pair's sizes and 512-bit parity sketches have to leave room for a
+link: their Hamming distance is a lower bound of the symmetric difference.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 from math import ceil, exp, sqrt
@@ -25,7 +27,7 @@ from math import ceil, exp, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matricula.llm.components import components
@@ -35,7 +37,8 @@ STRETCH = 1.5  # ratio of a size class
 OFTEN = 3  # times that a band's value stands in a run of rows to count as common there
 COMMON = 200_000  # common values, most frequent first, that come last in the order; others keep the order of their hash
 PART = 1000  # rows that are worked on at once
-ARROW_ROWS = 2000  # rows in one batch between Spark and Python: two sets of a pair are some kilobytes
+ARROW_ROWS = 2000  # rows with sets in one batch between Spark and Python: a set is some kilobytes
+HUB_PART = 1000  # sets that meet one copy of a hub's set
 SKETCH = 512  # bits of the sketch that travels with a set
 SEND_IDS = 2_000_000  # ids up to which a list of them is sent to every task
 U = np.uint64
@@ -247,54 +250,111 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows([last_key], [hub], [hub], True)
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Intersections of pairs of sorted sets: a, b, common, n_a, n_b."""
-    for batch in batches:
-        common, n_a, n_b = [], [], []
-        for left, right in zip(batch["set_a"], batch["set_b"], strict=True):
-            x, y = np.frombuffer(left.as_buffer(), U), np.frombuffer(right.as_buffer(), U)
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            common.append(int((y[at] == x).sum()))
-            n_a.append(len(x))
-            n_b.append(len(y))
-        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], *[pa.array(c, pa.int64()) for c in (common, n_a, n_b)]], names=["a", "b", "common", "n_a", "n_b"])
-
-
-def _sets(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+def _needed(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """The set of each text once for every place where it is needed: hub, salt, own (it is the hub's), rep, set."""
     for batch in batches:
         for begin in range(0, batch.num_rows, PART):
             part = batch.slice(begin, PART)
-            yield pa.RecordBatch.from_arrays([part["doc_id"].cast(pa.int64()), pa.array([s.tobytes() for s in shingle_sets(part["text"].to_pylist(), rule.size)], pa.binary())], names=["rep", "set"])
+            sets = shingle_sets(part["text"].to_pylist(), rule.size)
+            which = np.repeat(np.arange(len(sets)), part["places"].value_lengths().to_numpy())
+            # Another text of the same id may be empty; it is similar to nothing.
+            keep = np.array([len(x) > 0 for x in sets], bool)[which]
+            places, which = part["places"].flatten().filter(pa.array(keep)), which[keep]
+            ids = part["doc_id"].cast(pa.int64()).take(pa.array(which, pa.int64()))
+            for cut in range(0, len(which), ARROW_ROWS):
+                here = which[cut:cut + ARROW_ROWS].tolist()
+                field = lambda name: places.field(name).slice(cut, len(here))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([field("hub"), field("salt"), field("own"), ids.slice(cut, len(here)), pa.array([sets[i].tobytes() for i in here], pa.binary())], names=["hub", "salt", "own", "rep", "set"])
+
+
+def _against_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (hub, salt), the hub's sets first: a, b, common, n_a, n_b of the hub with each other set."""
+    key, hubs = None, []
+    for batch in batches:
+        a, b, common, n_a, n_b = [], [], [], [], []
+        for hub, salt, own, rep, data in zip(*(batch[c].to_pylist() for c in ("hub", "salt", "own", "rep")), batch["set"], strict=True):
+            if (hub, salt) != key:
+                key, hubs = (hub, salt), []
+            y = np.frombuffer(data.as_buffer(), U)
+            if own:
+                if not any(np.array_equal(x, y) for x in hubs):
+                    hubs.append(y.copy())
+                continue
+            for x in hubs:
+                small, large = (x, y) if len(x) < len(y) else (y, x)
+                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                a.append(hub)
+                b.append(rep)
+                common.append(int((large[at] == small).sum()))
+                n_a.append(len(x))
+                n_b.append(len(y))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, common, n_a, n_b)], names=["a", "b", "common", "n_a", "n_b"])
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Batches of so many rows between Spark and Python, as long as the block runs."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs with these ids; up to SEND_IDS ids are sent to every task, more are joined by a shuffle."""
+    """Rows of docs with the columns of ids (doc_id, ...); up to SEND_IDS ids are sent to every task, more are joined by a shuffle."""
     few = ids.limit(SEND_IDS + 1).count() <= SEND_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """pairs (a, b) with common, n_a, n_b, from the whole texts.  A doc_id with several texts counts with each of them."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    sets = _texts_of(docs, ids).mapInArrow(lambda b: _sets(b, rule), "rep long, set binary")
-    # Another text of the same id may be empty; it is similar to nothing.
-    sets = stored(sets.where(F.octet_length("set") > 0).dropDuplicates(["rep", "set"]), "sets")
-    left = pairs.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
-    both = left.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(_similar, "a long, b long, common long, n_a long, n_b long")
+    """pairs (a, b) with whether they are linked and the least and greatest Jaccard distance, from the whole texts.
+
+    A doc_id with several texts counts with each of them.  Every a is met by the sets of its pairs, HUB_PART of them at a
+    time, so its own set moves once for so many; nothing but sets of such pairs moves."""
+    spark = docs.sparkSession
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PART).cast("int").alias("parts"))
+    place = lambda doc, salt, own: [F.col(doc).alias("doc_id"), F.struct(F.col("a").alias("hub"), salt.cast("int").alias("salt"), F.lit(own).alias("own")).alias("place")]
+    members = pairs.join(parts, "a").select(*place("b", F.pmod(F.xxhash64("b"), "parts"), False))
+    hubs = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")).select(*place("a", F.col("salt"), True))
+    needs = stored(members.unionByName(hubs).groupBy("doc_id").agg(F.collect_list("place").alias("places")), "needs")
+    with arrow_rows(spark, ARROW_ROWS):
+        sets = _texts_of(docs, needs).select("doc_id", "text", "places").mapInArrow(lambda b: _needed(b, rule), "hub long, salt int, own boolean, rep long, set binary")
+        dealt = sets.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
+        found = dealt.mapInArrow(_against_hub, "a long, b long, common long, n_a long, n_b long")
+        far = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
+        return stored(found.groupBy("a", "b").agg(F.max(_linked(rule)).alias("linked"), F.min(far).alias("least"), F.max(far).alias("most")), "verified")
 
 
 def _linked(rule: Rule):
     return F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * rule.percent
 
 
+def _differing_bits():
+    return sum((F.bit_count(F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}"))) for i in range(1, SKETCH // 64)), F.bit_count(F.col("x_s0").bitwiseXOR(F.col("y_s0"))))
+
+
+def _may_link(rule: Rule):
+    """Whether the sizes and sketches of x and y leave room for a link; ids with several texts are not judged by them."""
+    sizes = (F.col("x_high") * 100 >= F.col("y_low") * rule.percent) & (F.col("y_high") * 100 >= F.col("x_low") * rule.percent)
+    near = _differing_bits() * (100 + rule.percent) <= (F.col("x_low") + F.col("y_low")) * (100 - rule.percent)
+    return (F.col("x_texts") + F.col("y_texts") > 2) | (sizes & near)
+
+
+def _at_least_far():
+    """A lower bound of the Jaccard distance of x and y: d different shingles of n_x + n_y give 2 d / (n_x + n_y + d)."""
+    d = F.greatest(_differing_bits(), F.abs(F.col("x_low") - F.col("y_low")))
+    return F.when(F.col("x_texts") + F.col("y_texts") > 2, 0.0).otherwise(2 * d / (F.col("x_low") + F.col("y_low") + d))
+
+
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
     """One row per row of docs (doc_id, text): doc_id, n_shingles, class_id, component_id.
 
     class_id is the smallest doc_id with the same set, component_id the smallest one reachable by links.  Null and empty
     texts have no shingles and are linked with nothing; a row without an id keeps its counts and has no class or
     component; rows of one doc_id are one document, so different texts under one id hold their components together."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     often = rows.mapInArrow(lambda b: _often(b, rule), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
     value = often["key"].to_numpy().view(U)
@@ -306,6 +366,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     names = stored(full.groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
     # The rows that stand for their classes; their keys do not move before they are dealt.
     own = _texts_of(full, names.select(F.col("class_id").alias("doc_id")).distinct())
+    outline = stored(own.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count_distinct("low").alias("texts"), F.first("sketch").alias("sketch")), "outline")
+    outline = outline.select("rep", "low", "high", "texts", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH // 64)])
     pairs_of_keys = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pairs_of_keys.repartitionByRange(parts, "key", "rep").sortWithinPartitions("key", "rep")
@@ -314,32 +376,31 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     cut = runs.where("edge").groupBy("key").agg(F.min("hub").alias("first"))
     whole = runs.join(cut, "key", "left").select("key", F.coalesce("first", "hub").alias("hub"), "rep").where(F.col("hub") != F.col("rep")).distinct()
     runs = stored(whole, "runs")
-    tested = stored(_verified(rows, runs.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), rule), "tested")
-    links = tested.where(_linked(rule)).select("a", "b")
+    # Sizes and sketches refuse most pairs before any set moves; for those the distance is bounded from below.
+    met = runs.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    met = met.join(outline.select(*[F.col(c).alias(f"x_{c}") for c in outline.columns]), F.col("a") == F.col("x_rep")).join(outline.select(*[F.col(c).alias(f"y_{c}") for c in outline.columns]), F.col("b") == F.col("y_rep"))
+    met = stored(met.select("a", "b", _may_link(rule).alias("may"), _at_least_far().alias("least")), "met")
+    verified = _verified(rows, met.where("may").select("a", "b"), rule)
+    links = verified.where("linked").select("a", "b")
     first = components(links)
 
     # Sets of one run in different components, unless their distances from the hub keep them apart.
+    tested = met.select("a", "b", "least").join(verified.select("a", "b", F.col("least").alias("exact"), "most"), ["a", "b"], "left")
+    tested = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.coalesce("exact", "least").alias("least"), F.coalesce("most", F.lit(1.0)).alias("most"))
     named = first.select(F.col("node").alias("rep"), "component")
-    distance = (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("far")
-    members = runs.join(tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), distance, F.col("n_b").alias("n")), ["hub", "rep"])
-    members = members.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    members = runs.join(tested, ["hub", "rep"]).join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     hubs = first.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
     loose = members.join(hubs, "hub", "left").withColumn("of_hub", F.coalesce("of_hub", "hub"))
-    room = (100 - rule.percent) / 100
+    room = (100 - rule.percent) / 100 + 1e-9
     # A component's sets in a run matter only if the run has another component besides the hub's that lies in reach.
     outside = loose.where(F.col("component") != F.col("of_hub"))
     spread = outside.select("key").distinct()
-    rest = stored(loose.join(spread, "key").select("key", "rep", "component", "of_hub", "far", "n"), "loose")
-    sketches = own.groupBy(F.col("doc_id").alias("rep")).agg(F.first("sketch").alias("sketch"), F.count_distinct("low").alias("texts"))
-    rest = rest.join(sketches, "rep")
-    x = rest.where(F.col("component") != F.col("of_hub")).alias("x")
-    y = rest.alias("y")
-    apart = (F.col("x.component") != F.col("y.component")) & (F.abs(F.col("x.far") - F.col("y.far")) <= room + 1e-9)
-    sizes = (F.col("x.n") * 100 >= F.col("y.n") * rule.percent) & (F.col("y.n") * 100 >= F.col("x.n") * rule.percent)
-    bits = F.aggregate(F.zip_with("x.sketch", "y.sketch", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    near_bits = (bits * (100 + rule.percent) <= (F.col("x.n") + F.col("y.n")) * (100 - rule.percent)) | (F.col("x.texts") + F.col("y.texts") > 2)
-    near = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & sizes & near_bits).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    found = _verified(rows, stored(near, "near"), rule).where(_linked(rule)).select("a", "b")
+    rest = stored(loose.join(spread, "key").select("key", "rep", "component", "of_hub", "least", "most"), "loose").join(outline, "rep")
+    x = rest.where(F.col("component") != F.col("of_hub")).select("key", *[F.col(c).alias(f"x_{c}") for c in rest.columns if c != "key"])
+    y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in rest.columns if c != "key"])
+    reach = (F.col("x_component") != F.col("y_component")) & (F.col("x_least") - F.col("y_most") <= room) & (F.col("y_least") - F.col("x_most") <= room)
+    near = x.join(y, "key").where(reach & _may_link(rule)).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
+    found = _verified(rows, stored(near, "near"), rule).where("linked").select("a", "b")
     # Several texts under one id: their classes belong together.
     held = full.join(names, same).where(F.col("class_id") != F.col("doc_id")).select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
     twice = held.join(names.select(F.col("class_id").alias("b")), "b", "left_semi").select("a", "b")
