@@ -38,7 +38,7 @@ OFTEN = 3  # times that a band's value stands in a run of rows to count as commo
 COMMON = 200_000  # common values, most frequent first, that come last in the order; others keep the order of their hash
 PART = 1000  # rows that are worked on at once
 ARROW_ROWS = 2000  # rows with sets in one batch between Spark and Python: a set is some kilobytes
-HUB_PART = 1000  # sets that meet one copy of a hub's set
+HUB_PART = 200  # sets that meet one copy of a hub's set
 SKETCH = 512  # bits of the sketch that travels with a set
 SEND_IDS = 2_000_000  # ids up to which a list of them is sent to every task
 U = np.uint64
