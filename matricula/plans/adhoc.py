@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.exact import mean_of
@@ -104,6 +106,15 @@ def failed_checks(dq_log: DataFrame) -> DataFrame:
     return dq_log.orderBy(F.col("checked_at").desc(), "check_name")
 
 
+def checks_logged(runs) -> DataFrame:
+    """The check log of several runs: (run id, time, failed checks of the run) as log rows."""
+    rows = [
+        failed.select("check_name", "check_category", "severity", "records_flagged", "detail", F.lit(at).cast("timestamp_ntz").alias("checked_at"), F.lit(run_id).cast("bigint").alias("etl_run_id"))
+        for run_id, at, failed in runs
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def row_counts(t, names) -> DataFrame:
     """Rows of each named table."""
     parts = [t[n].agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n in names]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import ChainMap
+from collections.abc import Mapping
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -425,6 +426,50 @@ def constraint_violations(t) -> DataFrame:
     return found.groupBy("rule").agg(F.count("*").alias("keys"), F.sum("violations").alias("violations"))
 
 
+CHECK_DATES = (date(1996, 1, 1), date(1999, 1, 1), CHECK_DATE)
+
+
+def _check_log(t) -> DataFrame:
+    """What checks at three dates logged."""
+    runs = [(n, datetime(d.year, d.month, d.day), quality.run_checks(t, d)) for n, d in enumerate(CHECK_DATES, 1)]
+    return adhoc.checks_logged(runs)
+
+
+def failed_checks(t) -> DataFrame:
+    return adhoc.failed_checks(_check_log(t)).select("checked_at", "etl_run_id", "check_name", "severity", "records_flagged", "detail")
+
+
+def check_log_violations(t) -> DataFrame:
+    """Rules of the check log, on one whose warnings carry a severity that does not exist and whose errors have no detail."""
+    log = _check_log(t).withColumn("severity", F.when(F.col("severity") == "WARNING", "NOTICE").otherwise(F.col("severity")))
+    found = constraints.violations({"dq_check_log": log}, ["dq_check_log"])
+    return found.groupBy("rule").agg(F.count("*").alias("keys"), F.sum("violations").alias("violations"))
+
+
+def run_change(t) -> tuple[Mapping[str, DataFrame], dict[str, DataFrame], dict[str, DataFrame]]:
+    """The model with prerequisites on themselves, and the rows that a run takes out and puts in: it repairs half of the
+    prerequisites, breaks statuses and remarks, drops programmes that have students and repeats staff numbers."""
+    wrong = t["course_prerequisite"].withColumn("required_course_id", F.col("course_id"))
+    dropped, absent = t["course_registration"].where("registration_status = 'Dropped'"), t["course_result"].where("remark = 'Absent'")
+    removed = {
+        "course_prerequisite": wrong.where("prerequisite_id % 2 = 0"), "course_registration": dropped, "course_result": absent,
+        "programme": t["programme"].where("programme_id % 10 = 3"),
+    }
+    added = {
+        "course_prerequisite": t["course_prerequisite"].where("prerequisite_id % 2 = 0"),
+        "course_registration": dropped.withColumn("registration_status", F.lit("Cancelled")),
+        "course_result": absent.withColumn("remark", F.lit(None).cast("string")),
+        "staff": t["staff"].where("staff_id % 10 = 0").withColumn("staff_id", F.col("staff_id") + 1_000_000_000),
+    }
+    return _with(t, course_prerequisite=wrong), removed, added
+
+
+def violations_of_run(t) -> DataFrame:
+    """What a run breaks and mends, from the keys it touches."""
+    found = constraints.changed_violations(*run_change(t), MODEL_TABLES)
+    return found.groupBy("rule").agg(F.count("*").alias("keys"), F.sum("before").alias("before"), F.sum("after").alias("after"))
+
+
 # --- visibility ---------------------------------------------------------------
 
 
@@ -583,6 +628,18 @@ def run_incremental(t) -> DataFrame:
     return counts.unionByName(current).unionByName(runs).unionByName(closed.where("etl_run_id = 2").drop("etl_run_id"))
 
 
+def load_outcomes(t) -> DataFrame:
+    """A load of the source as it is, under the real limits, that errors block, beside two that go on with warnings."""
+    store = Store(t.spark, fresh_folder(t.spark, "blocked"))
+    try:
+        pipeline.run_incremental(store, t, COMPLETE)
+    except pipeline.LoadBlocked:
+        pass
+    blocked = pipeline.run_log(store).select(F.lit("as it is").alias("source"), "etl_run_id", "status", "dq_errors", "dq_warnings")
+    loaded = two_runs(t)[1]["etl_log"].select(F.lit("cleaned").alias("source"), "etl_run_id", "status", "dq_errors", "dq_warnings")
+    return blocked.unionByName(loaded)
+
+
 def student_registration_summary(t) -> DataFrame:
     return views.student_registration_summary(t, READ_DATE)
 
@@ -596,7 +653,7 @@ CATALOG = {
         fact_student_gpa, fact_registration_event, dim_student, scd2_first_load, scd2_second_load, scd2_counts, scd2_current,
         version_history, version_by_surrogate, versions_from_changes, versions_from_timestamps, system_time_as_of, system_time_between,
         system_time_all, dq_checks, dq_gate, dq01, dq02, dq03, dq04, dq05, dq06, dq07_duplicates, dq07_case_insensitive, dq08, dq09_grade_range, dq10,
-        raw_constraint_violations, constraint_violations, rls_child_rows, rls_block, registration_validation,
+        raw_constraint_violations, constraint_violations, failed_checks, check_log_violations, violations_of_run, load_outcomes, rls_child_rows, rls_block, registration_validation,
         registration_cap_greedy, promote_students, promoted_levels, run_incremental, student_registration_summary, incremental_equals_full_enrollment,
         incremental_equals_full_events, fact_student_gpa_as_of, update_by_keys, with_defaults, watermark_advance, run_counters,
     )},

@@ -10,8 +10,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import FIRST_WATERMARK
-from ..operators import extract, quality
-from ..operators.load import latest_runs, replace_affected_keys, type1_upsert
+from .. import session
+from ..operators import constraints, extract, quality
+from ..operators.load import latest_runs, replace_affected_keys, type1_upsert, unmatched
 from ..operators.scd2 import version_number
 from ..schemas import schema_of
 from ..sources.reference_data import ENTITIES, literal_table, states
@@ -24,7 +25,17 @@ MERGE_AFTER = 100
 # Default number of parts of the GPA fact; a load rewrites those its students are in.
 GPA_PARTS = 64
 
+# Default number of parts of the open student versions; a load reads and rewrites those its students are in.
+STUDENT_PARTS = 16
+# Default number of parts of the index from registrations to the periods their facts are in.
+INDEX_PARTS = 64
+
 CURRENT = "current"
+INDEX = "registration_period"
+WAREHOUSE_TABLES = (
+    "dim_date", "dim_geography", "dim_student", "dim_course", "dim_academic_period", "dim_staff",
+    "fact_enrollment", "fact_student_gpa", "fact_registration_event",
+)
 
 
 class LoadBlocked(RuntimeError):
@@ -43,10 +54,10 @@ class Run:
 
     def __init__(
         self, store: Store, source: Mapping[str, DataFrame], run_id: int, until: datetime, now: datetime,
-        merge_after: int = MERGE_AFTER, gpa_parts: int = GPA_PARTS,
+        merge_after: int = MERGE_AFTER, gpa_parts: int = GPA_PARTS, student_parts: int = STUDENT_PARTS, index_parts: int = INDEX_PARTS,
     ):
         self.store, self.source, self.run_id, self.until, self.now = store, source, run_id, until, now
-        self.merge_after, self.gpa_parts = merge_after, gpa_parts
+        self.merge_after, self.gpa_parts, self.student_parts, self.index_parts = merge_after, gpa_parts, student_parts, index_parts
         self.changed: dict[str, Parts] = {}
         self.staged: dict[str, DataFrame] = {}
         self._counts: dict[str, list[int]] = {"inserted": [], "updated": [], "closed": []}
@@ -102,42 +113,83 @@ class Run:
         self.count(inserted=rows.count())
 
     def students(self, watermark: datetime, touch: bool = False) -> None:
-        """Rewrites the open versions; closed ones go to a part of their own and are not touched again."""
+        """Rewrites the open versions of the changed students' parts; closed versions go to a part of their own and are
+        not touched again.
+
+        Open versions are dealt by student, so a student's open version is in one known part; the other parts are
+        neither read nor written."""
         table, closed = "dim_student", f"closed-{self.run_id}"
         stored = self.store.parts(table)
+        open_parts = {k for k in stored if k.startswith(CURRENT)}
+        part = lambda student: F.concat(F.lit(f"{CURRENT}-"), F.pmod(student, F.lit(self.student_parts)).cast("string"))
         snapshot = self.delta(table, dims.student_snapshot(self.source, watermark, None, touch)).select(*dims.SNAPSHOT)
         refuse_repeated(snapshot, ["student_id"], table)
-        current = self.store.read(table, {k: v for k, v in stored.items() if k == CURRENT})
-        # Every key with a version has an open one, so the open slice holds all known keys.
+        touched = {r[0] for r in snapshot.select(part(F.col("student_id"))).distinct().collect()}  # at most student_parts
+        if open_parts - {f"{CURRENT}-{i}" for i in range(self.student_parts)}:
+            touched |= open_parts  # the number of parts was changed: all are dealt anew
+        current = self.store.read(table, {k: v for k, v in stored.items() if k in touched & open_parts})
+        # Every key with a version has an open one, so its part of the open slice holds all its known keys.
         merged = dims.merge_student(current, snapshot, self.now.date(), self.now, self.run_id)
-        part = F.when(F.col("is_current"), CURRENT).otherwise(closed)
-        parts = self.store.write(table, merged, self.run_id, part)
+        place = F.when(F.col("is_current"), part(F.col("student_id"))).otherwise(closed)
+        parts = self.store.write(table, merged, self.run_id, place)
         first = F.count_if(version_number(F.col("student_sk")) == 1)
-        opened = self.store.read(table, {k: v for k, v in parts.items() if k == CURRENT}).where(F.col("etl_run_id") == self.run_id)
+        opened = self.store.read(table, {k: v for k, v in parts.items() if k != closed}).where(F.col("etl_run_id") == self.run_id)
         new, both = opened.agg(first, F.count("*")).first()
         self.count(inserted=new, updated=both - new, closed=self.store.rows(table, {k: v for k, v in parts.items() if k == closed}))
-        self.stage(table, self.merge_parts(table, {**stored, **parts}, keep=(CURRENT,)))
+        whole = {**{k: v for k, v in stored.items() if k not in touched}, **parts}
+        self.stage(table, self.merge_parts(table, whole, keep=tuple(k for k in whole if k.startswith(CURRENT))))
 
     # --- facts ---
 
     def enrollment(self, watermark: datetime) -> None:
-        """Replaces the changed registrations, rewriting only the periods they are or were in."""
+        """Replaces the changed registrations, rewriting only the periods they are or were in.
+
+        Where they were is looked up in the index from registrations to periods, of which only the parts of changed
+        registrations are read; the fact itself is read in the periods that are rewritten alone."""
         table, period = "fact_enrollment", F.col("period_sk").cast("string")
         stored = self.store.parts(table)
         rows = facts.enrollment_rows(self.tables, self.run_id, self.now, watermark, self.until)
         if not stored:
             parts = self.store.write(table, rows, self.run_id, period)
             self.count(inserted=self.store.rows(table, parts))
-            return self.stage(table, parts)
+            self.stage(table, parts)
+            return self.index(self.store.read(table, parts))
+        if not self.store.parts(INDEX):
+            self.index(self.store.read(table))
         new = self.delta(table, rows)
-        affected = facts.affected_registrations(self.source, watermark, self.until)
-        old = self.store.read(table).join(affected, "registration_id", "left_semi")
-        touched = {str(r[0]) for r in new.select("period_sk").union(old.select("period_sk")).distinct().collect()}
+        affected = session.stored(facts.affected_registrations(self.source, watermark, self.until), "affected")
+        known = self.indexed(affected)
+        held = known.join(affected, "registration_id", "left_semi").select("period_sk")
+        touched = {str(r[0]) for r in new.select("period_sk").union(held).distinct().collect()}
         target = self.store.read(table, {k: v for k, v in stored.items() if k in touched})
         rewritten = self.store.write(table, replace_affected_keys(target, new, affected, ["registration_id"]), self.run_id, period)
         self.count(inserted=new.count())
+        self.index(unmatched(new.select(*schema_of(INDEX).names).distinct(), known, schema_of(INDEX).names))
         return self.stage(table, {**{k: v for k, v in stored.items() if k not in touched}, **rewritten})
 
+    def index_part(self):
+        return F.pmod(F.xxhash64("registration_id"), F.lit(self.index_parts)).cast("string")
+
+    def index_parts_stored(self) -> Parts:
+        return self.changed.get(INDEX) or self.store.parts(INDEX)
+
+    def indexed(self, registrations: DataFrame) -> DataFrame:
+        """The index's rows in the parts that these registrations are in; some may be of others in the same parts."""
+        stored = self.index_parts_stored()
+        wanted = {r[0] for r in registrations.select(self.index_part()).distinct().collect()}  # at most index_parts
+        foreign = {k.partition("@")[0] for k in stored} - {str(i) for i in range(self.index_parts)}
+        return self.store.read(INDEX, {k: v for k, v in stored.items() if foreign or k.partition("@")[0] in wanted})
+
+    def index(self, rows: DataFrame) -> None:
+        """Appends to the index where these facts are; a registration that moved keeps its earlier periods, which are
+        looked into in vain."""
+        stored = self.index_parts_stored()
+        written = self.store.write(INDEX, rows.select(*schema_of(INDEX).names), self.run_id, self.index_part(), label=f"index-{len(stored)}")
+        parts = {**stored, **{f"{k}@{self.run_id}": path for k, path in written.items()}}
+        for number in written:
+            parts = self.merge_parts(INDEX, parts, keep=tuple(k for k in parts if k.partition("@")[0] != number), label=f"{number}@merged-{self.run_id}")
+        self.stage(INDEX, parts)
+
     def gpa(self, watermark: datetime) -> None:
         """Recomputes the students with changed results, whatever version their old facts point at, as of ``until``.
 
@@ -179,6 +231,17 @@ class Run:
         whole = self.store.write(table, self.store.read(table, many), self.run_id, label=label)
         return {**{k: parts[k] for k in keep if k in parts}, **whole}
 
+    def broken(self) -> DataFrame:
+        """rule, key, before, after of the warehouse rules whose violations this run's changes alter.
+
+        Only directories that the run replaced or wrote are compared; rows that were merely moved cancel out."""
+        old = {t: self.store.parts(t) for t in WAREHOUSE_TABLES}
+        new = {t: self.changed.get(t, old[t]) for t in WAREHOUSE_TABLES}
+        gone = {t: {k: v for k, v in old[t].items() if v not in new[t].values()} for t in WAREHOUSE_TABLES}
+        came = {t: {k: v for k, v in new[t].items() if v not in old[t].values()} for t in WAREHOUSE_TABLES}
+        read = lambda parts: {t: self.store.read(t, p) for t, p in parts.items() if p}
+        return constraints.changed_violations({t: self.store.read(t) for t in WAREHOUSE_TABLES}, read(gone), read(came), WAREHOUSE_TABLES)
+
     def watermarks(self, table: DataFrame) -> None:
         moved = extract.advance_watermarks(table, self.until)
         self.stage("etl_watermark", self.store.write("etl_watermark", moved, self.run_id))
@@ -217,6 +280,9 @@ def run_incremental(
     clock=None,
     merge_after: int = MERGE_AFTER,
     gpa_parts: int = GPA_PARTS,
+    student_parts: int = STUDENT_PARTS,
+    index_parts: int = INDEX_PARTS,
+    validate: bool = False,
     **limits,
 ) -> DataFrame:
     """One incremental load of ``source`` into ``store`` as of ``until``; returns the run's log row.
@@ -225,12 +291,15 @@ def run_incremental(
     fails, the run is logged as FAILED and the published tables stay as they
     were.  With ``touch`` a renamed programme, department or faculty counts as a
     change of its students.  ``clock`` gives the finish time (default: ``until``); ``merge_after``
-    is the number of parts after which closed versions, or a period's events, are merged, ``gpa_parts``
-    the number of parts of the GPA fact; ``limits`` are thresholds of the checks.
+    is the number of parts after which closed versions, or a period's events, are merged; ``gpa_parts``,
+    ``student_parts`` and ``index_parts`` are the numbers of parts of the GPA fact, the open student versions and the
+    index of registrations; ``limits`` are thresholds of the checks.  With ``validate`` the declared rules of the
+    warehouse are checked on what the run changes before it is published; rules with new violations are logged as
+    errors and block the load.
     """
     spark = store.spark
     last = store.log("etl_log").agg(F.max("etl_run_id")).first()[0]
-    run = Run(store, source, (last or 0) + 1, until, until, merge_after, gpa_parts)
+    run = Run(store, source, (last or 0) + 1, until, until, merge_after, gpa_parts, student_parts, index_parts)
     finished = clock or (lambda: until)
     errors = warnings = 0
     _log_row(store, run, "RUNNING", None, triggered_by)
@@ -259,6 +328,13 @@ def run_incremental(
             lambda: run.gpa(wm["course_result"]),
             lambda: run.events(wm["course_registration"]),
         )
+        if validate:
+            broken = run.broken().where("after > before").groupBy("rule").agg(F.count("*").alias("keys"), F.sum(F.col("after") - F.col("before")).alias("rows")).collect()  # at most one row per rule
+            if broken:
+                logged = [(b["rule"], "CONSTRAINT", quality.ERROR, b["rows"], f"{b['keys']} keys broke the rule.", until, run.run_id) for b in broken]
+                store.append_log("dq_check_log", literal_table(spark, logged, schema_of("dq_check_log")))
+                errors += len(broken)
+                raise LoadBlocked(f"{len(broken)} declared rules would be broken.")
         run.watermarks(marks)
         store.publish(run.run_id, run.changed)
     except Exception as problem:

@@ -149,6 +149,7 @@ def academic_session(t) -> DataFrame:
         F.make_date(year, F.lit(1), F.lit(1)).alias("start_date"),
         F.make_date(year, F.lit(12), F.lit(31)).alias("end_date"),
         "is_current",
+        F.make_date(year, F.lit(1), F.lit(1)).cast("timestamp_ntz").alias("created_at"),
         F.make_date(year, F.lit(1), F.lit(1)).cast("timestamp_ntz").alias("updated_at"),
     )
 
@@ -199,8 +200,9 @@ def course_prerequisite(t) -> DataFrame:
 def programme_course(t) -> DataFrame:
     """Compulsory courses of a department's own courses, mapped to its programmes."""
     own = t["course"].where("is_compulsory_se").select("course_id", "department_id")
+    number = F.shiftleft(F.col("programme_id").cast("bigint"), 32) + F.col("course_id")
     return t["programme"].select("programme_id", "department_id").join(own, "department_id").select(
-        "programme_id", "course_id", F.lit("COMPULSORY_SE").alias("course_type"), F.lit(True).alias("is_compulsory")
+        number.alias("programme_course_id"), "programme_id", "course_id", F.lit("COMPULSORY_SE").alias("course_type"), F.lit(True).alias("is_compulsory")
     )
 
 

@@ -9,6 +9,7 @@ to broadcast, and cut the lineage of everything built on them.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,19 +32,21 @@ class Tables(Mapping):
         self._views = views
         self._frames: dict[str, DataFrame] = {}
         self._folder = fresh_folder(spark, "tables")
+        self._building = RLock()  # loads ask for tables side by side
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.raw_dir}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._frames:
-            if name in self._views:
-                self._frames[name] = typed(self._builders[name](self), name)
-            else:
-                path = f"{self._folder}/{name}"
-                write_table(self._builders[name](self), name, path)
-                self._frames[name] = read_table(self.spark, name, path)
-        return self._frames[name]
+        with self._building:
+            if name not in self._frames:
+                if name in self._views:
+                    self._frames[name] = typed(self._builders[name](self), name)
+                else:
+                    path = f"{self._folder}/{name}"
+                    write_table(self._builders[name](self), name, path)
+                    self._frames[name] = read_table(self.spark, name, path)
+            return self._frames[name]
 
     def __contains__(self, name) -> bool:
         return name in self._builders

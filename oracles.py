@@ -349,6 +349,22 @@ def dq_row(check: str) -> str:
 
 DQ_ALL = " UNION ALL ".join(dq_row(c) for c in DQ_TEXT)
 
+CHECK_DATES = ("1996-01-01", "1999-01-01", "2025-01-01")
+
+
+def dq_log() -> str:
+    """The checks that flag something at each of the dates."""
+    of = lambda d: DQ_ALL.replace("2025-01-01", d)
+    return " UNION ALL ".join(f"SELECT *, CAST(TIMESTAMP '{d} 00:00:00' AS VARCHAR) AS checked_at, {n} AS etl_run_id FROM ({of(d)}) WHERE records_flagged > 0" for n, d in enumerate(CHECK_DATES, 1))
+
+
+def outcome(source: str, run: int, day: str, passed: str = "") -> str:
+    """The log row of a load at a day; `passed` lists checks that the source satisfies."""
+    return f"""SELECT '{source}' AS source, {run} AS etl_run_id, CASE WHEN count(*) FILTER (severity = 'ERROR') = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+        count(*) FILTER (severity = 'ERROR') AS dq_errors, count(*) FILTER (severity = 'WARNING') AS dq_warnings
+        FROM ({DQ_ALL.replace("2025-01-01", day)}) WHERE records_flagged > 0 AND check_id NOT IN ('none'{passed})"""
+
+
 VISIBLE = "SELECT student_id, student_matric_no FROM student"
 TAUGHT = "SELECT student_id FROM registration WHERE course_id IN (SELECT course_id FROM assignment WHERE staff_id = 5)"
 
@@ -633,6 +649,19 @@ STATEMENTS = {
         UNION ALL SELECT 'check:course_registration.registration_status', count(*), count(*) FROM registration WHERE registration_status = 'Dropped'
         UNION ALL SELECT 'check:course_prerequisite.no_self_prereq', count(*), count(*) FROM prerequisite
         UNION ALL SELECT 'not_null:course_result.remark', count(*), count(*) FROM result WHERE remark = 'Absent'""",
+    "failed_checks": f"SELECT checked_at, etl_run_id, check_name, severity, records_flagged, detail FROM ({dq_log()})",
+    "check_log_violations": f"""SELECT 'check:dq_check_log.dq_severity' AS rule, count(DISTINCT check_name) AS keys, count(*) AS violations
+        FROM ({dq_log()}) WHERE severity = 'WARNING' HAVING count(*) > 0""",
+    "violations_of_run": """SELECT 'check:course_prerequisite.no_self_prereq' AS rule, count(*) AS keys, count(*) AS before, 0 AS after
+            FROM prerequisite WHERE course_id % 2 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'check:course_registration.registration_status', count(*), 0, count(*) FROM registration WHERE registration_status = 'Dropped' HAVING count(*) > 0
+        UNION ALL SELECT 'not_null:course_result.remark', count(*), 0, count(*) FROM result WHERE remark = 'Absent' HAVING count(*) > 0
+        UNION ALL SELECT 'reference:student.programme_id->programme', count(DISTINCT programme_id), 0, count(*) FROM student WHERE programme_id % 10 = 3 HAVING count(*) > 0
+        UNION ALL SELECT 'reference:programme_course.programme_id->programme', count(DISTINCT programme_id), 0, count(*)
+            FROM programme JOIN course USING (department_id) WHERE is_compulsory_se AND programme_id % 10 = 3 HAVING count(*) > 0
+        UNION ALL SELECT 'unique:staff.' || c, count(*), 0, 2 * count(*) FROM staff CROSS JOIN (VALUES ('staff_no'), ('email')) AS v(c) WHERE staff_id % 10 = 0 GROUP BY c""",
+    "load_outcomes": f"""{outcome('as it is', 1, '2030-01-01')}
+        UNION ALL {outcome('cleaned', 1, '1998-06-30', ", 'DQ-05', 'DQ-09'")} UNION ALL {outcome('cleaned', 2, '2030-01-01', ", 'DQ-05', 'DQ-09'")}""",
     # history
     "versions_from_changes": HISTORY,
     "versions_from_timestamps": EVENT_VERSIONS,

@@ -193,6 +193,41 @@ def test_constraint_kinds(spark):
     ])
 
 
+def _full(found):
+    return {(r["rule"], r["key"]): r["violations"] for r in found.collect()}
+
+
+def test_changed_violations(spark):
+    """Checking the keys that a change touches gives the difference of two full checks."""
+    rng = random.Random(11)
+    rules = {
+        "checks": (constraints.Check("child", "small", "parent_id < 8"),), "not_nulls": (constraints.NotNull("child", ("code", "parent_id")),),
+        "uniques": (constraints.Unique("child", ("code",)), constraints.Unique("child", ("code", "parent_id")), constraints.Unique("parent", ("id",)), constraints.Unique("child", ("day",))),
+        "references": (constraints.Reference("child", "parent_id", "parent", "id"), constraints.Reference("other", "ref", "parent", "id")),
+    }
+    some = lambda values: rng.choice((*values, None))
+    child = lambda n: [(rng.randrange(40), some("abcd"), some(range(12)), some((date(2020, 1, 1), date(2020, 1, 2)))) for _ in range(n)]
+    frame = {
+        "child": lambda rows: spark.createDataFrame(rows, "id int, code string, parent_id int, day date"),
+        "parent": lambda rows: spark.createDataFrame(rows, "id bigint"), "other": lambda rows: spark.createDataFrame(rows, "ref bigint"),
+    }
+    before = {"child": child(60), "parent": [(i,) for i in (0, 1, 2, 3, 3, 4, 5, 6)], "other": [(some(range(9)),) for _ in range(30)]}
+    for gone, came in (
+        ({"child": before["child"][:9], "parent": before["parent"][2:4]}, {"child": child(11), "parent": [(8,), (6,)]}),
+        ({}, {"parent": [(7,)]}), ({"child": before["child"][:5]}, {"child": before["child"][:5]}), ({"child": before["child"]}, {}), ({}, {}),
+    ):
+        after = {t: list(held) for t, held in before.items()}
+        for t, out in gone.items():
+            for r in out:
+                after[t].remove(r)
+        for t, put in came.items():
+            after[t] += put
+        tables = lambda m: {t: frame[t](held) for t, held in m.items()}
+        old, new = (_full(constraints.violations(tables(m), m, **rules)) for m in (before, after))
+        want = sorted((*k, old.get(k, 0), new.get(k, 0)) for k in {*old, *new} if old.get(k, 0) != new.get(k, 0))
+        assert rows(constraints.changed_violations(tables(before), tables(gone), tables(came), before, **rules)) == want
+
+
 def test_checks_on_damaged_data(spark):
     s = seed.source(spark)
     s["student"] = s["student"].withColumn("programme_id", F.when(F.col("student_id") > 2, F.col("programme_id")))

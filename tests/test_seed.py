@@ -287,6 +287,65 @@ def test_changes_reach_the_warehouse(spark):
     assert t["fact_registration_event"].count() == 26
 
 
+def _stamped(df, key, value, late):
+    return df.withColumn("updated_at", F.when(F.col(key) == value, F.lit(late).cast("timestamp_ntz")).otherwise(F.col("updated_at")))
+
+
+def test_a_load_touches_only_its_parts(spark):
+    """Open versions and the index of registrations are read and rewritten by key; other parts keep their files."""
+    source, store, _ = load(spark)
+    before = {n: store.parts(n) for n in ("dim_student", "registration_period", "fact_enrollment")}
+    assert sorted(before["dim_student"]) == sorted({f"current-{i % pipeline.STUDENT_PARTS}" for i in range(1, 11)})
+    index = sorted(map(tuple, store.read("registration_period").collect()))
+    assert index == sorted(map(tuple, store.read("fact_enrollment").select("registration_id", "period_sk").collect())) and len(index) == 5
+    late = datetime(2025, 3, 16, 8)
+    moved = _stamped(source["student"], "student_id", 3, late).withColumn("phone", F.when(F.col("student_id") == 3, "1"))
+    moved = moved.withColumn("enrollment_status", F.when(F.col("student_id") == 3, "Deferred").otherwise(F.col("enrollment_status")))
+    run = pipeline.Run(store, {**source, "student": moved}, 2, datetime(2025, 3, 17), datetime(2025, 3, 17))
+    registration = index[0][0]
+    looked = run.indexed(spark.createDataFrame([(registration,)], "registration_id decimal(38,0)"))
+    assert {f.rsplit("/", 1)[0].removeprefix("file:").removeprefix("//") for f in looked.inputFiles()} < {p.removeprefix("file:") for p in before["registration_period"].values()} or len(before["registration_period"]) == 1
+    pipeline.run_incremental(store, {**source, "student": moved, "course_result": _stamped(source["course_result"], "result_id", 5, late)}, datetime(2025, 3, 17))
+    after = {n: store.parts(n) for n in before}
+    changed = {k for k, v in after["dim_student"].items() if before["dim_student"].get(k) != v}
+    assert changed == {"current-3", "closed-2"}
+    assert store.read("dim_student").count() == 11
+    assert after["registration_period"] == before["registration_period"]  # the result stays in its period
+    dealt = pipeline.run_incremental(store, source, datetime(2025, 3, 18), student_parts=4, force_full=True).first()
+    assert dealt["status"] == "SUCCESS"
+    assert {k for k in store.parts("dim_student") if k.startswith("current")} == {f"current-{i}" for i in range(4)}
+    assert store.read("dim_student").where("is_current").count() == 10
+
+
+def test_a_result_that_moves_leaves_its_old_period(spark):
+    """A registration changed to another semester is found through the index and taken out of the old period."""
+    source, store, _ = load(spark)
+    (one,) = source["course_result"].where("result_id = 5").select("registration_id").collect()
+    late = datetime(2025, 3, 16, 8)
+    other = source["course_registration"].withColumn("semester_id", F.when(F.col("registration_id") == one[0], F.lit(4).cast("bigint")).otherwise(F.col("semester_id")))
+    pipeline.run_incremental(store, {**source, "course_registration": other, "course_result": _stamped(source["course_result"], "result_id", 5, late)}, datetime(2025, 3, 17))
+    fact = store.read("fact_enrollment")
+    assert fact.count() == 5 and [r[0] for r in fact.where(F.col("registration_id") == one[0]).select("period_sk").collect()] == [4]
+    assert store.read("registration_period").where(F.col("registration_id") == one[0]).count() == 2
+
+
+def test_validated_load(spark):
+    """A run whose changes break a declared rule of the warehouse is logged, blocked and not published."""
+    source = seed.source(spark)
+    store = Store(spark, fresh_folder(spark, "validated"))
+    assert pipeline.run_incremental(store, source, seed.AS_OF, validate=True).first()["status"] == "SUCCESS"
+    late = datetime(2025, 3, 16, 8)
+    nameless = _stamped(source["course"], "course_id", 2, late).withColumn("course_title", F.when(F.col("course_id") != 2, F.col("course_title")))
+    with pytest.raises(pipeline.LoadBlocked):
+        pipeline.run_incremental(store, {**source, "course": nameless}, datetime(2025, 3, 17), validate=True)
+    (row,) = store.log("dq_check_log").where("check_category = 'CONSTRAINT'").collect()
+    assert (row["check_name"], row["records_flagged"], row["etl_run_id"]) == ("not_null:dim_course.course_title", 1, 2)
+    assert Store(spark, store.root).read("dim_course").where("course_title IS NULL").count() == 0
+    assert pipeline.run_incremental(store, source, datetime(2025, 3, 18), validate=True).first()["status"] == "SUCCESS"
+    newest = adhoc.failed_checks(store.log("dq_check_log")).first()
+    assert newest["checked_at"] == datetime(2025, 3, 18)
+
+
 def test_failed_run_changes_nothing(spark):
     source, store, _ = load(spark)
     broken = {**source, "course_registration": source["course_registration"].drop("semester_id")}
