@@ -48,17 +48,37 @@ def score_and_grade(t) -> DataFrame:
     return _pair(graded.agg(F.count_if(F.col("total_score") > 100).alias("a"), F.count_if(misfit).alias("b")), "DQ-02", "DQ-09")
 
 
-def late_and_empty_semesters(t, as_of: date) -> DataFrame:
-    """DQ-03 and DQ-08 from one scan of the registrations, counted per semester."""
+def registration_checks(t, as_of: date, limit: int = MAX_UNITS) -> DataFrame:
+    """DQ-03, 05, 06, 08 and 10 from one scan of the registrations.
+
+    Results are counted per registration and joined once; then each (student, semester) is summed up, and each semester
+    over its students.  Only the first of these sums moves many rows, and it is combined on the map side."""
+    results = t["course_result"].groupBy("registration_id").agg(F.count("*").alias("results"))
     ends = t["semester"].select("semester_id", "end_date")
+    held = (
+        t["course_registration"].select("registration_id", "student_id", "course_id", "semester_id", "registration_date", "registration_status")
+        .join(results, "registration_id", "left")
+        .join(t["course"].select("course_id", "credit_units"), "course_id", "left")
+        .join(ends, "semester_id", "left")
+    )
     late = F.count_if(F.col("registration_date").cast("date") > F.col("end_date"))
-    used = (
-        t["course_registration"].select("semester_id", "registration_date").join(ends, "semester_id")
-        .groupBy("semester_id").agg(late.alias("late"), F.lit(True).alias("used"))
+    dropped = F.sum(F.when(F.col("registration_status") == "Dropped", F.col("results")))
+    unresolved = F.count_if(F.col("results").isNull() & (F.col("registration_status") == "Registered") & (F.col("end_date") < F.lit(as_of)))
+    loads = held.groupBy("student_id", "semester_id").agg(
+        F.sum("credit_units").alias("units"), late.alias("late"), dropped.alias("dropped"), unresolved.alias("unresolved")
+    )
+    used = loads.groupBy("semester_id").agg(
+        F.count_if(F.col("units") > limit).alias("over"), F.sum("late").alias("late"), F.sum("dropped").alias("dropped"),
+        F.sum("unresolved").alias("unresolved"), F.lit(True).alias("used"),
     )
-    empty = (F.col("end_date") < F.lit(as_of)) & F.col("used").isNull()
-    both = ends.join(used, "semester_id", "left").agg(F.coalesce(F.sum("late"), F.lit(0)).alias("a"), F.count_if(empty).alias("b"))
-    return _pair(both, "DQ-03", "DQ-08")
+    # Registrations of an unknown semester count as well; a semester without any is empty.
+    by_semester = ends.join(used, "semester_id", "full")
+    empty = F.count_if((F.col("end_date") < F.lit(as_of)) & F.col("used").isNull())
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    one = by_semester.agg(total("late"), total("over"), total("dropped"), empty.alias("empty"), total("unresolved"))
+    return one.select(F.expr(
+        "stack(5, 'DQ-03', late, 'DQ-05', over, 'DQ-06', dropped, 'DQ-08', empty, 'DQ-10', unresolved) as (check_id, records_flagged)"
+    ))
 
 
 def first_years_without_compulsory(t, code: str = COMPULSORY_CODE) -> DataFrame:
@@ -81,49 +101,20 @@ def first_years_without_compulsory(t, code: str = COMPULSORY_CODE) -> DataFrame:
     ).select(F.lit("DQ-04").alias("check_id"), "records_flagged")
 
 
-def over_unit_limit(t, limit: int = MAX_UNITS) -> DataFrame:
-    load = (
-        t["course_registration"]
-        .join(t["course"].select("course_id", "credit_units"), "course_id")
-        .groupBy("student_id", "semester_id")
-        .agg(F.sum("credit_units").alias("units"))
-    )
-    return _count(load.where(F.col("units") > limit), "DQ-05")
-
-
 def duplicate_matric(t, case_insensitive: bool = False) -> DataFrame:
     """Numbers with more than one student; with ``case_insensitive`` numbers that differ in case alone are one."""
     number = folded(F.col("student_matric_no"), case_insensitive).alias("student_matric_no")
     return _count(t["student"].groupBy(number).count().where("count > 1"), "DQ-07")
 
 
-def dropped_with_result_and_unresolved(t, as_of: date) -> DataFrame:
-    """DQ-06 and DQ-10 from one join of registrations with results."""
-    results = t["course_result"].select("registration_id", F.lit(True).alias("has_result"))
-    status = (
-        t["course_registration"]
-        .select("registration_id", "semester_id", "registration_status")
-        .join(t["semester"].select("semester_id", "end_date"), "semester_id", "left")
-        .join(results, "registration_id", "left")
-    )
-    dropped = F.col("has_result") & (F.col("registration_status") == "Dropped")
-    unresolved = (
-        F.col("has_result").isNull() & (F.col("registration_status") == "Registered") & (F.col("end_date") < F.lit(as_of))
-    )
-    both = status.agg(F.count_if(dropped).alias("a"), F.count_if(unresolved).alias("b"))
-    return _pair(both, "DQ-06", "DQ-10")
-
-
 def check_counts(t, as_of: date, unit_limit: int = MAX_UNITS, code: str = COMPULSORY_CODE) -> DataFrame:
     """All ten checks with their counts, zeros included."""
     parts = [
         missing_programme(t),
         duplicate_matric(t),
         score_and_grade(t),
-        late_and_empty_semesters(t, as_of),
+        registration_checks(t, as_of, unit_limit),
         first_years_without_compulsory(t, code),
-        over_unit_limit(t, unit_limit),
-        dropped_with_result_and_unresolved(t, as_of),
     ]
     counts = reduce(DataFrame.unionByName, parts)
     rule = F.create_map(

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import ChainMap
 from collections.abc import Mapping
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import bands
 from ..functions.exact import decimal_ratio
-from ..operators import constraints, extract, load, quality, registration, scd2, security, temporal
+from ..operators import constraints, extract, load, quality, registration, rollup, scd2, security, temporal
 from ..sources.derived import semester_of
 from ..sources.reference_data import resolve_literals
 from ..session import fresh_folder, stored
@@ -333,7 +334,7 @@ def dq02(t) -> DataFrame:
 def dq03(t) -> DataFrame:
     """On semesters that end 180 days after their start."""
     short = t["semester"].withColumn("end_date", F.date_add("start_date", 180))
-    return _records(quality.late_and_empty_semesters(_with(t, semester=short), CHECK_DATE), "DQ-03")
+    return _records(quality.registration_checks(_with(t, semester=short), CHECK_DATE), "DQ-03")
 
 
 def dq04(t) -> DataFrame:
@@ -341,11 +342,11 @@ def dq04(t) -> DataFrame:
 
 
 def dq05(t) -> DataFrame:
-    return _records(quality.over_unit_limit(t), "DQ-05")
+    return _records(quality.registration_checks(t, CHECK_DATE), "DQ-05")
 
 
 def dq06(t) -> DataFrame:
-    return _records(quality.dropped_with_result_and_unresolved(t, CHECK_DATE), "DQ-06")
+    return _records(quality.registration_checks(t, CHECK_DATE), "DQ-06")
 
 
 def dq07_duplicates(t) -> DataFrame:
@@ -362,7 +363,7 @@ def dq07_case_insensitive(t) -> DataFrame:
 
 
 def dq08(t) -> DataFrame:
-    return _records(quality.late_and_empty_semesters(t, CHECK_DATE), "DQ-08")
+    return _records(quality.registration_checks(t, CHECK_DATE), "DQ-08")
 
 
 def dq09_grade_range(t) -> DataFrame:
@@ -370,7 +371,7 @@ def dq09_grade_range(t) -> DataFrame:
 
 
 def dq10(t) -> DataFrame:
-    return _records(quality.dropped_with_result_and_unresolved(t, CHECK_DATE), "DQ-10")
+    return _records(quality.registration_checks(t, CHECK_DATE), "DQ-10")
 
 
 RAW_RULES = {
@@ -602,6 +603,28 @@ def with_defaults(t) -> DataFrame:
     return filled.groupBy("remark", "entered_by").agg(F.count("*").alias("results"), F.sum("credit_units_earned").alias("units"))
 
 
+def distinct_students(t) -> DataFrame:
+    """Distinct students per department and period, per department and over all, from the bitmaps that two loads left."""
+    kept = two_runs(t)[1]["period_students"]
+    counts = [rollup.distinct_counts(kept, keys, "students") for keys in (("department_name", "period_sk"), ("department_name",), ())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts).select("department_name", F.col("period_sk").alias("semester_id"), "students")
+
+
+def versions_from_late_changes(t) -> DataFrame:
+    """Versions of each user's event type, built from a third of the events and then from the others, each batch out of order."""
+    events = t.raw("events").select("user_id", "ts", "event_type", "event_id")
+    batch = lambda n: events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == n)
+    columns = ("user_id", "ts", ["event_type"], "event_id")
+    kept = temporal.merge_changes(events.limit(0).select("user_id", F.col("ts").alias("valid_from"), F.col("ts").alias("valid_to"), "event_type", "event_id"), batch(0), *columns)
+    for n in (1, 2):
+        kept = temporal.merge_changes(stored(kept, "versions"), batch(n), *columns)
+    open_ = F.year("valid_to") == 9999
+    length = F.timestamp_diff("SECOND", "valid_from", "valid_to")
+    return kept.groupBy("user_id", "event_type").agg(
+        F.count("*").alias("versions"), F.count_if(open_).alias("open"), F.sum(F.when(~open_, length)).alias("seconds")
+    )
+
+
 def watermark_advance(t) -> DataFrame:
     """The marks after both increments: loaded entities at the second end, the others as they were."""
     marks = two_runs(t)[1]["etl_watermark"]
@@ -653,7 +676,7 @@ CATALOG = {
         fact_student_gpa, fact_registration_event, dim_student, scd2_first_load, scd2_second_load, scd2_counts, scd2_current,
         version_history, version_by_surrogate, versions_from_changes, versions_from_timestamps, system_time_as_of, system_time_between,
         system_time_all, dq_checks, dq_gate, dq01, dq02, dq03, dq04, dq05, dq06, dq07_duplicates, dq07_case_insensitive, dq08, dq09_grade_range, dq10,
-        raw_constraint_violations, constraint_violations, failed_checks, check_log_violations, violations_of_run, load_outcomes, rls_child_rows, rls_block, registration_validation,
+        raw_constraint_violations, constraint_violations, failed_checks, check_log_violations, violations_of_run, load_outcomes, distinct_students, versions_from_late_changes, rls_child_rows, rls_block, registration_validation,
         registration_cap_greedy, promote_students, promoted_levels, run_incremental, student_registration_summary, incremental_equals_full_enrollment,
         incremental_equals_full_events, fact_student_gpa_as_of, update_by_keys, with_defaults, watermark_advance, run_counters,
     )},

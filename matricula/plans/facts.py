@@ -18,6 +18,7 @@ from ..functions.exact import decimal_ratio
 from ..operators.extract import changed_since
 from ..operators.load import unmatched
 from ..operators.registration import session_gpa
+from ..operators.rollup import distinct_rollup
 from ..operators.scd2 import current_rows, natural_key
 from ..operators.temporal import asof_lookup
 
@@ -113,6 +114,13 @@ def enrollment_rows(
     )
 
 
+def period_students(t, enrollment: DataFrame) -> DataFrame:
+    """The students of each period and department of a course, as bitmaps that merge into exact distinct counts."""
+    department = t["dim_course"].select("course_sk", "department_name")
+    students = enrollment.select("period_sk", "course_sk", natural_key(F.col("student_sk")).alias("student_id")).join(department, "course_sk")
+    return distinct_rollup(students, ("period_sk", "department_name"), "student_id")
+
+
 def affected_registrations(t, watermark: datetime, until: datetime | None = None) -> DataFrame:
     return changed_since(t["course_result"], watermark, until).select("registration_id").distinct()
 

@@ -32,6 +32,7 @@ INDEX_PARTS = 64
 
 CURRENT = "current"
 INDEX = "registration_period"
+ROLLUP = "period_students"
 WAREHOUSE_TABLES = (
     "dim_date", "dim_geography", "dim_student", "dim_course", "dim_academic_period", "dim_staff",
     "fact_enrollment", "fact_student_gpa", "fact_registration_event",
@@ -153,6 +154,7 @@ class Run:
             parts = self.store.write(table, rows, self.run_id, period)
             self.count(inserted=self.store.rows(table, parts))
             self.stage(table, parts)
+            self.rollup(parts)
             return self.index(self.store.read(table, parts))
         if not self.store.parts(INDEX):
             self.index(self.store.read(table))
@@ -165,7 +167,20 @@ class Run:
         rewritten = self.store.write(table, replace_affected_keys(target, new, affected, ["registration_id"]), self.run_id, period)
         self.count(inserted=new.count())
         self.index(unmatched(new.select(*schema_of(INDEX).names).distinct(), known, schema_of(INDEX).names))
-        return self.stage(table, {**{k: v for k, v in stored.items() if k not in touched}, **rewritten})
+        self.stage(table, {**{k: v for k, v in stored.items() if k not in touched}, **rewritten})
+        return self.rollup(rewritten if self.store.parts(ROLLUP) and not self.departments_moved() else self.changed[table])
+
+    def departments_moved(self) -> bool:
+        """Whether a known course has another department's name than before this run."""
+        name = F.col("department_name")
+        was = self.store.read("dim_course").select("course_sk", name.alias("was"))
+        return not self.tables["dim_course"].select("course_sk", name).join(was, "course_sk").where(~name.eqNullSafe(F.col("was"))).isEmpty()
+
+    def rollup(self, periods: Parts) -> None:
+        """Makes the distinct students of these periods anew; those of the others stay."""
+        rows = facts.period_students(self.tables, self.store.read("fact_enrollment", periods))
+        written = self.store.write(ROLLUP, rows, self.run_id, F.col("period_sk").cast("string"))
+        self.stage(ROLLUP, {**{k: v for k, v in self.store.parts(ROLLUP).items() if k in self.changed["fact_enrollment"] and k not in periods}, **written})
 
     def index_part(self):
         return F.pmod(F.xxhash64("registration_id"), F.lit(self.index_parts)).cast("string")

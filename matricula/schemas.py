@@ -95,6 +95,7 @@ WAREHOUSE = {
         is_distinction BOOLEAN, is_credit BOOLEAN, is_fail BOOLEAN, is_absent BOOLEAN, is_late_registration BOOLEAN,
         is_major_course BOOLEAN, is_elective_course BOOLEAN, is_compulsory_se BOOLEAN,
         dw_inserted_at TIMESTAMP_NTZ, etl_run_id BIGINT""",
+    "period_students": "period_sk BIGINT, department_name STRING, bucket BIGINT, ids BINARY",
     "registration_period": f"registration_id {REGISTRATION_ID}, period_sk BIGINT",
     "fact_student_gpa": """student_sk BIGINT, period_sk BIGINT, geo_sk BIGINT, session_gpa DECIMAL(4,2),
         cgpa DECIMAL(4,2), total_credits_attempted BIGINT, total_credits_earned BIGINT, courses_registered BIGINT,

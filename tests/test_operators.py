@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import seed
 from matricula.functions import bands, dates, exact
-from matricula.operators import constraints, extract, load, quality, registration, scd2, temporal
+from matricula.operators import constraints, extract, load, quality, registration, rollup, scd2, security, temporal
 from matricula.plans import dims, facts
 from matricula.sources.reference_data import literal_table, states
 from matricula.schemas import schema_of
@@ -174,6 +174,52 @@ def test_asof_lookup_against_python(spark, how):
     assert temporal.asof_lookup(empty, spark.createDataFrame(versions, "key int, valid_from date, valid_to date, v string"), "key", "day", ["v"]).count() == 0
 
 
+def test_asof_lookup_of_one_busy_key(spark):
+    """A key's facts spread over partitions; its version is carried over the borders, at moments as at days."""
+    base = datetime(2020, 1, 1)
+    versions = [(1, base + timedelta(hours=70 * i), base + timedelta(hours=70 * (i + 1)), i) for i in range(20)] + [(2, base, base, 98), (2, base, base + timedelta(days=400), 99)]
+    days = [(n, 1 if n % 9 else 2 if n % 2 else None, base + timedelta(minutes=37 * n)) for n in range(-50, 3000)] + [(-99, 1, None)]
+    facts_ = spark.createDataFrame(days, "n int, key int, at timestamp_ntz")
+    found = temporal.asof_lookup(facts_.repartition(6), spark.createDataFrame(versions, "key int, valid_from timestamp_ntz, valid_to timestamp_ntz, v int"), "key", "at", ["v"])
+    want = [(n, key, at, next((v for k, a, b, v in versions if at is not None and k == key and a <= at < b), None)) for n, key, at in days]
+    assert sorted(map(str, rows(found))) == sorted(map(str, want))
+    plan = found._jdf.queryExecution().toString()
+    assert "_month" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_late_changes(spark):
+    """Batches in any order give the versions of one build; keys without a late change keep their rows."""
+    rng = random.Random(6)
+    base = datetime(2021, 5, 1)
+    changes = [(rng.randrange(8), base + timedelta(hours=rng.randrange(60)), rng.choice("abc"), n) for n in range(200)]
+    schema = "id int, at timestamp_ntz, v string, n int"
+    whole = temporal.versions_from_changes(spark.createDataFrame(changes, schema), "id", "at", ["v"], "n")
+    rng.shuffle(changes)
+    kept = spark.createDataFrame([], "id int, valid_from timestamp_ntz, valid_to timestamp_ntz, v string, n int")
+    for k in range(0, 200, 67):
+        kept = temporal.merge_changes(kept, spark.createDataFrame(changes[k:k + 67], schema), "id", "at", ["v"], "n")
+    assert rows(kept.select("id", "valid_from", "v", "valid_to")) == rows(whole.select("id", "valid_from", "v", "valid_to"))
+    one = spark.createDataFrame([(1, base, "z", 999)], schema)
+    after = temporal.merge_changes(whole.withColumn("n", F.lit(1)), one, "id", "at", ["v"], "n")
+    assert rows(after.where("id <> 1").drop("n")) == rows(whole.where("id <> 1").select("id", "valid_from", "valid_to", "v"))
+
+
+def test_rollup(spark):
+    rng = random.Random(9)
+    data = [(rng.randrange(3), rng.choice("xy"), rng.choice((None, rng.randrange(100_000), rng.randrange(5)))) for _ in range(2000)]
+    df = spark.createDataFrame(data, "period int, g string, id bigint")
+    by_period = [rollup.distinct_rollup(df.where(F.col("period") == p), ("period", "g"), "id") for p in range(3)]
+    kept = by_period[0].unionByName(by_period[1]).unionByName(by_period[2])
+    assert rows(rollup.distinct_counts(kept, ("g",), "n")) == sorted((g, len({i for _, x, i in data if x == g and i is not None})) for g in "xy")
+    assert rollup.distinct_counts(kept, (), "n").first()[0] == len({i for _, _, i in data if i is not None})
+
+
+def test_registry_plan_has_no_join(spark):
+    s = seed.source(spark)
+    plan = lambda user: security.visible_rows(s["student"], s["security_user_map"], user, s)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan("registry_admin") and "Join" not in plan("student_one") and plan("lecturer_one").count("Join LeftSemi") == 2
+
+
 # --- checks ---
 
 
