@@ -152,6 +152,18 @@ def running_cgpa_weighted(t) -> DataFrame:
     return facts.running_cgpa(sessions, weighted=True).select("student_id", "session_id", "cgpa")
 
 
+def running_cgpa_after_late_results(t) -> DataFrame:
+    """The running CGPA of a state that was built before some results came, and then continued with their sessions."""
+    late = F.pmod(F.xxhash64("registration_id"), F.lit(10)) == 0
+    gpa = lambda results, registrations: registration.session_gpa(registrations, results, t["course"], t["semester"])
+    state = stored(facts.running_state(gpa(t["course_result"].where(~late), t["course_registration"])), "gpa-state")
+    of = t["semester"].select("semester_id", "session_id")
+    came = t["course_registration"].where(late).join(of, "semester_id").select("student_id", "session_id").distinct()
+    touched = t["course_registration"].join(of, "semester_id").join(came, ["student_id", "session_id"], "left_semi").drop("session_id")
+    after = facts.continued_state(state, stored(gpa(t["course_result"], touched), "late-sessions"))
+    return facts.cgpa_of(after).select("student_id", "session_id", "session_gpa", "cgpa")
+
+
 def faculty_performance_at_registration(t) -> DataFrame:
     """Grade points by the tracked attribute valid at registration rather than today."""
     scored = t["course_registration"].join(t["course_result"].select("registration_id", "grade_point"), "registration_id")
@@ -672,7 +684,7 @@ CATALOG = {
     **{f.__name__: f for f in (
         seed_key_resolution, calendar_attributes, incremental_extract, type1_upsert, replace_affected_keys, idempotent_append,
         case_bands, enrollment_flags, optional_dim_lookup, prereq_counts, anti_join_orphans, asof_dim_lookup, weighted_gpa,
-        running_cgpa, running_cgpa_weighted, faculty_performance_at_registration, fact_enrollment, fact_enrollment_fanout,
+        running_cgpa, running_cgpa_weighted, running_cgpa_after_late_results, faculty_performance_at_registration, fact_enrollment, fact_enrollment_fanout,
         fact_student_gpa, fact_registration_event, dim_student, scd2_first_load, scd2_second_load, scd2_counts, scd2_current,
         version_history, version_by_surrogate, versions_from_changes, versions_from_timestamps, system_time_as_of, system_time_between,
         system_time_all, dq_checks, dq_gate, dq01, dq02, dq03, dq04, dq05, dq06, dq07_duplicates, dq07_case_insensitive, dq08, dq09_grade_range, dq10,

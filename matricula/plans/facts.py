@@ -144,6 +144,38 @@ def running_cgpa(sessions: DataFrame, weighted: bool = False) -> DataFrame:
     return sessions.withColumn("cgpa", decimal_ratio(total, count * 100, 2))
 
 
+RUNNING = ("student_id", "session_id", "session_gpa", "points_so_far", "sessions_so_far")
+
+
+def running_state(sessions: DataFrame) -> DataFrame:
+    """Per student and session the sum (in hundredths) and number of session GPAs so far, from which the CGPA follows."""
+    so_far = Window.partitionBy("student_id").orderBy("session_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hundredths = F.coalesce((F.col("session_gpa") * 100).cast("bigint"), F.lit(0))
+    return sessions.select("student_id", "session_id", "session_gpa", F.sum(hundredths).over(so_far).alias("points_so_far"), F.count("*").over(so_far).alias("sessions_so_far"))
+
+
+def continued_state(state: DataFrame, changed: DataFrame) -> DataFrame:
+    """``state`` after new or changed session GPAs: sums go on from the last session before a student's first change.
+
+    Sessions before it, and students without a change, keep their rows; of the sessions after it only the GPA that the
+    state holds is needed, not the results behind it.
+    """
+    first = changed.groupBy("student_id").agg(F.min("session_id").alias("first"))
+    known = state.join(first, "student_id", "left")
+    kept = known.where("first IS NULL OR session_id < first")
+    newest = F.struct("points_so_far", "sessions_so_far")
+    base = kept.where("first IS NOT NULL").groupBy("student_id").agg(F.max_by(newest, "session_id").alias("base"))
+    later = known.where("session_id >= first").select("student_id", "session_id", "session_gpa")
+    fresh = later.join(changed, ["student_id", "session_id"], "left_anti").unionByName(changed.select(*later.columns))
+    added = lambda c: (F.col(c) + F.coalesce(F.col(f"base.{c}"), F.lit(0))).alias(c)
+    again = running_state(fresh).join(base, "student_id", "left").select("student_id", "session_id", "session_gpa", added("points_so_far"), added("sessions_so_far"))
+    return kept.select(*RUNNING).unionByName(again)
+
+
+def cgpa_of(state: DataFrame) -> DataFrame:
+    return state.withColumn("cgpa", decimal_ratio(F.col("points_so_far"), F.col("sessions_so_far") * 100, 2))
+
+
 def gpa_rows(
     t, run_id: int, now: datetime, watermark: datetime = FIRST_WATERMARK, until: datetime | None = None,
     weighted: bool = False, case_insensitive: bool = False,

@@ -690,6 +690,7 @@ STATEMENTS = {
 # Two increments leave what one load does; their scores are whole.
 STATEMENTS["incremental_equals_full_enrollment"] = STATEMENTS["fact_enrollment"].replace("CAST(total_score AS DOUBLE)", "CAST(floor(total_score) AS DOUBLE)")
 STATEMENTS["versions_from_late_changes"] = STATEMENTS["versions_from_timestamps"]
+STATEMENTS["running_cgpa_after_late_results"] = STATEMENTS["running_cgpa"]
 STATEMENTS["distinct_students"] = """SELECT department_name, semester_id, count(DISTINCT student_id) AS students FROM enrollment JOIN dim_course USING (course_id)
     GROUP BY GROUPING SETS ((department_name, semester_id), (department_name), ())"""
 STATEMENTS["incremental_equals_full_events"] = STATEMENTS["fact_registration_event"]

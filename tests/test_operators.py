@@ -286,6 +286,18 @@ def test_checks_on_damaged_data(spark):
     assert tuple(quality.gate(quality.run_checks(s, date(2025, 3, 15))).first()) == (4, 4, False)
 
 
+def test_continued_state(spark):
+    """Continuing a state gives the running sums of the whole, whatever sessions changed."""
+    rng = random.Random(13)
+    gpas = {(s, y): rng.choice((None, Decimal(rng.randrange(100, 500)) / 100)) for s in range(30) for y in range(1, 9) if rng.random() < 0.8}
+    frame = lambda d: spark.createDataFrame([(*k, v) for k, v in d.items()], "student_id bigint, session_id bigint, session_gpa decimal(4,2)")
+    before = {k: v for k, v in gpas.items() if rng.random() < 0.7}
+    changed = {k: v for k, v in gpas.items() if k not in before} | {k: Decimal("3.33") for k in rng.sample(sorted(before), 5)}
+    after = facts.continued_state(facts.running_state(frame(before)), frame(changed))
+    assert rows(after) == rows(facts.running_state(frame(before | changed)))
+    assert rows(facts.continued_state(facts.running_state(frame(before)), frame(changed).limit(0))) == rows(facts.running_state(frame(before)))
+
+
 # --- facts on edge rows ---
 
 
