@@ -55,7 +55,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("n_near")
+    return contamination.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

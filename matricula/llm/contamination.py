@@ -102,7 +102,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW) -> DataFr
     """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near.
 
     Rows of one doc_id share their hits (places of equal texts fall together; of different texts they add up), a row
-    without an id or words has none.  n_near counts the proximity matches.  Matches are far fewer than tokens; they are
+    without an id or words has none.  n_near counts the places of proximity matches, those of whole windows included.  Matches are far fewer than tokens; they are
     cut to distinct places before they are brought together per document."""
     exact, near = find(docs, benchmark, length)
     # Touching or overlapping runs of hit words: a word is new if no earlier run reaches it.
@@ -112,9 +112,9 @@ def judge(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW) -> DataFr
     fresh = runs.withColumn("covered", F.coalesce(F.max(end).over(order), F.lit(0)))
     hit = fresh.groupBy("doc_id").agg(F.sum(F.greatest(F.lit(0), end - F.greatest("start", "covered"))).cast("long").alias("n_hit"))
     items = exact.select("doc_id", F.explode("items").alias("item")).groupBy("doc_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    # Written, so that the proximity search is done and kept also where n_near is not read.
+    # Written, so that the join of postings and windows is done once and its size is known.
     close = stored(near.groupBy("doc_id").agg(F.countDistinct("place").alias("n_near")), "near")
-    found = hit.join(items, "doc_id", "left").join(close, "doc_id", "left")
+    found = hit.join(items, "doc_id", "left").join(close, "doc_id", "full")
     counted = docs.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return counted.join(found, "doc_id", "left").select(
@@ -127,11 +127,16 @@ def judge(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW) -> DataFr
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, length: int = WINDOW, near_places: int | None = None) -> DataFrame:
     """docs without the rows that hold a whole window of the benchmark; their columns as they were.
 
+    With near_places rows with proximity matches at that many places or more go as well, so that a passage is caught in
+    which every window has a word changed; a place is one word, and such a passage has several for each of its windows.
     Rows without an id are judged too: they carry a key of their own while they are searched."""
     row = F.struct(*[docs[c] for c in docs.columns])
     keyed = docs.select(F.sha2(F.to_json(row), 256).alias("doc_id"), "text", row.alias("row"))
-    exact, _ = find(keyed.select("doc_id", "text"), benchmark, length)
-    return keyed.join(exact.select("doc_id").distinct(), "doc_id", "left_anti").select("row.*")
+    exact, near = find(keyed.select("doc_id", "text"), benchmark, length)
+    found = exact.select("doc_id")
+    if near_places is not None:
+        found = found.unionByName(near.groupBy("doc_id").agg(F.countDistinct("place").alias("n")).where(F.col("n") >= near_places).select("doc_id"))
+    return keyed.join(found.distinct(), "doc_id", "left_anti").select("row.*")

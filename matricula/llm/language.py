@@ -11,16 +11,18 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 TRAIN_DOCS = 2000  # labelled documents per language, on average at most
-TRAIN_WORDS = 150_000  # most frequent (language, word) pairs of these
+TRAIN_WORDS = 50_000  # a language's most frequent different words in these
+SPREADS, LEAST = 3.0, 2.5  # a text may lie so many spreads of its language's words below their mean, and so much at least
+SLACK = 12.0  # and the log-chance that a text may lack besides, so that few letters prove nothing
 SPAN = 1 << 17  # more than there are letters in a vocabulary
 LONGEST = 32  # letters; longer words are cut into parts of this length
 MIN_CHANCE = 0.5
@@ -170,6 +172,8 @@ class Model:
     chances: np.ndarray  # piece x language
     single: np.ndarray
     prior: np.ndarray
+    least: np.ndarray | None = None  # log-chance per letter that a text of a language has at least
+    letters: frozenset[str] = frozenset()  # of the labelled words
 
 
 def fit(counts: list[tuple[str, str, int]], docs: dict[str, int], texts: list[str], rounds: int = 4) -> Model:
@@ -206,8 +210,31 @@ def fit(counts: list[tuple[str, str, int]], docs: dict[str, int], texts: list[st
     return Model(languages, trie, chances, single, np.log(weight / weight.sum()) if len(languages) else weight)
 
 
-def text_scores(texts: list[str | None], model: Model, lookup: np.ndarray) -> tuple[list[str], list[float]]:
-    """Language and posterior chance of whole texts; "und" and 0.0 for null and for texts without a letter."""
+def floors(counts: list[tuple[str, str, int]], model: Model) -> np.ndarray:
+    """Per language the log-chance per letter below which a text is not in it: the mean over the letters of its labelled
+    words less SPREADS spreads of these words, or less LEAST if that is more."""
+    lookup = model.trie.lookup()
+    total = np.zeros((3, len(model.languages)))  # letters, their log-chances, and these squared
+    at = {name: k for k, name in enumerate(model.languages)}
+    for i in range(0, len(counts), 20_000):
+        cut = [(at[lang], p, n) for lang, w, n in counts[i:i + 20_000] for p in parts(w)]
+        own = np.array([k for k, _, _ in cut])
+        size = np.array([len(p) for _, p, _ in cut], float)
+        weight = size * np.array([n for _, _, n in cut], float)
+        each = word_chances([p for _, p, _ in cut], model.trie, lookup, model.chances, model.single)[np.arange(len(cut)), own] / size
+        for row, value in enumerate((np.ones(len(cut)), each, each**2)):
+            total[row] += np.bincount(own, weight * value, len(model.languages))
+    letters = np.maximum(total[0], 1)
+    mean = total[1] / letters
+    return mean - np.maximum(LEAST, SPREADS * np.sqrt(np.maximum(total[2] / letters - mean**2, 0)))
+
+
+def text_scores(texts: list[str | None], model: Model, lookup: np.ndarray) -> tuple[list[str], list[float], list[bool]]:
+    """Language and posterior chance of whole texts, and whether the language fits at all; "und", 0.0 and false for null
+    and for texts without a letter.
+
+    A language does not fit if the text's log-chance in it is below model.least for each letter and SLACK in all, or if
+    over half of the text's letters stand in no labelled word."""
     numbers: defaultdict[str, int] = defaultdict()
     numbers.default_factory = numbers.__len__
     flat: list[int] = []
@@ -222,23 +249,29 @@ def text_scores(texts: list[str | None], model: Model, lookup: np.ndarray) -> tu
     has = np.zeros(len(numbers), np.int64)
     if cut and model.languages:
         owners = np.fromiter((k for k, _ in cut), np.int64, len(cut))
-        has[owners] = 1
+        np.add.at(has, owners, np.fromiter((len(p) for _, p in cut), np.int64, len(cut)))
         for i in range(0, len(cut), 20_000):
             np.add.at(table, owners[i:i + 20_000], word_chances([p for _, p in cut[i:i + 20_000]], model.trie, lookup, model.chances, model.single))
+    known = dict.fromkeys(map(ord, model.letters))
+    strange = np.fromiter((len(w.translate(known)) for w in numbers), np.int64, len(numbers))
     ends = np.cumsum(np.array(sizes, np.int64)) if sizes else np.zeros(0, np.int64)
     order = np.array(flat, np.int64)
-    names, chances = [], []
+    names, chances, fits = [], [], []
     for end, size in zip(ends, sizes, strict=True):
         own = order[end - size:end]
         if not size or not model.languages or not has[own].any():
             names.append(UNKNOWN)
             chances.append(0.0)
+            fits.append(False)
             continue
-        total = table[own].sum(0) + model.prior
+        whole = table[own].sum(0)
+        total = whole + model.prior
         best = int(np.argmax(total))
+        likely = model.least is None or bool(whole[best] >= model.least[best] * has[own].sum() - SLACK)
+        fits.append(likely and bool(2 * strange[own].sum() <= has[own].sum()))
         names.append(model.languages[best])
         chances.append(float(1.0 / np.exp(np.minimum(total - total[best], 0)).sum()))
-    return names, chances
+    return names, chances, fits
 
 
 def held_out(doc_id: Column) -> Column:
@@ -272,8 +305,11 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, per_language: int = TRA
     """The model of documents with doc_id, text and lang; copies of a text count once.  Without labels: no languages."""
     chosen, sizes = sample(docs, per_language)
     counted = chosen.distinct().mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "lang", "word").limit(most_words).collect()
-    return fit([(r["lang"], r["word"], r["n"]) for r in top], sizes, pieces(vocabulary))
+    common = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    top = counted.withColumn("place", F.row_number().over(common)).where(F.col("place") <= most_words).orderBy("lang", F.desc("n"), "word").collect()
+    counts = [(r["lang"], r["word"], r["n"]) for r in top]
+    model = fit(counts, sizes, pieces(vocabulary))
+    return replace(model, least=floors(counts, model), letters=frozenset(c for _, w, _ in counts for c in w))
 
 
 def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -287,7 +323,7 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         known = handed.value
         lookup = known.trie.lookup()
         for batch in batches:
-            names, chances = text_scores(batch["text"].to_pylist(), known, lookup)
+            names, chances, _ = text_scores(batch["text"].to_pylist(), known, lookup)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(names, pa.string()), pa.array(chances, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
@@ -296,15 +332,16 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 def known(docs: DataFrame, vocabulary: str = VOCABULARY, least: float = MIN_CHANCE) -> DataFrame:
-    """docs without the rows whose language is undetermined or less likely than `least`; their columns as they were,
-    whatever their names."""
+    """docs without the rows whose language is undetermined, less likely than `least` or does not fit the text at all
+    (another script, other languages far from the learned ones, random letters); their columns as they were, whatever
+    their names."""
     handed = docs.sparkSession.sparkContext.broadcast(learn(docs, vocabulary))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handed.value
         lookup = model.trie.lookup()
         for batch in batches:
-            names, chances = text_scores(batch["text"].to_pylist(), model, lookup)
-            yield batch.filter(pa.array([n != UNKNOWN and c >= least for n, c in zip(names, chances, strict=True)], pa.bool_()))
+            names, chances, fits = text_scores(batch["text"].to_pylist(), model, lookup)
+            yield batch.filter(pa.array([n != UNKNOWN and f and c >= least for n, c, f in zip(names, chances, fits, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(judged, docs.schema)

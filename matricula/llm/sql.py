@@ -24,10 +24,18 @@ def decontaminate_ctes(docs: str = "documents") -> str:
 DECONTAMINATE = f"""
 WITH {decontaminate_ctes()},
 hit AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(place, place + size)) AS word FROM found) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id),
+sets AS (SELECT DISTINCT win, list_distinct(string_split(win, ' ')) AS words FROM wins),
+tokens AS (SELECT doc_id, w, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS place FROM doc_words),
+asked AS (SELECT win, words, unnest(words) AS term FROM sets),
+counts AS (SELECT term, count(*) AS n FROM tokens WHERE term IN (SELECT term FROM asked) GROUP BY term),
+ranked AS (SELECT win, words, term, row_number() OVER (PARTITION BY win ORDER BY coalesce(n, 0), term) AS rank FROM asked LEFT JOIN counts USING (term)),
+anchors AS (SELECT * FROM ranked WHERE rank <= len(words) - ceil(CAST(0.8 AS DOUBLE) * len(words)) + 1),
+near AS (SELECT doc_id, count(DISTINCT place) AS n_near FROM tokens JOIN anchors USING (term)
+    WHERE len(list_intersect(words, list_slice(w, greatest(1, place - 9), place + 9))) >= CAST(0.8 AS DOUBLE) * len(words) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
 LEVELS = ("domain", "lang", "source")
 

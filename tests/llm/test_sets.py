@@ -135,6 +135,39 @@ def test_decontamination(spark, monkeypatch, bound):
     assert contamination.judge(documents(spark, rows), benchmark(spark, [])).where("contaminated").count() == 0
 
 
+def plain_near(docs, bench, size=10):
+    """Per document the places of a window's rarest words with 80 % of the window's different words within reach."""
+    word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+    wins = {tuple(w[i:i + size]) for _, t in bench if (w := word(t)) for i in range(max(1, len(w) - size + 1))}
+    count = {}
+    for _, t in docs:
+        for x in word(t):
+            count[x] = count.get(x, 0) + 1
+    out = {}
+    for i, t in docs:
+        w, places = word(t), out.setdefault(i, set())
+        for win in wins:
+            different = set(win)
+            rare = sorted(different, key=lambda x: (count.get(x, 0), x.encode()))[: len(different) - math.ceil(0.8 * len(different)) + 1]
+            places.update(p for p, x in enumerate(w) if x in rare and len(different & set(w[max(0, p - size + 1):p + size])) >= 0.8 * len(different))
+    return {i: len(p) for i, p in out.items()}
+
+
+def test_near_places(spark):
+    rng = random.Random(21)
+    vocabulary = [f"t{i}" for i in range(40)]
+    bench = [(1, " ".join(rng.choices(vocabulary, k=30))), (2, "Short one"), (3, None), (4, EN)]
+    changed = lambda t, k: " ".join("zz" if i % k == 3 else x for i, x in enumerate(t.split()))
+    rows = [(i, " ".join(rng.choices(vocabulary, k=90)) + " " + rng.choice((bench[0][1], changed(bench[0][1], 9), changed(EN, 8), "one more short"))) for i in range(25)] + [(40, None), (41, "")]
+    want = plain_near(rows, bench)
+    out = contamination.judge(documents(spark, rows), benchmark(spark, bench))
+    assert dict(rows_of(out, "doc_id", "n_near")) == want
+    least = sorted(want.values())[-6]
+    exact = {r["doc_id"] for r in out.where("contaminated").collect()}
+    kept = contamination.clean(documents(spark, rows), benchmark(spark, bench), near_places=least)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, n in want.items() if n < least} - exact
+
+
 def test_proximity(spark):
     docs = documents(spark, [(1, "one two three four five six seven eight nine ten"), (2, "ten nine eight seven six five four three two one"), (3, "one two elsewhere")])
     exact, near = contamination.find(docs, benchmark(spark, [(1, "one two three four five six seven eight nine ten")]))

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from matricula.llm import language, license, pii, suffixes
@@ -225,6 +226,26 @@ def test_language(spark):
     assert kept.columns == documents(spark, []).columns and {3, 4, 5, 11}.isdisjoint(r["doc_id"] for r in kept.collect())
 
 
+def test_foreign_text_is_rejected(spark, raw_dir):
+    """Other scripts and random letters go, short and plain texts of the learned languages stay."""
+    docs = spark.read.parquet(f"{raw_dir}/documents.parquet").select("doc_id", "text", "lang")
+    foreign = ["\u8fd9\u662f\u4e00\u4e2a\u5173\u4e8e\u5929\u6c14\u7684\u4e2d\u6587\u53e5\u5b50", "\u0421\u0435\u0433\u043e\u0434\u043d\u044f \u0445\u043e\u0440\u043e\u0448\u0430\u044f \u043f\u043e\u0433\u043e\u0434\u0430", "xqzvk jwqpf zzkqx vbnmq wrtyp ghjkl qqxz"]
+    short = ["hello", "the cat sat on the mat", "der Hund", "el perro", "le chat dort", "x"]
+    more = spark.createDataFrame([(900_000 + i, t, None) for i, t in enumerate(foreign + short)], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language.known(docs.unionByName(more)).where("doc_id >= 900000").collect()}
+    assert not kept & {900_000 + i for i in range(len(foreign))}
+    # "hello" and "x" are in several languages as likely as in any other; what one language claims stays.
+    assert kept >= {900_000 + len(foreign) + i for i, t in enumerate(short) if t not in ("hello", "x")}
+    assert all(r["lang_pred"] != "und" for r in language.identify(docs.unionByName(more)).where("doc_id >= 900000").collect())
+
+
+def test_every_language_keeps_its_words(spark):
+    """The bound of words is one per language: names late in the alphabet lose nothing to others."""
+    rows = [(i, f"aa{chr(97 + i)} b{chr(97 + i)}b", "en") for i in range(20)] + [(100 + i, f"zu{chr(97 + i)}", "zz") for i in range(20)]
+    model = language.learn(documents(spark, rows), most_words=5)
+    assert model.languages == ["en", "zz"] and not np.allclose(model.chances[:, 1], model.chances[0, 1])
+
+
 def test_language_held_out_accuracy(spark, raw_dir):
     docs = spark.read.parquet(f"{raw_dir}/documents.parquet")
     both = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").selectExpr("avg(int(lang = lang_pred)) a", "count(*) n").first()
