@@ -12,7 +12,8 @@ as many as the similarity allows to differ, plus one.
 Equal sets are one node.  Within a band's run of equal values every set is compared with the run's hub; only sets that
 this leaves in different components, and that the triangle inequality of the Jaccard distance does not separate, are
 compared with each other.  Before any set moves, the pair's sizes and 512-bit parity sketches have to leave room for a
-link: their Hamming distance is a lower bound of the symmetric difference.
+link, and then, of large sets, sketches of as many bits as their allowed difference asks for: the Hamming distance of
+two parity sketches is a lower bound of the symmetric difference.
 """
 
 from __future__ import annotations
@@ -174,6 +175,30 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray, rule: Rule) -> bytes:
+    """Parity bits, eight for each shingle in which linked sets of this size may differ, up to the next power of two;
+    empty where SKETCH bits are as many.  Halves XORed give the sketch of half as many bits."""
+    bits = 1 << (8 * rule.differ(len(shingles), len(shingles)) or 1).bit_length()
+    if bits <= SKETCH:
+        return b""
+    odd = np.bincount((shingles & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _refined(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """a, b, may, least: whether the wide sketches of a pair leave room for a link, and how far apart it is at least."""
+    for batch in batches:
+        may, least = [], []
+        for p, q, n in zip(batch["x_wide"], batch["y_wide"], (batch["x_n"].to_numpy() + batch["y_n"].to_numpy()).tolist(), strict=True):
+            x, y = np.frombuffer(p.as_buffer(), np.uint8), np.frombuffer(q.as_buffer(), np.uint8)
+            while len(x) != len(y):
+                x, y = (x[: len(x) // 2] ^ x[len(x) // 2:], y) if len(x) > len(y) else (x, y[: len(y) // 2] ^ y[len(y) // 2:])
+            d = int(np.bitwise_count(x ^ y).sum())
+            may.append(d * (100 + rule.percent) <= n * (100 - rule.percent))
+            least.append(2 * d / (n + d))
+        yield pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(may, pa.bool_()), pa.array(least, pa.float64())], names=["a", "b", "may", "least"])
+
+
 def _often(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """Band values that stand OFTEN times in PART rows, with how often."""
     for batch in batches:
@@ -195,8 +220,8 @@ def _describe(batches: Iterator[pa.RecordBatch], rule: Rule, common: tuple[np.nd
             cuts = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"].cast(pa.int64()), pa.array(n), pa.array(low), pa.array(high), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int64())), pa.array([sketch(s).tolist() for s in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "n", "low", "high", "keys", "sketch"])
+                [part["doc_id"].cast(pa.int64()), pa.array(n), pa.array(low), pa.array(high), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int64())), pa.array([sketch(s).tolist() for s in sets], pa.list_(pa.int64())), pa.array([wide_sketch(s, rule) for s in sets], pa.binary())],
+                names=["doc_id", "n", "low", "high", "keys", "sketch", "wide"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,6 +353,15 @@ def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
         return stored(found.groupBy("a", "b").agg(F.max(_linked(rule)).alias("linked"), F.min(far).alias("least"), F.max(far).alias("most")), "verified")
 
 
+def _finer(pairs: DataFrame, wide: DataFrame, rule: Rule) -> DataFrame:
+    """a, b, may, least: pairs of large sets judged by their wide sketches; of others nothing more is known."""
+    x, y = (wide.select(F.col("rep").alias(k), F.col("n").alias(f"{v}_n"), F.col("wide").alias(f"{v}_wide")) for k, v in (("a", "x"), ("b", "y")))
+    with arrow_rows(pairs.sparkSession, ARROW_ROWS):
+        judged = stored(pairs.join(x, "a").join(y, "b").mapInArrow(lambda b: _refined(b, rule), "a long, b long, may boolean, least double"), "finer")
+    rest = pairs.join(judged.select("a", "b"), ["a", "b"], "left_anti")
+    return judged.unionByName(rest.select("a", "b", F.lit(True).alias("may"), F.lit(0.0).alias("least")))
+
+
 def _linked(rule: Rule):
     return F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * rule.percent
 
@@ -360,14 +394,16 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     value = often["key"].to_numpy().view(U)
     by_value = np.argsort(value)
     handed = docs.sparkSession.sparkContext.broadcast((value[by_value], often["n"].to_numpy()[by_value]))
-    described = stored(rows.mapInArrow(lambda b: _describe(b, rule, handed.value), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>"), "shingles")
+    described = stored(rows.mapInArrow(lambda b: _describe(b, rule, handed.value), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>, wide binary"), "shingles")
     full = described.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     same = ["n", "low", "high"]
     names = stored(full.groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
     # The rows that stand for their classes; their keys do not move before they are dealt.
     own = _texts_of(full, names.select(F.col("class_id").alias("doc_id")).distinct())
-    outline = stored(own.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count_distinct("low").alias("texts"), F.first("sketch").alias("sketch")), "outline")
-    outline = outline.select("rep", "low", "high", "texts", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH // 64)])
+    outline = stored(own.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count_distinct("low").alias("texts"), F.first(F.struct("sketch", "wide")).alias("own")), "outline")
+    # Ids with several texts are not judged by sketches.
+    wide = outline.where((F.col("texts") == 1) & (F.octet_length("own.wide") > 0)).select("rep", F.col("low").alias("n"), F.col("own.wide").alias("wide"))
+    outline = outline.select("rep", "low", "high", "texts", F.col("own.sketch").alias("sketch")).select("rep", "low", "high", "texts", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH // 64)])
     pairs_of_keys = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pairs_of_keys.repartitionByRange(parts, "key", "rep").sortWithinPartitions("key", "rep")
@@ -380,13 +416,14 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     met = runs.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     met = met.join(outline.select(*[F.col(c).alias(f"x_{c}") for c in outline.columns]), F.col("a") == F.col("x_rep")).join(outline.select(*[F.col(c).alias(f"y_{c}") for c in outline.columns]), F.col("b") == F.col("y_rep"))
     met = stored(met.select("a", "b", _may_link(rule).alias("may"), _at_least_far().alias("least")), "met")
-    verified = _verified(rows, met.where("may").select("a", "b"), rule)
+    finer = _finer(met.where("may").select("a", "b"), wide, rule)
+    verified = _verified(rows, finer.where("may").select("a", "b"), rule)
     links = verified.where("linked").select("a", "b")
     first = components(links)
 
     # Sets of one run in different components, unless their distances from the hub keep them apart.
-    tested = met.select("a", "b", "least").join(verified.select("a", "b", F.col("least").alias("exact"), "most"), ["a", "b"], "left")
-    tested = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.coalesce("exact", "least").alias("least"), F.coalesce("most", F.lit(1.0)).alias("most"))
+    tested = met.select("a", "b", F.col("least").alias("rough")).join(finer.select("a", "b", "least"), ["a", "b"], "left").join(verified.select("a", "b", F.col("least").alias("exact"), "most"), ["a", "b"], "left")
+    tested = tested.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.coalesce("exact", F.greatest("rough", "least")).alias("least"), F.coalesce("most", F.lit(1.0)).alias("most"))
     named = first.select(F.col("node").alias("rep"), "component")
     members = runs.join(tested, ["hub", "rep"]).join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     hubs = first.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
@@ -400,7 +437,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in rest.columns if c != "key"])
     reach = (F.col("x_component") != F.col("y_component")) & (F.col("x_least") - F.col("y_most") <= room) & (F.col("y_least") - F.col("x_most") <= room)
     near = x.join(y, "key").where(reach & _may_link(rule)).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
-    found = _verified(rows, stored(near, "near"), rule).where("linked").select("a", "b")
+    found = _verified(rows, _finer(stored(near, "near"), wide, rule).where("may").select("a", "b"), rule).where("linked").select("a", "b")
     # Several texts under one id: their classes belong together.
     held = full.join(names, same).where(F.col("class_id") != F.col("doc_id")).select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
     twice = held.join(names.select(F.col("class_id").alias("b")), "b", "left_semi").select("a", "b")

@@ -93,6 +93,44 @@ def test_band_bound():
                 assert np.intersect1d(jaccard.band_keys(a, rule) >> np.uint64(12), jaccard.band_keys(b, rule) >> np.uint64(12)).size, (n, extra, gone)
 
 
+def test_wide_sketches_bound_the_difference():
+    """Folded to one length, the Hamming distance never exceeds the symmetric difference, and far sets are refused."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    rule = jaccard.Rule(4, 85)
+    refused = 0
+    for n, m, same in ((3000, 3000, 2800), (3000, 2600, 2590), (900, 1100, 850), (5000, 5200, 100), (700, 800, 0)):
+        shared = rng.integers(0, 1 << 63, same, dtype=np.uint64)
+        x, y = (np.unique(np.r_[shared, rng.integers(0, 1 << 63, k - same, dtype=np.uint64)]) for k in (n, m))
+        batch = pa.RecordBatch.from_pydict({"a": [1], "b": [2], "x_wide": [jaccard.wide_sketch(x, rule)], "y_wide": [jaccard.wide_sketch(y, rule)], "x_n": [len(x)], "y_n": [len(y)]})
+        (out,) = jaccard._refined(iter([batch]), rule)
+        common = len(np.intersect1d(x, y))
+        linked = 100 * common >= 85 * (len(x) + len(y) - common)
+        assert out["may"][0].as_py() or not linked
+        assert out["least"][0].as_py() <= 1 - common / (len(x) + len(y) - common) + 1e-12
+        refused += not out["may"][0].as_py()
+    assert refused >= 2 and jaccard.wide_sketch(x[:100], rule) == b""
+
+
+def test_near_duplicates_of_large_sets(spark):
+    rng = random.Random(77)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows = []
+    for g in range(8):
+        base = rng.choices(vocabulary, k=rng.choice((500, 1500, 4000)))
+        for c in range(4):
+            copy = list(base)
+            for _ in range(rng.choice((1, 10, 30, 60))):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            rows.append((10 * g + c, " ".join(copy)))
+    passage = rng.choices(vocabulary, k=1200)
+    rows += [(200 + i, " ".join(passage + rng.choices(vocabulary, k=900 + 40 * i))) for i in range(12)] + [(200, "another")]
+    got = jaccard.near_duplicates(documents(spark, rows), jaccard.Rule(4, 85))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 4, 85)
+
+
 def plain_hits(docs, bench, size=10):
     word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
     wins = {}
