@@ -24,6 +24,7 @@ TRAIN_WORDS = 50_000  # a language's most frequent different words in these
 SPREADS, LEAST = 3.0, 2.5  # a text may lie so many spreads of its language's words below their mean, and so much at least
 SLACK = 12.0  # and the log-chance that a text may lack besides, so that few letters prove nothing
 SPAN = 1 << 17  # more than there are letters in a vocabulary
+AT_ONCE = 10_000  # words that are worked on side by side
 LONGEST = 32  # letters; longer words are cut into parts of this length
 MIN_CHANCE = 0.5
 UNKNOWN = "und"
@@ -176,6 +177,26 @@ class Model:
     letters: frozenset[str] = frozenset()  # of the labelled words
 
 
+def expected(words: list[tuple[str, float]], trie: Trie, lookup: np.ndarray, chances: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """How often each piece is expected in these words (word, times), over all segmentations of each."""
+    n = np.array([float(times) for _, times in words])
+    codes, lengths = encode([w for w, _ in words], lookup)
+    place, size, piece = matches(codes, lengths, trie)
+    first = np.cumsum(lengths + 1) - (lengths + 1)
+    word = np.repeat(np.arange(len(lengths)), lengths)
+    within = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    # The backward sums are the forward sums of the words read from their ends.
+    back_place = (np.cumsum(lengths) - lengths)[word[place]] + lengths[word[place]] - within[place] - size
+    p = chances[piece][:, None]
+    ahead = forward(lengths, place, size, p, single)[:, 0]
+    back = forward(lengths, back_place, size, p, single)[:, 0]
+    total = ahead[np.cumsum(lengths + 1) - 1]
+    at = first[word[place]] + within[place]
+    rest = back[first[word[place]] + lengths[word[place]] - within[place] - size]
+    share = ahead[at] * p[:, 0] * rest / np.maximum(total[word[place]], 1e-300) * n[word[place]]
+    return np.bincount(piece, share, len(chances))
+
+
 def fit(counts: list[tuple[str, str, int]], docs: dict[str, int], texts: list[str], rounds: int = 4) -> Model:
     """Piece probabilities from word counts (language, word, n) by expectation and maximisation."""
     languages = sorted(docs)
@@ -188,23 +209,10 @@ def fit(counts: list[tuple[str, str, int]], docs: dict[str, int], texts: list[st
         mine = [(p, n) for lang, w, n in counts if lang == language for p in parts(w)]
         if not mine:
             continue
-        words, n = [w for w, _ in mine], np.array([float(n) for _, n in mine])
-        codes, lengths = encode(words, lookup)
-        place, size, piece = matches(codes, lengths, trie)
-        first = np.cumsum(lengths + 1) - (lengths + 1)
-        word = np.repeat(np.arange(len(lengths)), lengths)
-        within = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        # The backward sums are the forward sums of the words read from their ends.
-        back_place = (np.cumsum(lengths) - lengths)[word[place]] + lengths[word[place]] - within[place] - size
         for _ in range(rounds):
-            p = chances[piece, k][:, None]
-            ahead = forward(lengths, place, size, p, single[k:k + 1])[:, 0]
-            back = forward(lengths, back_place, size, p, single[k:k + 1])[:, 0]
-            total = ahead[np.cumsum(lengths + 1) - 1]
-            at = first[word[place]] + within[place]
-            rest = back[first[word[place]] + lengths[word[place]] - within[place] - size]
-            share = ahead[at] * p[:, 0] * rest / np.maximum(total[word[place]], 1e-300) * n[word[place]]
-            seen = np.bincount(piece, share, n_pieces)
+            seen = np.zeros(n_pieces)
+            for i in range(0, len(mine), AT_ONCE):
+                seen += expected(mine[i:i + AT_ONCE], trie, lookup, chances[:, k], single[k:k + 1])
             chances[:, k] = (seen + 0.05) / (seen.sum() + 0.05 * n_pieces)
     weight = np.array([float(docs[x]) for x in languages])
     return Model(languages, trie, chances, single, np.log(weight / weight.sum()) if len(languages) else weight)
@@ -216,8 +224,8 @@ def floors(counts: list[tuple[str, str, int]], model: Model) -> np.ndarray:
     lookup = model.trie.lookup()
     total = np.zeros((3, len(model.languages)))  # letters, their log-chances, and these squared
     at = {name: k for k, name in enumerate(model.languages)}
-    for i in range(0, len(counts), 20_000):
-        cut = [(at[lang], p, n) for lang, w, n in counts[i:i + 20_000] for p in parts(w)]
+    for i in range(0, len(counts), AT_ONCE):
+        cut = [(at[lang], p, n) for lang, w, n in counts[i:i + AT_ONCE] for p in parts(w)]
         own = np.array([k for k, _, _ in cut])
         size = np.array([len(p) for _, p, _ in cut], float)
         weight = size * np.array([n for _, _, n in cut], float)
@@ -306,8 +314,9 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, per_language: int = TRA
     chosen, sizes = sample(docs, per_language)
     counted = chosen.distinct().mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     common = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counted.withColumn("place", F.row_number().over(common)).where(F.col("place") <= most_words).orderBy("lang", F.desc("n"), "word").collect()
-    counts = [(r["lang"], r["word"], r["n"]) for r in top]
+    top = counted.withColumn("place", F.row_number().over(common)).where(F.col("place") <= most_words).orderBy("lang", F.desc("n"), "word").select("lang", "word", "n").toArrow()
+    counts = list(zip(*(top[c].to_pylist() for c in ("lang", "word", "n")), strict=True))
+    del top
     model = fit(counts, sizes, pieces(vocabulary))
     return replace(model, least=floors(counts, model), letters=frozenset(c for _, w, _ in counts for c in w))
 
