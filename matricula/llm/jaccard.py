@@ -389,12 +389,14 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     class_id is the smallest doc_id with the same set, component_id the smallest one reachable by links.  Null and empty
     texts have no shingles and are linked with nothing; a row without an id keeps its counts and has no class or
     component; rows of one doc_id are one document, so different texts under one id hold their components together."""
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    often = rows.mapInArrow(lambda b: _often(b, rule), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
-    value = often["key"].to_numpy().view(U)
-    by_value = np.argsort(value)
-    handed = docs.sparkSession.sparkContext.broadcast((value[by_value], often["n"].to_numpy()[by_value]))
-    described = stored(rows.mapInArrow(lambda b: _describe(b, rule, handed.value), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>, wide binary"), "shingles")
+    with arrow_rows(spark, ARROW_ROWS):
+        often = rows.mapInArrow(lambda b: _often(b, rule), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
+        value = often["key"].to_numpy().view(U)
+        by_value = np.argsort(value)
+        handed = spark.sparkContext.broadcast((value[by_value], often["n"].to_numpy()[by_value]))
+        described = stored(rows.mapInArrow(lambda b: _describe(b, rule, handed.value), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>, wide binary"), "shingles")
     full = described.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     same = ["n", "low", "high"]
     names = stored(full.groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")

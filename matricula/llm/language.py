@@ -25,6 +25,7 @@ SPREADS, LEAST = 3.0, 2.5  # a text may lie so many spreads of its language's wo
 SLACK = 12.0  # and the log-chance that a text may lack besides, so that few letters prove nothing
 SPAN = 1 << 17  # more than there are letters in a vocabulary
 AT_ONCE = 10_000  # words that are worked on side by side
+PART = 2500  # texts that are worked on at once
 LONGEST = 32  # letters; longer words are cut into parts of this length
 MIN_CHANCE = 0.5
 UNKNOWN = "und"
@@ -321,6 +322,13 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, per_language: int = TRA
     return replace(model, least=floors(counts, model), letters=frozenset(c for _, w, _ in counts for c in w))
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most PART rows."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, PART):
+            yield batch.slice(begin, PART)
+
+
 def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per row of documents: doc_id, held_out, lang_pred, score.  Learned from rows that are not held out.
 
@@ -331,7 +339,7 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = handed.value
         lookup = known.trie.lookup()
-        for batch in batches:
+        for batch in sliced(batches):
             names, chances, _ = text_scores(batch["text"].to_pylist(), known, lookup)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(names, pa.string()), pa.array(chances, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
@@ -349,7 +357,7 @@ def known(docs: DataFrame, vocabulary: str = VOCABULARY, least: float = MIN_CHAN
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handed.value
         lookup = model.trie.lookup()
-        for batch in batches:
+        for batch in sliced(batches):
             names, chances, fits = text_scores(batch["text"].to_pylist(), model, lookup)
             yield batch.filter(pa.array([n != UNKNOWN and f and c >= least for n, c, f in zip(names, chances, fits, strict=True)], pa.bool_()))
 
