@@ -41,6 +41,7 @@ PART = 1000  # rows that are worked on at once
 ARROW_ROWS = 2000  # rows with sets in one batch between Spark and Python: a set is some kilobytes
 HUB_PART = 200  # sets that meet one copy of a hub's set
 SKETCH = 512  # bits of the sketch that travels with a set
+LARGE = 1000  # shingles from which on a longer one travels beside it
 SEND_IDS = 2_000_000  # ids up to which a list of them is sent to every task
 U = np.uint64
 CENTRE = U(0xFFF)  # the bits of a key that hold the place in its run
@@ -185,6 +186,14 @@ def wide_sketch(shingles: np.ndarray, rule: Rule) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def long_sketch(wide: bytes, n: int) -> list[int]:
+    """The wide sketch of a set of LARGE or more shingles at half its bits, as 64-bit words; empty for smaller sets."""
+    if n < LARGE or not wide:
+        return []
+    words = np.frombuffer(wide, np.int64)
+    return (words[: len(words) // 2] ^ words[len(words) // 2:]).tolist()
+
+
 def _refined(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """a, b, may, least: whether the wide sketches of a pair leave room for a link, and how far apart it is at least."""
     for batch in batches:
@@ -219,9 +228,10 @@ def _describe(batches: Iterator[pa.RecordBatch], rule: Rule, common: tuple[np.nd
             keys = [band_keys(s, rule, common).view(np.int64) for s in sets]
             cuts = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            wide = [wide_sketch(s, rule) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"].cast(pa.int64()), pa.array(n), pa.array(low), pa.array(high), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int64())), pa.array([sketch(s).tolist() for s in sets], pa.list_(pa.int64())), pa.array([wide_sketch(s, rule) for s in sets], pa.binary())],
-                names=["doc_id", "n", "low", "high", "keys", "sketch", "wide"])
+                [part["doc_id"].cast(pa.int64()), pa.array(n), pa.array(low), pa.array(high), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int64())), pa.array([sketch(s).tolist() for s in sets], pa.list_(pa.int64())), pa.array([long_sketch(w, k) for w, k in zip(wide, n.tolist(), strict=True)], pa.list_(pa.int64())), pa.array(wide, pa.binary())],
+                names=["doc_id", "n", "low", "high", "keys", "sketch", "long", "wide"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,16 +380,27 @@ def _differing_bits():
     return sum((F.bit_count(F.col(f"x_s{i}").bitwiseXOR(F.col(f"y_s{i}"))) for i in range(1, SKETCH // 64)), F.bit_count(F.col("x_s0").bitwiseXOR(F.col("y_s0"))))
 
 
+def _long_bits():
+    """Unequal bits of the long sketches of x and y, the longer one folded once; 0 where they cannot be compared."""
+    half = lambda a: F.zip_with(F.slice(a, F.lit(1), (F.size(a) / 2).cast("int")), F.slice(a, (F.size(a) / 2).cast("int") + 1, (F.size(a) / 2).cast("int")), lambda p, q: p.bitwiseXOR(q))
+    x, y = F.col("x_long"), F.col("y_long")
+    x, y = F.when(F.size(x) == 2 * F.size(y), half(x)).otherwise(x), F.when(F.size(y) == 2 * F.size(x), half(y)).otherwise(y)
+    unequal = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda a, b: a + b)
+    comparable = (F.size("x_long") > 0) & (F.size("y_long") > 0) & (F.size("x_long") <= 2 * F.size("y_long")) & (F.size("y_long") <= 2 * F.size("x_long"))
+    return F.when(comparable, unequal).otherwise(0)
+
+
 def _may_link(rule: Rule):
     """Whether the sizes and sketches of x and y leave room for a link; ids with several texts are not judged by them."""
     sizes = (F.col("x_high") * 100 >= F.col("y_low") * rule.percent) & (F.col("y_high") * 100 >= F.col("x_low") * rule.percent)
     near = _differing_bits() * (100 + rule.percent) <= (F.col("x_low") + F.col("y_low")) * (100 - rule.percent)
-    return (F.col("x_texts") + F.col("y_texts") > 2) | (sizes & near)
+    long_near = _long_bits() * (100 + rule.percent) <= (F.col("x_low") + F.col("y_low")) * (100 - rule.percent)
+    return (F.col("x_texts") + F.col("y_texts") > 2) | (sizes & near & long_near)
 
 
 def _at_least_far():
     """A lower bound of the Jaccard distance of x and y: d different shingles of n_x + n_y give 2 d / (n_x + n_y + d)."""
-    d = F.greatest(_differing_bits(), F.abs(F.col("x_low") - F.col("y_low")))
+    d = F.greatest(_differing_bits(), _long_bits(), F.abs(F.col("x_low") - F.col("y_low")))
     return F.when(F.col("x_texts") + F.col("y_texts") > 2, 0.0).otherwise(2 * d / (F.col("x_low") + F.col("y_low") + d))
 
 
@@ -396,16 +417,16 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
         value = often["key"].to_numpy().view(U)
         by_value = np.argsort(value)
         handed = spark.sparkContext.broadcast((value[by_value], often["n"].to_numpy()[by_value]))
-        described = stored(rows.mapInArrow(lambda b: _describe(b, rule, handed.value), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>, wide binary"), "shingles")
+        described = stored(rows.mapInArrow(lambda b: _describe(b, rule, handed.value), "doc_id long, n long, low long, high long, keys array<long>, sketch array<long>, long array<long>, wide binary"), "shingles")
     full = described.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     same = ["n", "low", "high"]
     names = stored(full.groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
     # The rows that stand for their classes; their keys do not move before they are dealt.
     own = _texts_of(full, names.select(F.col("class_id").alias("doc_id")).distinct())
-    outline = stored(own.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count_distinct("low").alias("texts"), F.first(F.struct("sketch", "wide")).alias("own")), "outline")
+    outline = stored(own.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count_distinct("low").alias("texts"), F.first(F.struct("sketch", "long", "wide")).alias("own")), "outline")
     # Ids with several texts are not judged by sketches.
     wide = outline.where((F.col("texts") == 1) & (F.octet_length("own.wide") > 0)).select("rep", F.col("low").alias("n"), F.col("own.wide").alias("wide"))
-    outline = outline.select("rep", "low", "high", "texts", F.col("own.sketch").alias("sketch")).select("rep", "low", "high", "texts", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH // 64)])
+    outline = outline.select("rep", "low", "high", "texts", F.col("own.sketch").alias("sketch"), F.col("own.long").alias("long")).select("rep", "low", "high", "texts", "long", *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH // 64)])
     pairs_of_keys = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pairs_of_keys.repartitionByRange(parts, "key", "rep").sortWithinPartitions("key", "rep")
@@ -432,8 +453,11 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     loose = members.join(hubs, "hub", "left").withColumn("of_hub", F.coalesce("of_hub", "hub"))
     room = (100 - rule.percent) / 100 + 1e-9
     # A component's sets in a run matter only if the run has another component besides the hub's that lies in reach.
-    outside = loose.where(F.col("component") != F.col("of_hub"))
-    spread = outside.select("key").distinct()
+    # Runs of the same hub and the same sets say the same: one of them stays.
+    runs_alike = loose.groupBy("key").agg(
+        F.count(F.when(F.col("component") != F.col("of_hub"), 1)).alias("others"), F.min("hub").alias("hub"), F.count("*").alias("sets"),
+        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("p"), F.sum(F.xxhash64("rep", F.lit(2)).cast("decimal(20,0)")).alias("q"))
+    spread = runs_alike.where(F.col("others") > 0).groupBy("hub", "sets", "p", "q").agg(F.min("key").alias("key")).select("key")
     rest = stored(loose.join(spread, "key").select("key", "rep", "component", "of_hub", "least", "most"), "loose").join(outline, "rep")
     x = rest.where(F.col("component") != F.col("of_hub")).select("key", *[F.col(c).alias(f"x_{c}") for c in rest.columns if c != "key"])
     y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in rest.columns if c != "key"])

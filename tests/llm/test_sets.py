@@ -114,6 +114,25 @@ def test_wide_sketches_bound_the_difference():
     assert refused >= 2 and jaccard.wide_sketch(x[:100], rule) == b""
 
 
+def test_long_sketches_bound_the_difference(spark):
+    """Compared in Spark, of equal length and of twice the length; sets too small for one give no bound."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    rule = jaccard.Rule(4, 85)
+    rows, far = [], []
+    for n, m, same in ((3000, 3000, 2800), (1560, 1600, 1500), (1500, 1700, 0), (4000, 4100, 2000), (400, 420, 0), (900, 1100, 0)):
+        shared = rng.integers(0, 1 << 63, same, dtype=np.uint64)
+        x, y = (np.unique(np.r_[shared, rng.integers(0, 1 << 63, k - same, dtype=np.uint64)]) for k in (n, m))
+        rows.append(tuple(jaccard.long_sketch(jaccard.wide_sketch(s, rule), len(s)) for s in (x, y)))
+        far.append((len(np.setxor1d(x, y)), n + m, same))
+    assert any(len(x) != len(y) and x and y for x, y in rows)
+    found = [r[0] for r in spark.createDataFrame(rows, "x_long array<long>, y_long array<long>").select(jaccard._long_bits()).collect()]
+    assert all(bits <= d for bits, (d, _, _) in zip(found, far, strict=True))
+    assert all(bits * 185 > both * 15 for bits, (_, both, same) in zip(found, far, strict=True) if both > 2500 and same * 3 < both)
+    assert found[-2:] == [0, 0]
+
+
 def test_near_duplicates_of_large_sets(spark):
     rng = random.Random(77)
     vocabulary = [f"w{i}" for i in range(5000)]
