@@ -23,6 +23,7 @@ TABLES = 5
 PROBES = 20
 SEED = 20
 BLOCK = 4_000_000  # numbers in one block of differences
+LARGEST = 1e140  # beyond it, or below its inverse, squares of components leave the doubles' range or lose digits
 PART = 1 << 19  # numbers in the members of one part of a bucket
 ASKED = 1 << 21  # numbers in one block of a bucket's queries
 
@@ -45,7 +46,11 @@ def hadamard(rows: np.ndarray) -> np.ndarray:
 def rotated(vectors: np.ndarray, table: int, tables: int) -> np.ndarray:
     width = 1 << max(0, (vectors.shape[1] - 1).bit_length())
     rows = np.zeros((len(vectors), width), np.float32)
-    rows[:, :vectors.shape[1]] = vectors / np.linalg.norm(vectors.astype(np.float64), axis=1, keepdims=True)
+    scaled = vectors.astype(np.float64)
+    # A norm outside the squares' range would be 0 or infinite: those rows are first divided by their largest component.
+    largest = np.abs(scaled).max(1, initial=0, keepdims=True)
+    scaled = np.divide(scaled, largest, out=scaled.copy(), where=(largest > LARGEST) | (largest < 1 / LARGEST))
+    rows[:, :vectors.shape[1]] = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
     for signs in rotations(width, tables)[table]:
         rows = hadamard(rows * signs) / math.sqrt(width)
     return rows
@@ -96,6 +101,23 @@ def index(rows: DataFrame, k: int = K) -> DataFrame:
     return few.groupBy("code", "vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select("ids", "vector")
 
 
+def distances(q: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Euclidean distance of every row of q to every row of m, also where squares leave the range of doubles.
+
+    Infinite only if the distance itself, or a difference of components, is beyond the largest double."""
+    with np.errstate(over="ignore", under="ignore"):
+        gap = q[:, None, :] - m[None]
+        out = np.sqrt((gap ** 2).sum(2))
+        odd = np.nonzero((out > LARGEST) | (out < 1 / LARGEST))
+        if len(odd[0]):
+            part = np.abs(gap[odd])
+            largest = part.max(1, initial=0)
+            fine = (largest > 0) & np.isfinite(largest)
+            unit = np.divide(part, largest[:, None], out=np.zeros_like(part), where=fine[:, None])
+            out[odd] = np.where(fine, largest * np.sqrt((unit ** 2).sum(1)), largest)
+    return out
+
+
 def _rank(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     """The k nearest ids of each query among the members of one bucket."""
     q_flat, q_width = _matrix(queries["vector"].combine_chunks())
@@ -109,8 +131,8 @@ def _rank(queries: pa.Table, members: pa.Table, k: int) -> pa.Table:
     out_q, out_v, out_s = [], [], []
     step = max(1, BLOCK // max(1, width * len(m)))
     for a in range(0, len(q), step):
-        gaps = np.sqrt(((q[a:a + step, None, :] - m[None]) ** 2).sum(2)) if len(m) * width <= BLOCK else np.concatenate(
-            [np.sqrt(((q[a:a + step, None, :] - m[None, b:b + BLOCK // width]) ** 2).sum(2)) for b in range(0, len(m), BLOCK // width)], 1)
+        gaps = distances(q[a:a + step], m) if len(m) * width <= BLOCK else np.concatenate(
+            [distances(q[a:a + step], m[b:b + BLOCK // width]) for b in range(0, len(m), BLOCK // width)], 1)
         for row, distance in enumerate(gaps):
             near = np.flatnonzero(distance <= np.partition(distance, k)[k]) if len(distance) > k + 1 else np.arange(len(distance))
             member = np.repeat(near, counts[near])

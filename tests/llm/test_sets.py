@@ -307,6 +307,27 @@ def test_full_buckets_are_dealt_by_their_counts(spark, monkeypatch):
     assert asked.groupBy(*neighbours.KEYS).count().agg(F.max("count")).first()[0] < 60
 
 
+def test_neighbours_of_extreme_norms(spark):
+    """Vectors whose squares leave the range of doubles hash by their direction and have exact distances."""
+    import numpy as np
+
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(60, 8))
+    rows = [(i, (base[i % 60] * scale).tolist()) for k, scale in enumerate((1e200, 1.0, 1e-200)) for i in range(60 * k, 60 * k + 60)] + [(200, (base[0] * 1e200).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = {}
+    for r in neighbours.search(frame, frame.where("vec_id IN (0, 100, 150)"), k=200, probes=16).collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    vectors_of = dict(rows)
+    for q in (0, 100, 150):
+        want = sorted((math.dist(vectors_of[q], v), i) for i, v in rows if i != q)
+        assert len(got[q]) == len(want) and sorted(got[q]) == got[q]
+        assert [s for s, _ in got[q]] == pytest.approx([s for s, _ in want], rel=1e-12)
+    assert got[0][0] == (0.0, 200) and all(0 < s < 1e-190 for s, i in got[150] if i in range(120, 180))
+    for scale in (1e200, 1.0, 1e-200):
+        assert (neighbours.buckets(neighbours.rotated(base * scale, 0, 1), 3) == neighbours.buckets(neighbours.rotated(base, 0, 1), 3)).all()
+
+
 def test_hadamard():
     import numpy as np
 
