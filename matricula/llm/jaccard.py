@@ -11,9 +11,10 @@ as many as the similarity allows to differ, plus one.
 
 Equal sets are one node.  Within a band's run of equal values every set is compared with the run's hub; only sets that
 this leaves in different components, and that the triangle inequality of the Jaccard distance does not separate, are
-compared with each other.  Before any set moves, the pair's sizes and 512-bit parity sketches have to leave room for a
-link, and then, of large sets, sketches of as many bits as their allowed difference asks for: the Hamming distance of
-two parity sketches is a lower bound of the symmetric difference.
+compared with each other, and those that share several runs mostly in the first of them only.  Before any set moves, the
+pair's sizes and 512-bit parity sketches have to leave room for a link, and then, of large sets, sketches of as many bits
+as their allowed difference asks for: the Hamming distance of two parity sketches is a lower bound of the symmetric
+difference.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ ARROW_ROWS = 2000  # rows with sets in one batch between Spark and Python: a set
 HUB_PART = 200  # sets that meet one copy of a hub's set
 SKETCH = 512  # bits of the sketch that travels with a set
 LARGE = 1000  # shingles from which on a longer one travels beside it
+EARLIEST = 8  # smallest keys of its runs that a set carries, so that a pair that shares several is compared in the first
 SEND_IDS = 2_000_000  # ids up to which a list of them is sent to every task
 U = np.uint64
 CENTRE = U(0xFFF)  # the bits of a key that hold the place in its run
@@ -458,11 +460,17 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
         F.count(F.when(F.col("component") != F.col("of_hub"), 1)).alias("others"), F.min("hub").alias("hub"), F.count("*").alias("sets"),
         F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("p"), F.sum(F.xxhash64("rep", F.lit(2)).cast("decimal(20,0)")).alias("q"))
     spread = runs_alike.where(F.col("others") > 0).groupBy("hub", "sets", "p", "q").agg(F.min("key").alias("key")).select("key")
-    rest = stored(loose.join(spread, "key").select("key", "rep", "component", "of_hub", "least", "most"), "loose").join(outline, "rep")
+    kept = stored(loose.join(spread, "key").select("key", "rep", "component", "of_hub", "least", "most"), "loose")
+    # A set has at most as many keys as bands, so the list is no longer than its text.
+    earliest = kept.groupBy("rep").agg(F.slice(F.sort_array(F.collect_list("key")), 1, EARLIEST).alias("earliest"))
+    rest = kept.join(outline.join(earliest, "rep"), "rep")
     x = rest.where(F.col("component") != F.col("of_hub")).select("key", *[F.col(c).alias(f"x_{c}") for c in rest.columns if c != "key"])
     y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in rest.columns if c != "key"])
-    reach = (F.col("x_component") != F.col("y_component")) & (F.col("x_least") - F.col("y_most") <= room) & (F.col("y_least") - F.col("x_most") <= room)
-    near = x.join(y, "key").where(reach & _may_link(rule)).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
+    once = (F.col("y_component") == F.col("y_of_hub")) | (F.col("x_rep") < F.col("y_rep"))  # pairs outside the hub's component stand in both orders
+    # The sets that share a smaller key are compared there; the smallest shared one never has another before it.
+    earlier = F.coalesce(F.array_min(F.array_intersect("x_earliest", "y_earliest")) < F.col("key"), F.lit(False))
+    reach = once & (F.col("x_component") != F.col("y_component")) & (F.col("x_least") - F.col("y_most") <= room) & (F.col("y_least") - F.col("x_most") <= room)
+    near = x.join(y, "key").where(reach & _may_link(rule) & ~earlier).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b")).distinct()
     found = _verified(rows, _finer(stored(near, "near"), wide, rule).where("may").select("a", "b"), rule).where("linked").select("a", "b")
     # Several texts under one id: their classes belong together.
     held = full.join(names, same).where(F.col("class_id") != F.col("doc_id")).select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
