@@ -72,6 +72,23 @@ def test_near_duplicates(spark, size, percent):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, size, percent)
 
 
+@pytest.mark.parametrize("earliest", [1, 8])
+def test_pairs_of_many_shared_runs(spark, monkeypatch, earliest):
+    """Groups whose copies lie on both sides of the threshold and share many bands; the list of first keys is short or long."""
+    monkeypatch.setattr(jaccard, "EARLIEST", earliest)
+    rng = random.Random(earliest)
+    rows = []
+    for g in range(3):
+        base = [f"g{g}w{i}" for i in range(150)]
+        for c in range(40):
+            copy = list(base)
+            for at in rng.sample(range(150), rng.randrange(7)):
+                copy[at] = f"x{rng.randrange(1000)}"
+            rows.append((100 * g + c, " ".join(copy)))
+    got = jaccard.near_duplicates(documents(spark, rows), jaccard.Rule(5, 80))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 5, 80)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert jaccard.near_duplicates(documents(spark, [])).count() == 0
 
