@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matricula.session import stored
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with the same components, where each b keeps its smallest a and its other a are joined to that one.
+
+    For stars whose many b share few a: one edge a b, and the pairs of a once each however many b they share."""
+    least = F.min("a").over(Window.partitionBy("b"))
+    each = edges.withColumn("least", least)
+    kept = each.select(F.explode(F.array(F.struct(F.col("least").alias("a"), "b"), F.struct(F.col("least").alias("a"), F.col("a").alias("b")))).alias("e"))
+    return kept.select("e.*").where("a <> b").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) for every node of edges (a, b); null ends are left out.
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matricula.llm.components import components
+from matricula.llm.components import components, contracted
 from matricula.session import stored
 
 BITS = 64
@@ -269,13 +269,13 @@ def links(fps: DataFrame) -> DataFrame:
     star = stored(met.where((F.col("far") <= DIFFER) & (F.col("fp") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct(), "star")
     for _ in range(ROUNDS - 1):
         # Large values: those outside the component of the hub get a hub of their own, tested against all.
-        large = _named(met.where(F.col("n") > LARGE), components(star))
+        large = _named(met.where(F.col("n") > LARGE), components(contracted(star)))
         second = large.where("component <> of_hub").groupBy(*key).agg(F.max(F.struct("dense", "fp")).getField("fp").alias("other"))
         more = stored(large.join(second, key).where((apart("fp", "other") <= DIFFER) & (F.col("fp") != F.col("other"))).select(F.col("other").alias("a"), F.col("fp").alias("b")).distinct(), "star")
         if more.isEmpty():
             break
         star = star.unionByName(more)
-    rest = _named(met, components(star))
+    rest = _named(met, components(contracted(star)))
     # A value matters only if it has a component besides its hub's.
     spread = rest.groupBy(*key).agg(F.max(F.col("component") != F.col("of_hub")).alias("open")).where("open").select(*key)
     rest = stored(rest.join(spread, key).select(*key, "fp", "component", "of_hub", "far", "n"), "open")
@@ -300,7 +300,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     fps = stored(full.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     twice = full.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b").select("doc_id", "a")
     held = full.join(twice, "doc_id").select("a", F.col("fp").alias("b")).distinct()
-    found = components(links(fps.select("fp")).unionByName(held))
+    found = components(contracted(links(fps.select("fp")).unionByName(held)))
     member = fps.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     named = member.join(least, "component").select("fp", "component_id")
