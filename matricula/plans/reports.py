@@ -259,7 +259,7 @@ def prereq_compliance_audit(t) -> DataFrame:
         .select("registration_id", "student_id", F.col("course_id").alias("required_course_id"), "semester_id")
         .join(needs.select("required_course_id").distinct(), "required_course_id", "left_semi")
         .join(graded, "registration_id")
-        .join(starts, "semester_id")
+        .join(F.broadcast(starts), "semester_id")
         .groupBy("student_id", "required_course_id", "grade")
         .agg(F.min("start_date").alias("first_start"))
     )
@@ -271,12 +271,12 @@ def prereq_compliance_audit(t) -> DataFrame:
     )
     rules = main.select("course_sk", "course_id").join(needs, "course_id").drop("course_id")
     period = t["dim_academic_period"].select("period_sk", "semester_id", *PERIOD)
-    begins = period.select("period_sk", "semester_id").join(starts, "semester_id", "left").drop("semester_id")
+    begins = period.select("period_sk", "semester_id").join(F.broadcast(starts), "semester_id", "left").drop("semester_id")
     enrolled = (
         t["fact_enrollment"]
         .select("student_sk", "course_sk", "period_sk", "registration_status")
         .join(rules, "course_sk")
-        .join(begins, "period_sk")
+        .join(F.broadcast(begins), "period_sk")
         .withColumn("student_id", natural_key(F.col("student_sk")))
     )
     e, p = enrolled.alias("e"), earlier.alias("p")
@@ -291,7 +291,7 @@ def prereq_compliance_audit(t) -> DataFrame:
         .select("student_sk", "course_sk", "period_sk", "required_course_id", "registration_status")
         .join(main.drop("course_id"), "course_sk")
         .join(required, "required_course_id")
-        .join(period.drop("semester_id"), "period_sk")
+        .join(F.broadcast(period.drop("semester_id")), "period_sk")
         .join(_students(t, "student_matric_no", "full_name", "faculty_name"), "student_sk")
     )
     return violations.select(

@@ -8,18 +8,21 @@ to broadcast, and cut the lineage of everything built on them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import SOURCE, WAREHOUSE, conform, schema_of
-from ..session import fresh_folder
+from ..session import buckets, fresh_folder
 
 Builder = Callable[["Tables"], DataFrame]
 
 # Facts are stored by period: loads rewrite, and reports read, only the periods concerned.
 PARTITIONED = {"fact_enrollment": "period_sk", "fact_registration_event": "period_sk"}
+# Registrations and results meet by this key in most plans: dealt into buckets by it once, they meet without a shuffle.
+BUCKETED = {"course_registration": "registration_id", "course_result": "registration_id"}
 
 
 class Tables(Mapping):
@@ -45,7 +48,7 @@ class Tables(Mapping):
                 else:
                     path = f"{self._folder}/{name}"
                     write_table(self._builders[name](self), name, path)
-                    self._frames[name] = read_table(self.spark, name, path)
+                    self._frames[name] = self.spark.table(stored_name(path)) if name in BUCKETED else read_table(self.spark, name, path)
             return self._frames[name]
 
     def __contains__(self, name) -> bool:
@@ -67,12 +70,20 @@ def typed(df: DataFrame, name: str) -> DataFrame:
     return conform(df, name) if name in SOURCE or name in WAREHOUSE else df
 
 
+def stored_name(path: str) -> str:
+    """The name under which the session knows a bucketed table; its files are below ``path``."""
+    return re.sub(r"\W", "_", "_".join(path.rsplit("/", 2)[-2:]))
+
+
 def write_table(df: DataFrame, name: str, path: str) -> None:
     df = typed(df, name)
-    partition = PARTITIONED.get(name)
+    partition, key = PARTITIONED.get(name), BUCKETED.get(name)
     if partition:
-        # Whole files per period, with large periods over several tasks.
-        df.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+        # A task writes a file per period: periods are few, and gathering them would move every row once more.
+        df.write.partitionBy(partition).parquet(path)
+    elif key:
+        # The builder deals the rows by this key.
+        df.write.format("parquet").bucketBy(buckets(df.sparkSession), key).option("path", path).saveAsTable(stored_name(path))
     else:
         df.write.parquet(path)
 
