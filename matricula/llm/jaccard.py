@@ -128,6 +128,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
         found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
         counts[k] = len(found)
         flat.extend(map(numbers.__getitem__, found))
+    numbers.default_factory = None  # else the dictionary holds itself and its words stay until cycles are collected
     table = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in numbers), U, len(numbers))
     words = table[np.array(flat, np.int64)] if flat else np.zeros(0, U)
     rolled = np.zeros(max(0, len(words) - size + 1), U)

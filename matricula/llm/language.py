@@ -252,6 +252,7 @@ def text_scores(texts: list[str | None], model: Model, lookup: np.ndarray) -> tu
         found = WORDS.findall(text.lower()) if text else []
         sizes.append(len(found))
         flat.extend(map(numbers.__getitem__, found))
+    numbers.default_factory = None  # else the dictionary holds itself and its words stay until cycles are collected
     letters = [w for w in numbers if w.isalpha() or any(c.isalpha() for c in w)]
     cut = [(numbers[w], p) for w in letters for p in parts(w)]
     table = np.zeros((len(numbers), len(model.languages)))

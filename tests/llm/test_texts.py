@@ -1,13 +1,15 @@
 """License scan, personal data, repeated passages and language identification against plain versions."""
 
+import gc
 import hashlib
 import random
 import re
+from collections import defaultdict
 
 import numpy as np
 import pytest
 
-from matricula.llm import language, license, pii, suffixes
+from matricula.llm import jaccard, language, license, pii, suffixes
 from messy import DE, EN, cases, documents, rows_of
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -250,3 +252,20 @@ def test_language_held_out_accuracy(spark, raw_dir):
     docs = spark.read.parquet(f"{raw_dir}/documents.parquet")
     both = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").selectExpr("avg(int(lang = lang_pred)) a", "count(*) n").first()
     assert both["n"] > 20 and both["a"] >= 0.95
+
+
+def test_numbered_words_are_freed_at_once():
+    """Batch after batch, a worker's memory must not wait for the collector of cycles."""
+    model = language.fit([("en", "tree", 3)], {"en": 1}, ["^", "e", "r", "t"])
+    lookup = model.trie.lookup()
+    held = lambda: sum(isinstance(o, defaultdict) for o in gc.get_objects())
+    gc.collect()
+    gc.disable()
+    try:
+        before = held()
+        for _ in range(3):
+            jaccard.shingle_sets(["a tree is a tree", None], 2)
+            language.text_scores(["a tree is a tree", None], model, lookup)
+        assert held() == before
+    finally:
+        gc.enable()
