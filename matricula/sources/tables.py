@@ -21,8 +21,9 @@ Builder = Callable[["Tables"], DataFrame]
 
 # Facts are stored by period: loads rewrite, and reports read, only the periods concerned.
 PARTITIONED = {"fact_enrollment": "period_sk", "fact_registration_event": "period_sk"}
-# Registrations and results meet by this key in most plans: dealt into buckets by it once, they meet without a shuffle.
-BUCKETED = {"course_registration": "registration_id", "course_result": "registration_id"}
+# Registrations (a view of first lines) and results meet by this key in most plans: dealt into buckets by it once, they
+# meet without a shuffle.
+BUCKETED = {"first_line": "registration_id", "course_result": "registration_id"}
 
 
 class Tables(Mapping):

@@ -3,12 +3,14 @@
 import re
 from collections import Counter
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from matricula.llm.components import components, contracted
 from matricula.plans import facts, reports
+from matricula.sources import derived
 
 
 @pytest.fixture
@@ -33,6 +35,15 @@ def test_registrations_meet_their_results_without_a_shuffle(tables, unsent, caps
     assert registrations.join(results, "registration_id").count() == results.count() > 0
 
 
+def test_first_lines_are_dealt_once_for_registrations_and_results(tables, unsent, capsys):
+    assert "Exchange" not in plan_of(derived.course_registration(tables), capsys)
+    lines, registrations = tables["first_line"], tables["course_registration"]
+    keys = lines.select((F.col("registration_id") % F.lit(Decimal(10) ** 19)).alias("part"), "l_partkey", "registration_id")
+    assert keys.where("part <> l_partkey OR registration_id IS NULL").isEmpty()
+    assert lines.where(F.col("semester_id") != derived.semester_of(F.col("o_orderdate"))).isEmpty()
+    assert registrations.count() == registrations.select("student_id", "course_id", "semester_id").distinct().count() == lines.count() > 0
+
+
 @pytest.mark.parametrize("rows", [
     lambda t: facts.enrollment_rows(t, 1, datetime(2002, 1, 1)),
     lambda t: facts.event_rows(t, 1, datetime(2002, 1, 1)),
