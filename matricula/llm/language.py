@@ -316,11 +316,27 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, per_language: int = TRA
     chosen, sizes = sample(docs, per_language)
     counted = chosen.distinct().mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     common = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counted.withColumn("place", F.row_number().over(common)).where(F.col("place") <= most_words).orderBy("lang", F.desc("n"), "word").select("lang", "word", "n").toArrow()
-    counts = list(zip(*(top[c].to_pylist() for c in ("lang", "word", "n")), strict=True))
-    del top
-    model = fit(counts, sizes, pieces(vocabulary))
-    return replace(model, least=floors(counts, model), letters=frozenset(c for _, w, _ in counts for c in w))
+    top = counted.withColumn("place", F.row_number().over(common)).where(F.col("place") <= most_words).select("lang", "word", "n")
+    texts = pieces(vocabulary)
+    # A language's words stay in the task that fits it, at most most_words; the driver gets what the model holds alone.
+    fitted = top.groupBy("lang").applyInArrow(lambda words: _fit_language(words, texts), "lang string, chances binary, least double, letters string").toArrow()
+    model = fit([], sizes, texts)  # without words: what languages without any keep
+    least, letters = floors([], model), set()
+    for i, lang in enumerate(fitted["lang"].to_pylist()):
+        k = model.languages.index(lang)
+        model.chances[:, k] = np.frombuffer(fitted["chances"][i].as_buffer(), np.float64)
+        least[k] = fitted["least"][i].as_py()
+        letters.update(fitted["letters"][i].as_py())
+    return replace(model, least=least, letters=frozenset(letters))
+
+
+def _fit_language(words: pa.Table, texts: list[str]) -> pa.Table:
+    """lang, chances (of the pieces, as doubles), least and letters of one language's words (lang, word, n)."""
+    words = words.sort_by([("n", "descending"), ("word", "ascending")])
+    counts = list(zip(*(words[c].to_pylist() for c in ("lang", "word", "n")), strict=True))
+    lang = counts[0][0]
+    model = fit(counts, {lang: 1}, texts)
+    return pa.table({"lang": pa.array([lang], pa.string()), "chances": pa.array([model.chances[:, 0].tobytes()], pa.binary()), "least": pa.array([floors(counts, model)[0]], pa.float64()), "letters": pa.array(["".join(sorted({c for _, w, _ in counts for c in w}))], pa.string())})
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

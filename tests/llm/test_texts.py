@@ -4,10 +4,11 @@ import gc
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from matricula.llm import jaccard, language, license, pii, suffixes
 from messy import DE, EN, cases, documents, rows_of
@@ -248,6 +249,21 @@ def test_every_language_keeps_its_words(spark):
     assert model.languages == ["en", "zz"] and not np.allclose(model.chances[:, 1], model.chances[0, 1])
 
 
+def test_words_stay_in_the_tasks(spark, monkeypatch):
+    """The driver fits nothing: it gets each language's probabilities, which are those of a fit on all of its words."""
+    rows = [(i, f"tree aa{chr(97 + i)}", "en") for i in range(20)] + [(100 + i, f"baum zu{chr(97 + i)}", "de") for i in range(20)] + [(200, "12 34", "zz"), (201, "56", "zz"), (202, "78", "zz")]
+    seen, fit = [], language.fit
+    with monkeypatch.context() as patched:
+        patched.setattr(language, "fit", lambda counts, *rest: seen.extend(counts) or fit(counts, *rest))
+        model = language.learn(documents(spark, rows))
+    assert seen == [] and model.languages == ["de", "en", "zz"]
+    learned = documents(spark, rows).where(~language.held_out(F.col("doc_id"))).collect()
+    counts = Counter((r["lang"], w) for r in learned for w in language.WORDS.findall(r["text"]))
+    want = fit(sorted(((lang, w, n) for (lang, w), n in counts.items()), key=lambda c: (c[0], -c[2], c[1])), dict.fromkeys(model.languages, 1), language.pieces())
+    assert np.array_equal(model.chances, want.chances) and model.letters == {c for _, w in counts for c in w}
+    assert model.least[2] == -language.LEAST and (model.least < 0).all()
+
+
 def test_language_held_out_accuracy(spark, raw_dir):
     docs = spark.read.parquet(f"{raw_dir}/documents.parquet")
     both = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").selectExpr("avg(int(lang = lang_pred)) a", "count(*) n").first()
