@@ -24,7 +24,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     together."""
     groups = jaccard.near_duplicates(docs.select("doc_id", "text"), jaccard.Rule(size=5, percent=80))
     later = groups.where(F.col("doc_id").isNotNull() & (F.col("component_id") < F.col("doc_id"))).select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    return jaccard.without(docs, stored(later, "later")).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

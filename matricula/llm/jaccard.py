@@ -40,6 +40,7 @@ OFTEN = 3  # times that a band's value stands in a run of rows to count as commo
 COMMON = 200_000  # common values, most frequent first, that come last in the order; others keep the order of their hash
 PART = 1000  # rows that are worked on at once
 ARROW_ROWS = 2000  # rows with sets in one batch between Spark and Python: a set is some kilobytes
+KEY_ROWS = 10_000  # rows of two numbers in one batch
 HUB_PART = 200  # sets that meet one copy of a hub's set
 SKETCH = 512  # bits of the sketch that travels with a set
 LARGE = 1000  # shingles from which on a longer one travels beside it
@@ -341,10 +342,20 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs with the columns of ids (doc_id, ...); up to SEND_IDS ids are sent to every task, more are joined by a shuffle."""
+def _sent(ids: DataFrame) -> DataFrame:
+    """ids to be sent to every task if there are up to SEND_IDS; more are joined by a shuffle."""
     few = ids.limit(SEND_IDS + 1).count() <= SEND_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id")
+    return F.broadcast(ids) if few else ids
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs with the columns of ids (doc_id, ...)."""
+    return docs.join(_sent(ids), "doc_id")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is not in ids (doc_id), those without an id as well; texts do not move for few ids."""
+    return docs.join(_sent(ids), "doc_id", "left_anti")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
@@ -433,7 +444,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     pairs_of_keys = own.select(F.explode("keys").alias("key"), F.col("doc_id").alias("rep"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = pairs_of_keys.repartitionByRange(parts, "key", "rep").sortWithinPartitions("key", "rep")
-    runs = stored(dealt.mapInArrow(_runs, "key long, hub long, rep long, edge boolean"), "runs")
+    with arrow_rows(spark, KEY_ROWS):
+        runs = stored(dealt.mapInArrow(_runs, "key long, hub long, rep long, edge boolean"), "runs")
     # A run that range cuts have split gets the smallest of its parts' first sets.
     cut = runs.where("edge").groupBy("key").agg(F.min("hub").alias("first"))
     whole = runs.join(cut, "key", "left").select("key", F.coalesce("first", "hub").alias("hub"), "rep").where(F.col("hub") != F.col("rep")).distinct()

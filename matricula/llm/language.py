@@ -15,7 +15,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -25,7 +25,9 @@ SPREADS, LEAST = 3.0, 2.5  # a text may lie so many spreads of its language's wo
 SLACK = 12.0  # and the log-chance that a text may lack besides, so that few letters prove nothing
 SPAN = 1 << 17  # more than there are letters in a vocabulary
 AT_ONCE = 10_000  # words that are worked on side by side
+WORDS_AT_ONCE = 2000  # and with all languages at once: some kilobytes a word
 PART = 2500  # texts that are worked on at once
+ARROW_ROWS = 2000  # rows in one batch between Spark and Python: a text is some kilobytes
 LONGEST = 32  # letters; longer words are cut into parts of this length
 MIN_CHANCE = 0.5
 UNKNOWN = "und"
@@ -260,8 +262,8 @@ def text_scores(texts: list[str | None], model: Model, lookup: np.ndarray) -> tu
     if cut and model.languages:
         owners = np.fromiter((k for k, _ in cut), np.int64, len(cut))
         np.add.at(has, owners, np.fromiter((len(p) for _, p in cut), np.int64, len(cut)))
-        for i in range(0, len(cut), 20_000):
-            np.add.at(table, owners[i:i + 20_000], word_chances([p for _, p in cut[i:i + 20_000]], model.trie, lookup, model.chances, model.single))
+        for i in range(0, len(cut), WORDS_AT_ONCE):
+            np.add.at(table, owners[i:i + WORDS_AT_ONCE], word_chances([p for _, p in cut[i:i + WORDS_AT_ONCE]], model.trie, lookup, model.chances, model.single))
     known = dict.fromkeys(map(ord, model.letters))
     strange = np.fromiter((len(w.translate(known)) for w in numbers), np.int64, len(numbers))
     ends = np.cumsum(np.array(sizes, np.int64)) if sizes else np.zeros(0, np.int64)
@@ -339,6 +341,14 @@ def _fit_language(words: pa.Table, texts: list[str]) -> pa.Table:
     return pa.table({"lang": pa.array([lang], pa.string()), "chances": pa.array([model.chances[:, 0].tobytes()], pa.binary()), "least": pa.array([floors(counts, model)[0]], pa.float64()), "letters": pa.array(["".join(sorted({c for _, w, _ in counts for c in w}))], pa.string())})
 
 
+def small_batches(spark: SparkSession) -> None:
+    """At most ARROW_ROWS rows in a batch between Spark and Python, from now on in this session: the rows of identify()
+    and known() are made after these have returned, so the setting cannot be undone here."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of at most PART rows."""
     for batch in batches:
@@ -350,6 +360,7 @@ def identify(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """One row per row of documents: doc_id, held_out, lang_pred, score.  Learned from rows that are not held out.
 
     The text leaves the tasks no more: only ids and results come back."""
+    small_batches(docs.sparkSession)
     model = learn(docs, vocabulary)
     handed = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -369,6 +380,7 @@ def known(docs: DataFrame, vocabulary: str = VOCABULARY, least: float = MIN_CHAN
     """docs without the rows whose language is undetermined, less likely than `least` or does not fit the text at all
     (another script, other languages far from the learned ones, random letters); their columns as they were, whatever
     their names."""
+    small_batches(docs.sparkSession)
     handed = docs.sparkSession.sparkContext.broadcast(learn(docs, vocabulary))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ import pytest
 import corpus_pipeline
 from compare import compare, duck
 from matricula.llm.catalog import LLM_QUERIES, LLM_SQL
-from messy import EN, cases, documents, rows_of
+from messy import DE, EN, cases, documents, rows_of
 from test_sets import plain_groups, plain_hits
 from test_texts import plain_pii
 
@@ -52,3 +52,18 @@ def test_stages_on_odd_rows(spark, raw_dir):
         for rows in (docs, documents(spark, [])):
             assert stage(spark, rows, raw_dir).columns == docs.columns
     assert corpus_pipeline.mixture(spark, docs, raw_dir).count() > 0
+
+
+@pytest.mark.parametrize("send", [100, 0])
+def test_texts_stay_where_they_are_when_copies_go(spark, raw_dir, monkeypatch, send):
+    monkeypatch.setattr(corpus_pipeline.jaccard, "SEND_IDS", send)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = documents(spark, [(3, EN), (1, EN), (2, DE), (2, EN), (None, EN), (None, None), (4, None), (5, ""), (6, DE + " now")])
+        kept = corpus_pipeline.one_of_near_copies(spark, docs, raw_dir)
+        assert rows_of(kept, "doc_id") == [(1,), (4,), (5,), (None,), (None,)]
+        last = kept._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in last and "SortMergeJoin" not in last) == (send > 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

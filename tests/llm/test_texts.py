@@ -4,6 +4,7 @@ import gc
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -285,3 +286,32 @@ def test_numbered_words_are_freed_at_once():
         assert held() == before
     finally:
         gc.enable()
+
+
+def test_language_works_on_few_words_at_once():
+    pieces = sorted({"^", *"abcdefghijklmnopqrstuvwxyz", *(a + b for a in "abcdefghij" for b in "abcdefghij")})
+    chances = np.full((len(pieces), 8), 1.0 / len(pieces))
+    model = language.Model([f"l{i}" for i in range(8)], language.Trie.of(pieces), chances, np.full(8, 1e-7), np.zeros(8))
+    random.seed(3)
+    text = " ".join("".join(random.choices("abcdefghij", k=12)) for _ in range(20_000))
+    lookup = model.trie.lookup()
+    language.text_scores([text[:50]], model, lookup)
+    tracemalloc.start()
+    try:
+        names, _, _ = language.text_scores([text], model, lookup)
+        assert names == ["l0"] and tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("made", [language.known, language.identify])
+def test_language_gets_small_batches(spark, made):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for now, then in (("10000", language.ARROW_ROWS), ("0", language.ARROW_ROWS), ("7", 7)):
+            spark.conf.set(name, now)
+            made(documents(spark, [(1, EN, "en")]))
+            assert int(spark.conf.get(name)) == then
+    finally:
+        spark.conf.set(name, before)
