@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from matricula.llm.components import components, contracted
+from matricula.operators.registration import session_gpa
 from matricula.plans import facts, reports
+from matricula.session import stored
 from matricula.sources import derived
 
 
@@ -70,3 +72,27 @@ def test_contracted_stars_keep_their_components_and_shrink(spark):
     assert edges.count() > 6000 and small.count() < 2 * (hubs + leaves)
     assert {tuple(r) for r in components(small).collect()} == {tuple(r) for r in components(edges).collect()}
     assert Counter(r.component for r in components(small).collect()) == {0: leaves + hubs, 5000: 3}
+
+
+@pytest.fixture
+def small_sends(spark):
+    """Sides of up to 200 kB are sent to all tasks."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sides_are_sent_by_the_size_of_their_rows(spark, small_sends, capsys):
+    """The driver builds a side that is sent: 20,000 courses of 24 bytes, in a file of a few kB, are too many here."""
+    course = stored(spark.range(20_000).selectExpr("id AS course_id", "cast(id % 4 + 1 AS int) AS credit_units", "'title' AS course_title", "'text' AS course_description"), "courses")
+    semester = stored(spark.createDataFrame([(20001, 2000), (20002, 2000)], "semester_id long, session_id long"), "semesters")
+    taken = spark.range(40_000).selectExpr("id AS registration_id", "id % 7 AS student_id", "id % 20000 AS course_id", "20001 + id % 2 AS semester_id")
+    results = taken.selectExpr("registration_id", "cast(3 AS decimal(3,1)) AS grade_point", "1 AS credit_units_earned", "'Pass' AS remark")
+    sessions = session_gpa(stored(taken, "registrations"), stored(results, "results"), course, semester)
+    plan = plan_of(sessions, capsys)
+    assert not re.findall(r"BroadcastHashJoin \[course_id#\d+L?\]", plan) and re.findall(r"SortMergeJoin \[course_id#\d+L?\]", plan)
+    assert re.findall(r"BroadcastHashJoin \[semester_id#\d+L?\]", plan)
+    assert sessions.agg(F.sum("courses_registered")).first()[0] == 40_000
+    few = stored(course.where("course_id < 500"), "few-courses")
+    assert "SortMergeJoin [course_id" not in plan_of(stored(taken, "registrations").join(few, "course_id"), capsys)
