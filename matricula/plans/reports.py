@@ -247,7 +247,8 @@ def prereq_compliance_audit(t) -> DataFrame:
     """Enrolments lacking a good enough result in the prerequisite from an earlier semester.
 
     Results in required courses are folded to the first semester start per
-    (student, course, grade); the search for an earlier pass is one anti-join
+    (student, course, grade); registrations meet their results, stored by the
+    same key, before they move by course.  The search for an earlier pass is one anti-join
     on student and course with two inequalities.  Names and attributes are
     joined to the violations alone.
     """
@@ -257,9 +258,10 @@ def prereq_compliance_audit(t) -> DataFrame:
     earlier = (
         t["course_registration"]
         .select("registration_id", "student_id", F.col("course_id").alias("required_course_id"), "semester_id")
-        .join(needs.select("required_course_id").distinct(), "required_course_id", "left_semi")
         .join(graded, "registration_id")
         .join(F.broadcast(starts), "semester_id")
+        .select("student_id", "required_course_id", "grade", "start_date")
+        .join(needs.select("required_course_id").distinct(), "required_course_id")  # inner: a semi-join would be moved below the others
         .groupBy("student_id", "required_course_id", "grade")
         .agg(F.min("start_date").alias("first_start"))
     )
