@@ -2,13 +2,14 @@
 
 import re
 from collections import Counter
-from datetime import datetime
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from matricula.llm.components import components, contracted
+from matricula.operators import quality
 from matricula.operators.registration import session_gpa
 from matricula.plans import facts, reports
 from matricula.session import stored
@@ -96,3 +97,15 @@ def test_sides_are_sent_by_the_size_of_their_rows(spark, small_sends, capsys):
     assert sessions.agg(F.sum("courses_registered")).first()[0] == 40_000
     few = stored(course.where("course_id < 500"), "few-courses")
     assert "SortMergeJoin [course_id" not in plan_of(stored(taken, "registrations").join(few, "course_id"), capsys)
+
+
+@pytest.mark.parametrize("rows", [derived.course_result, reports.prereq_compliance_audit])
+def test_results_move_without_their_long_identifier(tables, unsent, capsys, rows):
+    plan = plan_of(rows(tables), capsys)
+    assert "Exchange hashpartitioning" in plan and not re.findall(r"hashpartitioning\(registration_id#", plan)
+
+
+def test_checked_registrations_are_judged_before_they_move(tables, unsent, capsys):
+    moved = re.findall(r"hashpartitioning\(course_id#.*\n.*Project \[(.*)\]", plan_of(quality.registration_checks(tables, date(2025, 1, 1)), capsys))
+    narrow = [m for m in moved if "student_id" in m]
+    assert narrow and not any(re.search(r"\bregistration_(id|date|status)#\d+L?(?:,|$)", m) for m in narrow)
